@@ -45,13 +45,6 @@ def add_dimension(
     return merged.drop(*renamed.values())
 
 
-def mark_orphans(facts: DataFrame, dimension: DataFrame, key: str, flag: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A flag that is true where the key is missing from the dimension."""
-    known = dimension.select(key).distinct().withColumn("__known", F.lit(True))
-    joined = facts.join(broadcast_if_small(known, rows), key, "left")
-    return joined.withColumn(flag, F.col("__known").isNull()).drop("__known")
-
-
 def orphan_keys(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Keys of the fact table that the dimension does not have, with their row counts.
 

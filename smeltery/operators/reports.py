@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions.rules import failure_probability, recommendation, risk_level
+from smeltery.operators.lookup import broadcast_if_small
 from smeltery.operators.quality import first_per_key
 from smeltery.operators.quantiles import binned_quantiles
 
@@ -86,15 +87,19 @@ def latest_status(df: DataFrame, machine: str, time: str, row_id: str, columns:
 def sensor_trend(
     df: DataFrame,
     machine: str,
-    machine_id,
     time: str,
     sensors: Sequence[str],
+    machine_id=None,
     minutes: int = 30,
     step: str = "1 minute",
 ) -> DataFrame:
-    """Means per step over the last minutes of one machine's readings."""
-    own = df.filter(F.col(machine) == machine_id)
-    end = own.agg(F.max(time)).scalar()
-    recent = own.filter(F.col(time) > end - F.expr(f"INTERVAL {minutes} MINUTES"))
-    means = recent.groupBy(F.window(time, step).alias("__step")).agg(*[F.avg(s).alias(s) for s in sensors])
-    return means.select(F.col("__step.start").alias("step_start"), *sensors)
+    """Means per step over the last minutes of each machine's readings, or of one machine's."""
+    own = df if machine_id is None else df.filter(F.col(machine) == machine_id)
+    ends = own.groupBy(machine).agg(F.max(time).alias("__end"))
+    recent = own.join(broadcast_if_small(ends), machine).filter(
+        F.col(time) > F.col("__end") - F.expr(f"INTERVAL {minutes} MINUTES")
+    )
+    means = recent.groupBy(machine, F.window(time, step).alias("__step")).agg(
+        *[F.avg(s).alias(s) for s in sensors]
+    )
+    return means.select(machine, F.col("__step.start").alias("step_start"), *sensors)

@@ -15,7 +15,7 @@ from smeltery.operators.lookup import add_dimension
 from smeltery.operators.monthly import MonthlySpec, monthly_features
 from smeltery.operators.quality import first_per_key, keep_required, trim_columns
 from smeltery.sources import readers, schemas, writers
-from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages
+from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages, rejected_messages
 
 # Topic, lineage label and column lists.
 TOPIC = "pharma.sales.transactions"
@@ -55,6 +55,12 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str, every: str | N
     return writers.append_stream(bronze(messages), path, checkpoint, ["ingestion_date"], every)
 
 
+def start_quarantine(messages: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
+    """Messages the bronze table cannot take, or whose time cannot be read, with the reason."""
+    rejects = rejected_messages(parse_messages(messages, schemas.SALES_TRANSACTION))
+    return writers.append_stream(rejects, path, checkpoint, (), every)
+
+
 def typed(df: DataFrame) -> DataFrame:
     """Event time and date, and numbers in their final types; money in exact cents."""
     moment = to_timestamp_or_null(F.col("timestamp"))

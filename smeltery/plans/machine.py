@@ -9,11 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from smeltery.functions.calendar import shift_columns
 from smeltery.functions.parsing import to_timestamp_or_null
 from smeltery.functions.rules import above_limit_flags, any_of, is_true
-from smeltery.operators.lookup import add_dimension, mark_orphans
+from smeltery.operators.lookup import add_dimension
 from smeltery.operators.quality import first_per_key, keep_required, trim_columns
 from smeltery.operators.rolling import RollingSpec, machine_features
 from smeltery.sources import readers, schemas, writers
-from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages
+from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages, rejected_messages
 
 # Topic, lineage label, column lists and the limit of each flag.
 TOPIC = "iot.sensor.readings"
@@ -46,6 +46,12 @@ def start_bronze(messages: DataFrame, path: str, checkpoint: str, every: str | N
     return writers.append_stream(bronze(messages), path, checkpoint, ["ingestion_date"], every)
 
 
+def start_quarantine(messages: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
+    """Messages the bronze table cannot take, or whose time cannot be read, with the reason."""
+    rejects = rejected_messages(parse_messages(messages, schemas.SENSOR_READING))
+    return writers.append_stream(rejects, path, checkpoint, (), every)
+
+
 def typed(df: DataFrame) -> DataFrame:
     moment = to_timestamp_or_null(F.col("timestamp"))
     return df.withColumns({"timestamp": moment, "reading_date": moment.cast("date")})
@@ -62,15 +68,16 @@ def add_flags(df: DataFrame) -> DataFrame:
 
 
 def enrich(df: DataFrame, master: DataFrame) -> DataFrame:
-    rows = mark_orphans(trim_columns(df, TRIMMED), master, "machine_id", "master_missing")
-    rows = add_flags(add_dimension(rows, master, "machine_id", MASTER_COLUMNS))
-    return rows.withColumns(
+    known = master.withColumn("__known", F.lit(True))
+    rows = add_dimension(trim_columns(df, TRIMMED), known, "machine_id", [*MASTER_COLUMNS, "__known"])
+    return add_flags(rows).withColumns(
         {
+            "master_missing": F.col("__known").isNull(),
             "silver_processed_at": F.current_timestamp(),
             "year": F.year("reading_date"),
             "month": F.month("reading_date"),
         }
-    )
+    ).drop("__known")
 
 
 def silver(bronze_rows: DataFrame, master: DataFrame) -> DataFrame:
