@@ -86,9 +86,14 @@ def mark_training_rows(
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
-    """Alphabetical codes of a categorical column: one row per value."""
-    values = df.select(F.col(column).cast("string").alias(column)).distinct().na.drop()
-    return values.withColumn("code", F.dense_rank().over(Window.orderBy(column)) - 1)
+    """Alphabetical codes of a categorical column, from 0: one row per value.
+
+    Distinct values are sorted across tasks and numbered by the position of their task and
+    their place in it, so the number of values is not bounded by one task.
+    """
+    values = df.select(F.col(column).cast("string").alias(column)).distinct().na.drop().sort(column)
+    numbered = values.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
+    return df.sparkSession.createDataFrame(numbered, f"`{column}` string, code bigint")
 
 
 def encode_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -156,7 +161,10 @@ def _as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def train(df: DataFrame, spec: TrainingSpec) -> tuple[PipelineModel, dict[str, float]]:
-    """Fit on the training share and measure on the rest."""
+    """Fit on the training share and measure on the rest.
+
+    Give it a written table: encoder, fill and trees each read the rows again.
+    """
     wanted = [spec.row_id, spec.label, *spec.numeric, *spec.categorical]
     rows = _as_numbers(labelled(df.select(*wanted), spec.label), spec.numeric)
     marked = mark_training_rows(rows, spec.row_id, spec.label, spec.train_share, spec.seed)

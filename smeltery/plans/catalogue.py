@@ -47,9 +47,25 @@ LIMITS = [
     ("MACHINERY", 250.0, 90.0),
 ]
 
-EVENTS_SCHEMA = schemas.schema_of(
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
+TABLES = {
+    name: schemas.schema_of(columns)
+    for name, columns in {
+        "region": "r_regionkey int, r_name string",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+        "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+        "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+            p_retailprice double""",
+        "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+            o_orderdate timestamp_ntz, o_orderpriority string""",
+        "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+            l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+            l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+        "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,
+            props string""",
+        "labels": "doc_id bigint, quality int, toxic int",
+    }.items()
+}
 SENSORS = ("temperature", "vibration")
 HOURS = {"6h": 6 * 3600, "24h": 24 * 3600, "72h": 72 * 3600}
 CHANNELS = {"building_qty": "BUILDING", "machinery_qty": "MACHINERY", "household_qty": "HOUSEHOLD"}
@@ -68,7 +84,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return readers.parquet_table(spark, f"{sf_dir}/{name}.parquet")
+    return readers.parquet_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
 def r6(name: str) -> Column:
@@ -80,26 +96,21 @@ def rounded(df: DataFrame, names) -> DataFrame:
 
 
 def events_dim(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(EVENTS_DIM, EVENT_COLUMNS)
+    values = ", ".join(f"({', '.join(map(repr, row))})" for row in EVENTS_DIM)
+    rows = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(EVENT_COLUMNS)})")
     return rows.withColumns({c: F.col(c).cast("date") for c in ("start_date", "end_date")})
 
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
+    """Base tables are joined one by one, so Spark knows the size of each it may broadcast."""
     lines = table(spark, d, "lineitem")
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    parts = table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
-    places = (
-        table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    return (
+        lines.join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "n_name", "r_name")
-    )
-    buyers = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_mktsegment")
-    return (
-        lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             F.col("l_orderkey").alias("transaction_id"),
             F.col("l_linenumber").alias("line"),
@@ -137,7 +148,7 @@ def reading_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    return readers.parquet_stream(spark, d, EVENTS_SCHEMA, file_pattern="events.parquet")
+    return readers.parquet_stream(spark, d, TABLES["events"], file_pattern="events.parquet")
 
 
 def machine_master(spark: SparkSession, d: str) -> DataFrame:
@@ -280,6 +291,25 @@ def required_fields_and_trim(spark, d):
     return both.withColumn("reject_reason", F.coalesce("reject_reason", F.lit("")))
 
 
+@query
+def machine_age(spark, d):
+    """Age in years at shipping, of an item installed on its order date."""
+    lines = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    age = rules.machine_age_years(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
+    return lines.select("l_orderkey", "l_linenumber", age.alias("age_years"))
+
+
+@query
+def gold_write_and_read(spark, d):
+    """Monthly totals written as a table partitioned by year and month, and read back."""
+    flagged = sales(spark, d).withColumn("is_event_day", F.lit(False))
+    totals = monthly.monthly_totals(flagged, monthly_spec(attributes=()))
+    kept = totals.select("drug_id", "region_id", "year", "month", "total_units_sold", "num_transactions")
+    path = scratch_dir(spark, "gold")
+    writers.overwrite_table(kept, path, ["year", "month"])
+    return readers.parquet_table(spark, path)
+
+
 # ---- messages -----------------------------------------------------------------------------
 
 
@@ -360,6 +390,20 @@ def anomaly_flags(spark, d):
     return flagged_readings(readings(spark, d), machine_master(spark, d)).select(*FLAG_COLUMNS)
 
 
+@query
+def threshold_labels(spark, d):
+    """Degradation labels of a factor, and the test against the normal range of the type."""
+    factor = F.col("temperature") / 500
+    limits = lookup.add_dimension(readings(spark, d), machine_master(spark, d), "machine_id", ["temp_critical"])
+    ranged = limits.withColumn("temp_min", F.lit(10.0))
+    return ranged.select(
+        "reading_id",
+        rules.is_degrading(factor).alias("is_degrading"),
+        rules.is_failing(factor).alias("will_fail_in_4hrs"),
+        rules.outside_range_flag({"temperature": ("temp_min", "temp_critical")}).alias("outside_normal_range"),
+    )
+
+
 @query
 def sensor_lags_and_change(spark, d):
     lagged = rolling.lag_features(readings(spark, d), sensor_spec({}))
@@ -650,6 +694,17 @@ def stream_stateful_lag(spark, d):
         spark.conf.set(setting, before)
 
 
+@query
+def stream_lag_by_batch(spark, d):
+    spec = sensor_spec({})
+    folder = scratch_dir(spark, "lag-batches")
+    stateful.start_lag_batches(
+        reading_stream(spark, d), spec, f"{folder}/rows", f"{folder}/recent", f"{folder}/checkpoint", every=None
+    ).awaitTermination()
+    lags = [f"{s}_lag{n}" for s in SENSORS for n in spec.lags]
+    return spark.read.parquet(f"{folder}/rows").select("reading_id", "machine_id", *SENSORS, *lags)
+
+
 @query
 def stream_scoring(spark, d):
     data = labelled_readings(spark, d)

@@ -183,6 +183,16 @@ SQL: dict[str, str] = {
             nullif(o_orderstatus, 'P') AS o_orderstatus,
             concat_ws('; ', CASE WHEN o_orderpriority = '5-LOW' THEN 'missing o_orderpriority' END,
                 CASE WHEN o_orderstatus = 'P' THEN 'missing o_orderstatus' END) AS reject_reason FROM orders""",
+    "machine_age": """SELECT l_orderkey, l_linenumber,
+            round(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) / 365.0, 1) AS age_years
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "gold_write_and_read": f"""WITH {SALES} SELECT drug_id, region_id, year(transaction_date) AS year,
+            month(transaction_date) AS month, CAST(sum(quantity_sold) AS BIGINT) AS total_units_sold, count(*) AS num_transactions
+        FROM sales GROUP BY ALL""",
+    "threshold_labels": f"""WITH {READINGS}, {LIMIT_TABLE} SELECT reading_id, temperature / 500 > 0.3 AS is_degrading,
+            temperature / 500 > 0.8 AS will_fail_in_4hrs,
+            coalesce(temperature < 10 OR temperature > temp_critical, false) AS outside_normal_range
+        FROM r LEFT JOIN customer ON machine_id = c_custkey LEFT JOIN limits ON c_mktsegment = machine_type""",
     "json_round_trip": "SELECT event_id, user_id, event_type, value FROM events",
     "safe_parse_quarantine": """SELECT CASE event_type WHEN 'error' THEN 'malformed message'
             WHEN 'signup' THEN 'unreadable time' ELSE 'unreadable number' END AS reject_reason,
@@ -264,4 +274,5 @@ SQL: dict[str, str] = {
     "stream_failure_horizon": f"""WITH {READINGS} SELECT r.machine_id, r.reading_id, f.reading_id AS failure_id
         FROM r JOIN r f ON f.event_type = 'error' AND f.machine_id = r.machine_id AND f.ts > r.ts AND f.ts <= r.ts + INTERVAL 4 HOUR""",
     "stream_stateful_lag": _LAG_ONLY,
+    "stream_lag_by_batch": _LAG_ONLY,
 }

@@ -54,8 +54,10 @@ def json_lines_stream(
     return reader.load(path).selectExpr("value", "_metadata.file_modification_time AS timestamp")
 
 
-def parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def parquet_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A Parquet table; with a declared schema no file is opened to find it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def csv_dimension(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

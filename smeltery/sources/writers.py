@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 BATCH_ID = "batch_id"
 
 
-def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """A processing-time trigger, or one run over what is there when no interval is given."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -32,7 +32,7 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def write_batch_once(df: DataFrame, batch_id: int, path: str, partition_by: Sequence[str]) -> None:
@@ -64,7 +64,7 @@ def transform_stream(
         write_batch_once(transform(batch), batch_id, path, partition_by)
 
     writer = df.writeStream.foreachBatch(handle).outputMode("append").option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def _partitioned(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:

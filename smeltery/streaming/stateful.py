@@ -1,15 +1,22 @@
-"""Row lags on a stream, with the last readings of every machine as keyed state."""
+"""Row lags on a stream, with the last readings of every machine carried between batches.
+
+``stream_lags`` keeps them as keyed state; one machine's share of a batch is handled by one
+task, so bound the batch at the source. ``start_lag_batches`` keeps them in a table beside the
+output and runs the sliced batch operator, which splits a busy machine over many tasks.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from smeltery.session import ROCKSDB
+from smeltery.operators.rolling import RollingSpec, lag_features
+from smeltery.sources.writers import with_trigger, write_batch_once
 
 
 class LagProcessor(StatefulProcessor):
@@ -61,6 +68,35 @@ def stream_lags(
     )
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB, beside the heap and in the checkpoint."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def start_lag_batches(
+    df: DataFrame,
+    spec: RollingSpec,
+    path: str,
+    recent_path: str,
+    checkpoint: str,
+    every: str | None = "60 seconds",
+    slices: int | None = None,
+) -> StreamingQuery:
+    """Append lag columns batch by batch.
+
+    The last readings are written under the number of their batch and read by the next one,
+    so a replayed batch sees what it saw before and replaces what it wrote.
+    """
+    columns = [spec.machine, spec.time, spec.row_id, *spec.sensors]
+    schema = df.select(*columns).schema
+    depth = max(spec.lags)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        recent = spark.createDataFrame([], schema)
+        if batch_id > 0:
+            recent = spark.read.schema(schema).parquet(f"{recent_path}/batch_id={batch_id - 1}")
+        rows = batch.withColumn("__new", F.lit(True)).unionByName(recent, allowMissingColumns=True)
+        lagged = lag_features(rows, spec, slices).filter("__new").drop("__new")
+        write_batch_once(lagged, batch_id, path, [])
+        newest = Window.partitionBy(spec.machine).orderBy(F.desc(spec.time), F.desc(spec.row_id))
+        last = rows.select(*columns, F.row_number().over(newest).alias("__back")).filter(F.col("__back") <= depth)
+        last.drop("__back").write.mode("overwrite").parquet(f"{recent_path}/batch_id={batch_id}")
+
+    writer = df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return with_trigger(writer, every).start()
