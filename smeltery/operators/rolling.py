@@ -24,7 +24,6 @@ from smeltery.functions.rules import is_true, relative_change
 SECOND = "__second"
 SLICE = "__slice"
 READING = "__reading"
-DAY = 86_400
 HOUR = 3_600
 SLICE_ROWS = 2_000_000
 
@@ -61,7 +60,7 @@ def slice_seconds(df: DataFrame, machine: str, time: str, rows: int = SLICE_ROWS
     hour = F.floor(epoch_seconds(F.col(time)) / HOUR)
     per_hour = df.groupBy(machine, hour.alias("__hour")).agg(F.count(F.lit(1)).alias("__rows"))
     length = F.floor(F.lit(HOUR * rows).cast("long") / F.greatest(F.max("__rows"), F.lit(1)))
-    return per_hour.agg(F.greatest(F.coalesce(length, F.lit(DAY)), F.lit(at_least))).scalar()
+    return per_hour.agg(F.greatest(length, F.lit(at_least))).scalar()
 
 
 def cut_slices(df: DataFrame, spec: RollingSpec, seconds: int | Column | None) -> DataFrame:

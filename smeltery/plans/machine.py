@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from smeltery.functions.calendar import shift_columns
 from smeltery.functions.parsing import to_timestamp_or_null
-from smeltery.functions.rules import above_limit_flags, any_of, is_true
+from smeltery.functions.rules import above_limit_flags, any_of, is_true, outside_range_flag
 from smeltery.operators.lookup import add_dimension
 from smeltery.operators.quality import first_per_key, keep_required, trim_columns
 from smeltery.operators.rolling import RollingSpec, machine_features
@@ -31,6 +31,13 @@ LIMITS = {
     "rpm_anomaly": ("rpm", "rpm_critical"),
 }
 VOLTAGE_LIMIT = {"voltage_anomaly": ("voltage", "voltage_critical")}
+NORMAL_RANGE = {
+    "temperature": ("temp_min", "temp_max"),
+    "vibration": ("vibration_min", "vibration_max"),
+    "pressure": ("pressure_min", "pressure_max"),
+    "rpm": ("rpm_min", "rpm_max"),
+    "voltage": ("voltage_min", "voltage_max"),
+}
 PARTITIONS = ("year", "month")
 
 
@@ -67,9 +74,13 @@ def add_flags(df: DataFrame) -> DataFrame:
     return beyond.withColumn("is_anomaly", is_true(F.col("sensor_out_of_range") | F.col("is_degrading")))
 
 
-def enrich(df: DataFrame, master: DataFrame) -> DataFrame:
+def enrich(df: DataFrame, master: DataFrame, normal_range: bool = False) -> DataFrame:
+    """Typed, complete and distinct readings to silver rows; optionally with the range test."""
     known = master.withColumn("__known", F.lit(True))
-    rows = add_dimension(trim_columns(df, TRIMMED), known, "machine_id", [*MASTER_COLUMNS, "__known"])
+    bounds = [bound for pair in NORMAL_RANGE.values() for bound in pair] if normal_range else []
+    rows = add_dimension(trim_columns(df, TRIMMED), known, "machine_id", [*MASTER_COLUMNS, *bounds, "__known"])
+    if normal_range:
+        rows = rows.withColumn("outside_normal_range", outside_range_flag(NORMAL_RANGE)).drop(*bounds)
     return add_flags(rows).withColumns(
         {
             "master_missing": F.col("__known").isNull(),
