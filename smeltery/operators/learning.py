@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from smeltery.functions.rules import is_true
 from smeltery.operators.evaluation import binary_metrics, class_balance
 from smeltery.operators.lookup import broadcast_if_small
 from smeltery.operators.reports import add_risk
@@ -160,17 +161,21 @@ def _as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-def train(df: DataFrame, spec: TrainingSpec) -> tuple[PipelineModel, dict[str, float]]:
+def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) -> tuple[PipelineModel, dict[str, float]]:
     """Fit on the training share and measure on the rest.
 
-    Give it a written table: encoder, fill and trees each read the rows again.
+    Give it a written table: encoder, fill and trees each read the rows again. ``training``
+    is a condition that replaces the split by classes, such as a time before a cut.
     """
     wanted = [spec.row_id, spec.label, *spec.numeric, *spec.categorical]
-    rows = _as_numbers(labelled(df.select(*wanted), spec.label), spec.numeric)
-    marked = mark_training_rows(rows, spec.row_id, spec.label, spec.train_share, spec.seed)
+    if training is None:
+        marked = mark_training_rows(df, spec.row_id, spec.label, spec.train_share, spec.seed)
+    else:
+        marked = df.withColumn("is_training", is_true(training))
+    marked = _as_numbers(labelled(marked.select(*wanted, "is_training"), spec.label), spec.numeric)
     training, held_out = marked.filter("is_training"), marked.filter(~F.col("is_training"))
     numeric = usable_numeric(training, spec.numeric)
-    weight = class_balance(rows, spec.label).first()["positive_weight"]
+    weight = class_balance(marked, spec.label).first()["positive_weight"]
     if not weight:
         raise ValueError(f"{spec.label} needs rows of both classes")
     weighted = training.withColumn("__weight", F.when(F.col(spec.label) == 1.0, float(weight)).otherwise(1.0))

@@ -11,8 +11,12 @@ BROADCAST_ROWS = 200_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows; reading stops as soon as it has more."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a table has at most ``rows`` rows.
+
+    Partitions are read in growing rounds that stop at the first row beyond the bound, so a
+    large table is not scanned.
+    """
+    return df.select(F.lit(1)).offset(rows).isEmpty()
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

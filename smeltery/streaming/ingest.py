@@ -35,10 +35,20 @@ def rejected_messages(parsed: DataFrame, time: str = "timestamp") -> DataFrame:
     return quarantine(parsed, {"malformed message": F.col(CORRUPT).isNotNull(), "unreadable time": unreadable})
 
 
-def drop_repeats(df: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
+def drop_repeats(df: DataFrame, time: str, keys: list[str], delay: str, spread: bool = True) -> DataFrame:
     """First arrival of every key, across micro-batches.
 
     Keys are remembered for the delay after their event time; a copy that arrives later
-    than that is seen as new.
+    than that is seen as new. With ``spread``, copies are first reduced per input partition:
+    a key with very many copies is then not carried to one task. That keeps a second set of
+    keys in the state, so turn it off where copies are known to be few.
     """
-    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    marked = df.withWatermark(time, delay)
+    if spread:
+        part = "__part"
+        marked = (
+            marked.withColumn(part, F.spark_partition_id())
+            .dropDuplicatesWithinWatermark([*keys, part])
+            .drop(part)
+        )
+    return marked.dropDuplicatesWithinWatermark(keys)

@@ -99,6 +99,12 @@ def test_training_separates_and_repeats(spark, data, fitted, tmp_path):
     assert top.first().feature == "x" and top.count() == 2
 
 
+def test_split_by_a_condition(data):
+    spec = learning.TrainingSpec(("x",), trees=2, depth=2)
+    _, metrics = learning.train(data, spec, training=F.col("reading_id") < 400)
+    assert metrics["roc_auc"] > 0.9
+
+
 def test_scoring_takes_an_unseen_category_and_missing_values(spark, fitted):
     _, model, _ = fitted
     rows = spark.createDataFrame([(1, 95.0, None, "new"), (2, None, None, None)], "reading_id int, x double, empty double, kind string")
