@@ -6,7 +6,7 @@ cut along time:
 * lags run on slices of a machine's time line; the readings a slice needs from before it,
   at most as many as the longest lag, are looked up from the ends of the earlier slices;
 * rolling statistics run on one summary row per machine and second, because readings of
-  one second share one frame; frames then hold at most as many rows as they have seconds;
+  one second share one frame, and merge running aggregates of blocks of seconds;
 * the failure horizon is a running minimum over failure times in the same slices.
 """
 
@@ -169,78 +169,110 @@ def _second_summary(df: DataFrame, spec: RollingSpec) -> DataFrame:
     return df.groupBy(spec.machine, SECOND).agg(*parts)
 
 
-def _count_in_frame(count: Column, slices: WindowSpec, seconds: int) -> Column:
-    """Sum of integer counts over a frame, as a difference of two running sums."""
-    upto = F.sum(count).over(slices.rangeBetween(Window.unboundedPreceding, 0))
-    before = F.sum(count).over(slices.rangeBetween(Window.unboundedPreceding, -seconds - 1))
-    return upto - F.coalesce(before, F.lit(0))
-
+def _frames_per_second(with_second: DataFrame, spec: RollingSpec) -> DataFrame:
+    """Rolling columns for every machine and second that has a reading.
 
-def _frame_statistics(
-    sensor: str, suffix: str, seconds: int, wanted: Sequence[str], slices: WindowSpec
-) -> tuple[list[Column], dict[str, Column]]:
-    """Window columns of one frame and the statistics computed from them.
+    Time is cut into blocks one second longer than the frame. A frame then is the start of the
+    block its last second lies in, and the end of the block before. Both are running
+    aggregates, one forwards over the block and one backwards over the block before, whose
+    seconds are entered a frame length later so that they line up. The work per second does
+    not depend on how many seconds a frame holds, and nothing is subtracted.
 
-    Deviations are measured from a centre common to the slice. Equal values give a spread
-    of exactly zero, one value gives none.
+    Blocks are placed by slices of four times the longest frame, which take along the seconds
+    before them that their frames reach; all frames share that one shuffle.
     """
-    frame = slices.rangeBetween(-seconds, 0)
-    n, mean, dev = (F.col(f"__{part}_{sensor}") for part in ("n", "mean", "dev"))
-    offset = mean - F.col(f"__centre_{sensor}")
-    names = {part: f"__{part}_{sensor}_{suffix}" for part in ("n", "sum", "sq", "min", "max")}
-    windows = {
-        "n": _count_in_frame(n, slices, seconds),
-        "sum": F.sum(n * offset).over(frame),
-        "sq": F.sum(dev + n * offset * offset).over(frame),
-        "min": F.min(f"__min_{sensor}").over(frame),
-        "max": F.max(f"__max_{sensor}").over(frame),
-    }
-    used = {
-        "mean": {"n", "sum"},
-        "std": {"n", "sum", "sq", "min", "max"},
-        "min": {"min"},
-        "max": {"max"},
-    }
-    needed = set().union(*(used[stat] for stat in wanted))
-    columns = [windows[part].alias(names[part]) for part in windows if part in needed]
-    at = {part: F.col(name) for part, name in names.items()}
-    spread = F.greatest(at["sq"] - at["sum"] * at["sum"] / at["n"], F.lit(0.0))
-    statistics = {
-        "mean": F.when(at["n"] > 0, F.col(f"__centre_{sensor}") + at["sum"] / at["n"]),
-        "std": F.when(at["n"] > 1, F.when(at["min"] == at["max"], 0.0).otherwise(F.sqrt(spread / (at["n"] - 1)))),
-        "min": at["min"],
-        "max": at["max"],
-    }
-    return columns, {f"{sensor}_{stat}_{suffix}": statistics[stat] for stat in wanted}
+    lengths = sorted({n for n, _ in spec.frames.values()} | {n for _, n in spec.counts.values()})
+    width = max(4 * lengths[-1], HOUR)
+    slice_of = F.floor(F.col(SECOND) / width)
+    needed_in = F.sequence(slice_of, F.floor((F.col(SECOND) + lengths[-1]) / width))
+    placed = (
+        _second_summary(with_second, spec)
+        .withColumn(SLICE, F.explode(needed_in))
+        .repartition(spec.machine, SLICE)
+    )
+    parts = []
+    for n in lengths:
+        block = F.floor(F.col(SECOND) / (n + 1))
+        parts.append(F.struct(F.lit(n).alias("length"), block.alias("block"), F.lit(False).alias("earlier"), F.col(SECOND).alias("at")))
+        parts.append(F.struct(F.lit(n).alias("length"), (block + 1).alias("block"), F.lit(True).alias("earlier"), (F.col(SECOND) + n).alias("at")))
+    entered = placed.withColumn("__part", F.explode(F.array(*parts))).select("*", "__part.*").drop("__part")
+
+    block = Window.partitionBy(spec.machine, SLICE, "length", "block")
+    upto = Window.unboundedPreceding, Window.currentRow
+    whole = block.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    centred = entered.select(
+        "*", *[F.avg(f"__mean_{s}").over(whole).alias(f"__centre_{s}") for s in spec.sensors]
+    )
+    own = _block_parts(spec, ~F.col("earlier"), block.orderBy("at").rangeBetween(*upto))
+    before = _block_parts(spec, F.col("earlier"), block.orderBy(F.desc("at")).rangeBetween(*upto))
+    summed = (
+        centred.select("*", *[c.alias(f"__own{name}") for name, c in own.items()])
+        .select("*", *[c.alias(f"__before{name}") for name, c in before.items()])
+        .filter(~F.col("earlier") & (F.col(SLICE) == slice_of))
+    )
+    return _statistics_per_second(summed, spec)
 
 
-def _frames_per_second(with_second: DataFrame, spec: RollingSpec) -> DataFrame:
-    """Rolling columns for every machine and second that has a reading.
+def _block_parts(spec: RollingSpec, counted: Column, frame: WindowSpec) -> dict[str, Column]:
+    """Running aggregates over the rows of one kind; deviations are taken from the block's centre."""
+    parts = {}
+    for flag in sorted({flag for flag, _ in spec.counts.values()}):
+        parts[f"__flag_{flag}"] = F.sum(F.when(counted, F.col(f"__flag_{flag}"))).over(frame)
+    for s in spec.sensors:
+        n, offset = F.col(f"__n_{s}"), F.col(f"__mean_{s}") - F.col(f"__centre_{s}")
+        parts |= {
+            f"__n_{s}": F.sum(F.when(counted, n)).over(frame),
+            f"__sum_{s}": F.sum(F.when(counted, n * offset)).over(frame),
+            f"__sq_{s}": F.sum(F.when(counted, F.col(f"__dev_{s}") + n * offset * offset)).over(frame),
+            f"__min_{s}": F.min(F.when(counted, F.col(f"__min_{s}"))).over(frame),
+            f"__max_{s}": F.max(F.when(counted, F.col(f"__max_{s}"))).over(frame),
+        }
+    return parts
+
 
-    Slices have a fixed length, four times the longest frame, and take along the seconds
-    before them that their frames reach. A slice holds at most one row per second.
+def _statistics_per_second(summed: DataFrame, spec: RollingSpec) -> DataFrame:
+    """Both parts of each frame merged, and the frames of a second brought into one row.
+
+    Equal values give a spread of exactly zero, one value gives none.
     """
-    reach = max([length for length, _ in spec.frames.values()] + [length for _, length in spec.counts.values()])
-    length = max(4 * reach, HOUR)
-    slice_of = F.floor(F.col(SECOND) / length)
-    needed_in = F.sequence(slice_of, F.floor((F.col(SECOND) + reach) / length))
-    spread = _second_summary(with_second, spec).withColumn(SLICE, F.explode(needed_in))
-    slices = Window.partitionBy(spec.machine, SLICE).orderBy(SECOND)
-    whole = slices.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    centred = spread.select(
-        "*", *[F.avg(f"__mean_{s}").over(whole).alias(f"__centre_{s}") for s in spec.sensors]
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.col(f"__own{name}"), F.lit(0)) + F.coalesce(F.col(f"__before{name}"), F.lit(0))
+
+    merged = {}
+    for s in spec.sensors:
+        n, first, second = total(f"__n_{s}"), total(f"__sum_{s}"), total(f"__sq_{s}")
+        low = F.least(f"__own__min_{s}", f"__before__min_{s}")
+        high = F.greatest(f"__own__max_{s}", f"__before__max_{s}")
+        spread = F.greatest(second - first * first / n, F.lit(0.0))
+        merged |= {
+            f"{s}_mean": F.when(n > 0, F.col(f"__centre_{s}") + first / n),
+            f"{s}_std": F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(spread / (n - 1)))),
+            f"{s}_min": low,
+            f"{s}_max": high,
+        }
+    flags = {flag: total(f"__flag_{flag}") for flag in {flag for flag, _ in spec.counts.values()}}
+    values = summed.select(
+        spec.machine,
+        SLICE,
+        SECOND,
+        "length",
+        *[value.alias(f"__{name}") for name, value in {**merged, **flags}.items()],
     )
-    windows, results = [], {}
-    for suffix, (seconds, wanted) in spec.frames.items():
-        for s in spec.sensors:
-            columns, statistics = _frame_statistics(s, suffix, seconds, wanted, slices)
-            windows += columns
-            results |= statistics
-    for name, (flag, seconds) in spec.counts.items():
-        windows.append(_count_in_frame(F.col(f"__flag_{flag}"), slices, seconds).alias(f"__{name}"))
-        results[name] = F.col(f"__{name}")
-    own = centred.select("*", *windows).filter(F.col(SLICE) == slice_of)
-    return own.select(spec.machine, SECOND, *[value.alias(name) for name, value in results.items()])
+
+    def of(length: int, name: str) -> Column:
+        return F.max(F.when(F.col("length") == length, F.col(f"__{name}")))
+
+    wanted = {
+        f"{s}_{stat}_{suffix}": of(length, f"{s}_{stat}")
+        for suffix, (length, stats) in spec.frames.items()
+        for s in spec.sensors
+        for stat in stats
+    }
+    wanted |= {name: of(length, flag) for name, (flag, length) in spec.counts.items()}
+    # Slice and machine place the rows already, so this grouping moves nothing.
+    grouped = values.groupBy(spec.machine, SLICE, SECOND).agg(*[value.alias(name) for name, value in wanted.items()])
+    return grouped.drop(SLICE)
 
 
 def rolling_features(df: DataFrame, spec: RollingSpec = RollingSpec()) -> DataFrame:
