@@ -16,7 +16,7 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     Partitions are read in growing rounds that stop at the first row beyond the bound, so a
     large table is not scanned.
     """
-    return df.select(F.lit(1)).offset(rows).isEmpty()
+    return not df.select(F.lit(1)).offset(rows).take(1)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

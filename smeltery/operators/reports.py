@@ -78,7 +78,9 @@ def risk_quantiles(df: DataFrame, group: str = "machine_type") -> DataFrame:
     )
 
 
-def latest_status(df: DataFrame, machine: str, time: str, row_id: str, columns: Sequence[str]) -> DataFrame:
+def latest_status(
+    df: DataFrame, machine: str, time: str, row_id: str, columns: Sequence[str] = STATUS_COLUMNS
+) -> DataFrame:
     """The newest row of every machine, with its time as ``last_updated``."""
     newest = first_per_key(df, [machine], [F.desc(time), F.desc(row_id)])
     return newest.withColumn("last_updated", F.col(time)).select(*columns)

@@ -16,7 +16,7 @@ from smeltery.functions import calendar, parsing, rules
 from smeltery.operators import (
     evaluation, intervals, learning, lookup, monthly, quality, quantiles, reports, rolling,
 )
-from smeltery.session import ROCKSDB, scratch_dir
+from smeltery.session import ROCKSDB, fit_session, scratch_dir
 from smeltery.sources import readers, schemas, writers
 from smeltery.streaming import horizon, ingest, stateful, windows
 
@@ -73,10 +73,10 @@ DELAY = "10 minutes"
 
 
 def query(function: Query) -> Query:
-    """Register a query under its own name, with times read as UTC."""
+    """Register a query under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        fit_session(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
@@ -102,7 +102,10 @@ def events_dim(spark: SparkSession) -> DataFrame:
 
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
-    """Base tables are joined one by one, so Spark knows the size of each it may broadcast."""
+    """Line items with what they refer to, money in cents.
+
+    Base tables are joined one by one, so Spark knows the size of each it may broadcast.
+    """
     lines = table(spark, d, "lineitem")
     return (
         lines.join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -121,8 +124,8 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
             F.col("c_mktsegment").alias("channel"),
             F.to_date("l_shipdate").alias("transaction_date"),
             F.col("l_quantity").cast("int").alias("quantity_sold"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("unit_price"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("revenue"),
+            F.round(F.col("l_extendedprice") * 100).cast("long").alias("unit_price"),
+            F.round(F.col("l_extendedprice") * 100).cast("long").alias("revenue"),
             F.round(F.col("l_discount") * 100).cast("int").alias("returns"),
         )
     )
@@ -196,7 +199,7 @@ def frame_columns(frames) -> list[str]:
 def monthly_demand_features(spark, d):
     flagged = intervals.flag_event_days(sales(spark, d), "transaction_date", events_dim(spark))
     features = monthly.monthly_features(flagged, monthly_spec())
-    money = features.withColumn("total_revenue", F.col("total_revenue").cast("double"))
+    money = features.withColumns({c: F.col(c) / 100 for c in ("total_revenue", "avg_unit_price")})
     return rounded(money, ["avg_unit_price", "rolling_avg_3m", "rolling_avg_6m"])
 
 

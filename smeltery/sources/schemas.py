@@ -28,12 +28,13 @@ def schema_of(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
-# Field names and types of the two message formats.
+# Field names and types of the two message formats. Money is read as double, so that
+# cents survive until silver turns them into decimals.
 SALES_TRANSACTION = schema_of("""
     transaction_id string, timestamp string,
     drug_id string, drug_name string, drug_category string, drug_type string,
     region_id string, region_name string, zone string, tier string, channel string,
-    quantity_sold int, unit_price float, returns int, revenue float,
+    quantity_sold int, unit_price double, returns int, revenue double,
     cold_chain_required boolean, is_generic boolean, manufacturer string,
     ingestion_source string, ingestion_timestamp string
 """)

@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 import statistics
 
@@ -54,6 +55,20 @@ def test_reports(spark):
     assert box == {"Pump": (0.6, 0.75, 0.9, 2), "Motor": (0.1, 0.1, 0.1, 1)}
 
 
+def test_status_and_trend(spark):
+    start = dt.datetime(2024, 1, 1, 10)
+    rows = [("m1", i, start + dt.timedelta(minutes=m), float(m)) for i, m in enumerate((0, 31, 59, 59, 60))] + [("m2", 9, start, 5.0)]
+    df = spark.createDataFrame(rows, "machine_id string, reading_id int, timestamp timestamp, temperature double").withColumns(
+        {c: F.lit(None).cast("string") for c in ("machine_type", "location", "vibration", "pressure", "rpm", "failure_probability", "risk_level")}
+    )
+    status = {r.machine_id: r for r in reports.latest_status(df, "machine_id", "timestamp", "reading_id").collect()}
+    assert tuple(status["m1"].asDict()) == reports.STATUS_COLUMNS
+    assert (status["m1"].temperature, status["m1"].last_updated) == (60.0, start + dt.timedelta(minutes=60))
+    one = reports.sensor_trend(df, "machine_id", "timestamp", ["temperature"], machine_id="m1")
+    assert [r.temperature for r in one.orderBy("step_start").collect()] == [31.0, 59.0, 60.0]
+    assert reports.sensor_trend(df, "machine_id", "timestamp", ["temperature"]).count() == 4
+
+
 def test_split_keeps_the_share_of_both_classes(spark):
     df = spark.range(20_000).select("id", (F.col("id") % 20 == 0).cast("int").alias("y"))
     out = learning.mark_training_rows(df, "id", "y")
