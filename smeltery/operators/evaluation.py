@@ -43,14 +43,15 @@ def _scores(hits: Column, predicted: Column, actual: Column) -> dict[str, Column
 def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Precision, recall, F1 and support per class."""
     cells = confusion_counts(df, label, prediction)
+    rows, none = F.col("rows"), F.lit(0).cast("long")
     sides = cells.select(
         F.explode(
             F.array(
-                F.struct(F.col("label").alias("class"), F.col("rows").alias("actual"), F.lit(0).cast("long").alias("predicted")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("actual"), F.col("rows").alias("predicted")),
+                F.struct(F.col("label").alias("class"), rows.alias("actual"), none.alias("predicted")),
+                F.struct(F.col("prediction").alias("class"), none.alias("actual"), rows.alias("predicted")),
             )
         ).alias("side"),
-        F.when(F.col("label") == F.col("prediction"), F.col("rows")).otherwise(0).alias("hits"),
+        F.when(F.col("label") == F.col("prediction"), rows).otherwise(0).alias("hits"),
     ).select("side.*", "hits")
     # A cell on the diagonal appears on both sides, so its hits are counted once.
     totals = sides.groupBy("class").agg(

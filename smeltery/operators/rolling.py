@@ -193,8 +193,12 @@ def _frames_per_second(with_second: DataFrame, spec: RollingSpec) -> DataFrame:
     parts = []
     for n in lengths:
         block = F.floor(F.col(SECOND) / (n + 1))
-        parts.append(F.struct(F.lit(n).alias("length"), block.alias("block"), F.lit(False).alias("earlier"), F.col(SECOND).alias("at")))
-        parts.append(F.struct(F.lit(n).alias("length"), (block + 1).alias("block"), F.lit(True).alias("earlier"), (F.col(SECOND) + n).alias("at")))
+        for number, earlier, at in ((block, False, F.col(SECOND)), (block + 1, True, F.col(SECOND) + n)):
+            parts.append(
+                F.struct(
+                    F.lit(n).alias("length"), number.alias("block"), F.lit(earlier).alias("earlier"), at.alias("at")
+                )
+            )
     entered = placed.withColumn("__part", F.explode(F.array(*parts))).select("*", "__part.*").drop("__part")
 
     block = Window.partitionBy(spec.machine, SLICE, "length", "block")

@@ -28,7 +28,14 @@ def _watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
     return df.withWatermark(time, delay) if df.isStreaming else df
 
 
-def tumbling(df: DataFrame, time: str, keys: Sequence[str], sensors: Sequence[str], length: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+def tumbling(
+    df: DataFrame,
+    time: str,
+    keys: Sequence[str],
+    sensors: Sequence[str],
+    length: str = "5 minutes",
+    delay: str = "10 minutes",
+) -> DataFrame:
     return _by_window(_watermarked(df, time, delay), F.window(time, length), keys, sensors)
 
 
@@ -45,6 +52,13 @@ def sliding(
     return _by_window(_watermarked(df, time, delay), F.window(time, length, step), keys, sensors)
 
 
-def sessions(df: DataFrame, time: str, keys: Sequence[str], sensors: Sequence[str], gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+def sessions(
+    df: DataFrame,
+    time: str,
+    keys: Sequence[str],
+    sensors: Sequence[str],
+    gap: str = "30 minutes",
+    delay: str = "10 minutes",
+) -> DataFrame:
     """Stretches of readings without a pause as long as ``gap``; the pauses are outages."""
     return _by_window(_watermarked(df, time, delay), F.session_window(time, gap), keys, sensors)
