@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import simhash
+from smeltery.llm import sharding, simhash
 from smeltery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,24 @@ def op1_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
+    text = F.col("text")
+    return sharding.shard(table(spark, d, "documents"), shards=16).select(
+        "doc_id",
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_sharding,
     )
 }
 
