@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import sharding, simhash
+from smeltery.llm import decontaminate, sharding, simhash
 from smeltery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,12 +31,49 @@ def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op2_sharding,
+        op5_decontamination,
     )
 }
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TEST_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+SQL: dict[str, str] = {
+    "op5_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TEST_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_TEST_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+            FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0),
+        runs AS (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+            FROM d, (SELECT DISTINCT n FROM windows) AS s, unnest(range(1, len(w) - n + 2)) AS t(i)),
+        hits AS (SELECT DISTINCT r, i, n, item_id FROM runs JOIN windows USING (n, g)),
+        words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+        found AS (
+            SELECT r, count(DISTINCT item_id) AS n_items,
+                string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM hits GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+    """,
+}
