@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, sharding, simhash
-from smeltery.llm.common import table
+from smeltery.llm import decontaminate, langid, sharding, simhash
+from smeltery.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,12 +43,22 @@ def op5_decontamination(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    remainder = id_remainder(F.col("doc_id"), 3)
+    filters = langid.learn(docs.where(remainder != 1))
+    held_out = F.coalesce(remainder == 1, F.lit(False)).alias("held_out")
+    found = langid.predict(docs.select("doc_id", "text"), filters)
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op2_sharding,
         op5_decontamination,
+        op6_language_id,
     )
 }
 
