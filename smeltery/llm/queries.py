@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, sharding, simhash
-from smeltery.llm.common import id_remainder, table
+from smeltery.llm import decontaminate, langid, quality, sharding, simhash
+from smeltery.llm.common import id_remainder, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,20 @@ def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op9_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    featured = stored(quality.with_statistics(docs), "quality-statistics")
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    remainder = id_remainder(F.col("doc_id"), 4)
+    model = quality.fit(featured.where(remainder != 2).join(labels, "doc_id"), "quality")
+    return quality.score(featured, model).select(
+        "doc_id",
+        F.coalesce(remainder == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -59,6 +73,7 @@ QUERIES: dict[str, Query] = {
         op2_sharding,
         op5_decontamination,
         op6_language_id,
+        op9_quality_classifier,
     )
 }
 
