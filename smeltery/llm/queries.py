@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, quality, sharding, simhash
+from smeltery.llm import decontaminate, langid, lm, quality, sharding, simhash
 from smeltery.llm.common import id_remainder, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,11 +66,27 @@ def op9_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    remainder = id_remainder(F.col("doc_id"), 10)
+    model, counts = lm.fit(docs.where(remainder != 0))
+    return lm.score(docs, model, counts).select(
+        "doc_id",
+        F.coalesce(remainder == 0, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op2_sharding,
+        op3_lm_scoring,
         op5_decontamination,
         op6_language_id,
         op9_quality_classifier,
