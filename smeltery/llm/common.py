@@ -41,6 +41,17 @@ def id_remainder(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string")) % modulus
 
 
+def word_count(text: Column) -> Column:
+    """Number of words between ASCII white space; 0 for NULL.
+
+    A word starts where a character that is no white space follows the start or white space:
+    white space is made blank, runs of it one, and the blanks left are counted.
+    """
+    blank = F.trim(F.regexp_replace(text, SPACES, " "))
+    words = F.length(blank) - F.length(F.replace(blank, F.lit(" "), F.lit(""))) + 1
+    return F.when(F.coalesce(F.length(blank), F.lit(0)) == 0, 0).otherwise(words).cast("long")
+
+
 def word_list(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z) UTF-8 words between ASCII white space; none for NULL."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, lm, quality, sharding, simhash
-from smeltery.llm.common import id_remainder, stored, table
+from smeltery.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash
+from smeltery.llm.common import id_remainder, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,14 @@ def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
+    return mixing.mix(sized).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source"
+    )
+
+
 def op5_decontamination(spark: SparkSession, d: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return found.select(
@@ -87,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op1_simhash_near_dedup,
         op2_sharding,
         op3_lm_scoring,
+        op4_mixing,
         op5_decontamination,
         op6_language_id,
         op9_quality_classifier,
