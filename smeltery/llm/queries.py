@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash
+from smeltery.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, vafile
 from smeltery.llm.common import id_remainder, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,12 @@ def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op7_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    found = vafile.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     featured = stored(quality.with_statistics(docs), "quality-statistics")
@@ -98,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op4_mixing,
         op5_decontamination,
         op6_language_id,
+        op7_exact_top_k,
         op9_quality_classifier,
     )
 }
@@ -126,4 +133,17 @@ SQL: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
     """,
+    "op7_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(coalesce(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])), 0) AS BIGINT) AS score
+            FROM v AS q, v AS c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+        WHERE rank <= 20
+    """,
 }
