@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, vafile
+from smeltery.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, urls, vafile
 from smeltery.llm.common import id_remainder, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op7_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op8_url_filters(spark: SparkSession, d: str) -> DataFrame:
+    return urls.judge(table(spark, d, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     featured = stored(quality.with_statistics(docs), "quality-statistics")
@@ -105,11 +109,44 @@ QUERIES: dict[str, Query] = {
         op5_decontamination,
         op6_language_id,
         op7_exact_top_k,
+        op8_url_filters,
         op9_quality_classifier,
     )
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_URL_RULES = sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))
+
+
+def _rule_case(index: int) -> str:
+    fits = "WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{then}'"
+    cases = [fits.format(h=r[1], p=r[2], then=(r[0], r[1] + r[2])[index]) for r in _URL_RULES]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _url_level(level: int) -> str:
+    """One level of the template tree: tree{level} to tree{level + 1}."""
+    return f"""
+        own{level} AS (SELECT *, coalesce(segments[{level + 1}], '') AS own FROM tree{level}),
+        kids{level} AS (
+            SELECT host, template, own, sum(pages) AS pages, sum(labels) AS labels, sum(blocked) AS blocked
+            FROM own{level} GROUP BY ALL),
+        nodes{level} AS (
+            SELECT host, template, count(*) AS kids, sum(pages) AS p, CAST(sum(blocked) AS DOUBLE) / nullif(sum(labels), 0) AS usual
+            FROM kids{level} GROUP BY ALL),
+        steps{level} AS (
+            SELECT host, template, own, CASE WHEN own = '' THEN ''
+                WHEN kids > {urls.KIDS} AND p < {urls.THIN} * kids THEN '/*'
+                WHEN labels >= {urls.LABELS} AND (CAST(blocked AS DOUBLE) / labels - usual) * (CAST(blocked AS DOUBLE) / labels - usual)
+                    * labels <= {urls.DEVIATIONS}::DOUBLE * greatest(usual * (1 - usual), {urls.VARIANCE}::DOUBLE) THEN '/+'
+                ELSE '/' || own END AS step
+            FROM kids{level} JOIN nodes{level} USING (host, template)),
+        tree{level + 1} AS (
+            SELECT host, segments, pages, labels, blocked, template || step AS template
+            FROM own{level} JOIN steps{level} USING (host, template, own)),
+    """
+
+
 _TEST_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 
 SQL: dict[str, str] = {
@@ -146,4 +183,30 @@ SQL: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
         WHERE rank <= 20
     """,
+    "op8_url_filters": rf"""
+        WITH rest AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM rest),
+        parsed AS (
+            SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path FROM hosts),
+        ruled AS (
+            SELECT *, {_rule_case(1)} AS rule, {_rule_case(0)} AS action,
+                list_transform(
+                    list_filter(string_split(path, '/'), lambda x: x <> '')[1:{urls.DEPTH}],
+                    lambda x: CASE WHEN length(x) > {urls.LITERAL} THEN '*' ELSE regexp_replace(x, '[0-9]+', '{{n}}', 'g') END
+                ) AS segments FROM parsed),
+        tree0 AS (
+            SELECT host, segments, '' AS template, count(*) AS pages, count(action) AS labels,
+                count(*) FILTER (action = 'block') AS blocked
+            FROM ruled GROUP BY host, segments),
+        {"".join(_url_level(level) for level in range(urls.DEPTH))}
+        judged AS (
+            SELECT host, template, CASE WHEN (sum(blocked) + {urls.PRIOR * urls.PRIOR_WEIGHT}::DOUBLE)
+                / (sum(labels) + {urls.PRIOR_WEIGHT}::DOUBLE) >= {urls.PURE}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict
+            FROM tree{urls.DEPTH} GROUP BY ALL),
+        known AS (SELECT t.host, t.segments, j.verdict FROM tree{urls.DEPTH} AS t JOIN judged AS j USING (host, template))
+        SELECT page_id, r.host, path, rule, coalesce(action, k.verdict) AS verdict
+        FROM ruled AS r JOIN known AS k ON r.host = k.host AND r.segments = k.segments
+    """,
 }
