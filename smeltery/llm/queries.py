@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, urls, vafile
+from smeltery.llm import decontaminate, langid, lines, lm, mixing, quality, sharding, simhash, urls, vafile
 from smeltery.llm.common import id_remainder, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,11 @@ def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs).select("doc_id", F.col("source").alias("host"), "n_lines", "n_dropped", "text")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
         op7_exact_top_k,
         op8_url_filters,
         op9_quality_classifier,
+        op10_line_dedup,
     )
 }
 
@@ -209,4 +215,21 @@ SQL: dict[str, str] = {
         SELECT page_id, r.host, path, rule, coalesce(action, k.verdict) AS verdict
         FROM ruled AS r JOIN known AS k ON r.host = k.host AND r.segments = k.segments
     """,
+    "op10_line_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+        counts AS (
+            SELECT source, line, count(DISTINCT r) AS n FROM (SELECT r, source, unnest(lines) AS line FROM d)
+            WHERE trim(line) <> '' GROUP BY ALL),
+        totals AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+        found AS (
+            SELECT counts.source, list(line) AS dropped FROM counts JOIN totals ON counts.source IS NOT DISTINCT FROM totals.source
+            WHERE n >= {lines.LEAST} AND CAST(n AS DOUBLE) / total > {lines.RATIO}::DOUBLE GROUP BY counts.source),
+        kept AS (
+            SELECT doc_id, d.source, lines, CASE WHEN dropped IS NULL THEN lines
+                ELSE list_filter(lines, lambda x: NOT list_contains(dropped, x)) END AS stay
+            FROM d LEFT JOIN found ON d.source IS NOT DISTINCT FROM found.source)
+        SELECT doc_id, source AS host, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
+            CAST(coalesce(len(lines) - len(stay), 0) AS BIGINT) AS n_dropped, array_to_string(stay, chr(10)) AS text
+        FROM kept
+    """,
 }
