@@ -310,7 +310,9 @@ def hit_words() -> Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **how) -> DataFrame:
     """The documents in which no test window occurs, unchanged."""
-    found = contamination(docs, benchmark, **how)
-    return found.where(F.size("spans") == 0).select(docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("_row"), F.col(text_column).alias("_text"))
+    found = contamination(rows, benchmark, text_column="_text", **how).where(F.size("spans") == 0)
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

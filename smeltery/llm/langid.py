@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm.common import LETTER, slices, with_columns_of
@@ -170,6 +170,9 @@ def predict(docs: DataFrame, filters: Filters, text_column: str = "text") -> Dat
     return docs.select(*kept, F.col(text_column).cast("string").alias("_read")).mapInArrow(label, out)
 
 
-def recognised(least: float = 0.0) -> Column:
-    """Whether :func:`predict` found a language with more than ``least`` of the n-grams."""
-    return (F.col("lang_pred") != UNDETERMINED) & (F.col("score") > least)
+def recognised(docs: DataFrame, filters: Filters, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language :func:`predict` determines."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("_row"), F.col(text_column).cast("string").alias("_text"))
+    found = predict(rows, filters, "_text").where(F.col("lang_pred") != UNDETERMINED)
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
