@@ -1,0 +1,107 @@
+import numpy as np
+import pytest
+from corpus import DOCS, clashing, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from smeltery.llm import decontaminate
+
+ITEMS = "item_id long, text string, spans string"
+
+
+def plain(text, items, width=10):
+    """Words, hit words and items of one text, by comparing every window."""
+    words = decontaminate.words_of(text)
+    hit, names = set(), set()
+    for name, item in items:
+        tokens = decontaminate.words_of(item)
+        for start in range(max(1, len(tokens) - width + 1)):
+            window = tokens[start : start + width]
+            for at in range(len(words) - len(window) + 1) if window else ():
+                if words[at : at + len(window)] == window:
+                    hit |= set(range(at, at + len(window)))
+                    names |= {str(name)} if name is not None else set()
+    return len(words), len(hit), sorted(names)
+
+
+def cases():
+    rows = documents(30)
+    text = rows[4][1]
+    words = text.split()
+    items = [
+        (1, " ".join(words[3:18])),
+        (2, " ".join(words[3:18]).upper()),
+        (10, "One two"),
+        (3, None),
+        (4, "!!"),
+        (None, rows[7][1]),
+        (5, " ".join(rows[34][1].split()[11_990:12_005])),
+        (6, "one one one"),
+        (7, "no such words anywhere"),
+        (1, "two"),
+    ]
+    rows += [(900, "one one one one one two one one", "en", "s", 1), (901, "x" + " ".join(words[3:18]), "en", "s", 1)]
+    return rows, items
+
+
+@pytest.mark.parametrize("width", [10, 3])
+def test_equals_brute_force(spark, monkeypatch, width):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 500)
+    rows, items = cases()
+    benchmark = spark.createDataFrame([(*i, "own") for i in items], ITEMS)
+    docs = clashing(spark, rows)
+    found = decontaminate.contamination(docs, benchmark, width=width)
+    assert set(found.columns) == {*docs.columns, "n_words"}
+    got = found.select("doc_id", "text", "n_words", decontaminate.hit_words().alias("n_hit"), "items").collect()
+    expected = [(str(r[0]), *plain(r[1], items, width)) for r in rows]
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in got) == sorted(expected)
+
+
+def test_blocks_of_the_test_set_give_the_same(spark, monkeypatch):
+    rows, items = cases()
+    docs, benchmark = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(*i, "own") for i in items], ITEMS)
+    once = decontaminate.contamination(docs, benchmark).orderBy("doc_id", "text").collect()
+    monkeypatch.setattr(decontaminate, "TEST_WORDS", 20)
+    assert decontaminate.contamination(docs, benchmark).orderBy("doc_id", "text").collect() == once
+
+
+def test_clean_documents_are_left_alone(spark):
+    rows, items = cases()
+    docs, benchmark = clashing(spark, rows), spark.createDataFrame([(*i, "own") for i in items], ITEMS)
+    kept = decontaminate.clean_documents(docs, benchmark)
+    assert kept.columns == docs.columns
+    clean = [r for r in rows if plain(r[1], items)[1] == 0]
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(
+        map(str, spark.createDataFrame(clean, DOCS).select("doc_id", "text").collect())
+    )
+
+
+def test_empty_tables(spark):
+    rows, items = cases()
+    docs, benchmark = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(*i, "own") for i in items], ITEMS)
+    assert decontaminate.contamination(docs.limit(0), benchmark).count() == 0
+    assert decontaminate.contamination(docs, benchmark.limit(0)).where(F.size("spans") > 0).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=60), st.lists(st.lists(st.integers(0, 4), max_size=6), max_size=8))
+def test_occurrences_of_any_windows(text, items):
+    windows = decontaminate.windows_of([(i, [b"%d" % x for x in item]) for i, item in enumerate(items)], 4)
+    symbols = np.array([windows.vocabulary.get(b"%d" % x, 0) for x in text], np.int64)
+    at, found = decontaminate.occurrences(symbols, windows)
+    expected = set()
+    for number, (row, length) in enumerate(zip(windows.patterns, windows.lengths)):
+        window = row[len(row) - length :].tolist()
+        expected |= {(i, number) for i in range(len(text) - length + 1) if symbols[i : i + length].tolist() == window}
+    assert len(at) == len(expected) and set(zip(at.tolist(), found.tolist())) == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=300), st.integers(0, 9))
+def test_wavelet_tree_ranks(sequence, symbol):
+    tree = decontaminate.WaveletTree(np.array(sequence), 10)
+    ends = np.arange(len(sequence) + 1)
+    ranks = tree.rank(np.full(len(ends), symbol), ends)
+    assert ranks.tolist() == [sequence[:e].count(symbol) for e in ends]
+    assert tree.at(np.arange(len(sequence))).tolist() == sequence
