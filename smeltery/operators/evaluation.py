@@ -63,22 +63,32 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return totals.select("class", *[value.alias(name) for name, value in scores.items()], "support")
 
 
-def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5, ranges: int = 64) -> DataFrame:
     """ROC AUC, F1, precision and recall at a threshold, rounded to 4 digits.
 
-    The area is counted on scores rounded to 4 digits: at most 10,001 levels, so the one
-    ordered pass over them stays small whatever the number of rows. Ties count half.
+    The area is exact: labels are counted per distinct score, ties count half. Distinct scores
+    are cut into about equal ranges by approximate quantiles; each range is ordered by itself
+    and starts with the negatives of the ranges below, so no task orders all scores.
     """
     positive = F.col(label).cast("int") == 1
     predicted = F.col(score) >= threshold
-    levels = df.groupBy(F.round(F.col(score), 4).alias("level")).agg(
+    levels = df.groupBy(F.col(score).cast("double").alias("level")).agg(
         F.count_if(positive).alias("pos"),
         F.count_if(~positive).alias("neg"),
         F.count_if(positive & predicted).alias("hits"),
         F.count_if(predicted).alias("predicted"),
     )
-    below = F.sum("neg").over(Window.orderBy("level")) - F.col("neg")
-    totals = levels.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).agg(
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = levels.agg(F.percentile_approx("level", shares, 1000).alias("cuts"))
+    lower = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < F.col("level")))
+    placed = levels.crossJoin(F.broadcast(cuts)).withColumn("range", F.greatest(lower, F.lit(0))).drop("cuts")
+    per_range = placed.groupBy("range").agg(F.sum("neg").alias("range_neg"))
+    earlier = F.sum("range_neg").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = per_range.select("range", F.coalesce(earlier, F.lit(0)).alias("start"))
+    inside = Window.partitionBy("range").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("start") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    won = F.col("pos") * (below + F.col("neg") / 2)
+    totals = placed.join(starts, "range").withColumn("won", won).agg(
         F.sum("won").alias("won"),
         *[F.sum(name).alias(name) for name in ("pos", "neg", "hits", "predicted")],
     )

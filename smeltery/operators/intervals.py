@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from smeltery.functions.parsing import split_list
 from smeltery.functions.rules import is_true
-from smeltery.operators.lookup import broadcast_if_small
 
 # Order of the impact names.
 IMPACT_RANK = {"High": 3, "Medium": 2, "Low": 1}
@@ -34,7 +33,7 @@ def flag_event_days(
 ) -> DataFrame:
     """True where the date lies in any interval; a missing date gives false."""
     days = interval_days(intervals, date, start, end).select(date).distinct().withColumn(flag, F.lit(True))
-    joined = df.join(broadcast_if_small(days), date, "left")
+    joined = df.join(days, date, "left")
     return joined.withColumn(flag, is_true(F.col(flag)))
 
 
@@ -66,7 +65,7 @@ def match_events(
         .agg(F.count(F.lit(1)).alias("active_events"), F.max("__rank").alias("__rank"))
     )
     names = F.create_map(*[F.lit(part) for name, value in IMPACT_RANK.items() for part in (value, name)])
-    joined = df.join(broadcast_if_small(active), [date, zone, category], "left")
+    joined = df.join(active, [date, zone, category], "left")
     return joined.withColumns(
         {
             "active_events": F.coalesce("active_events", F.lit(0)).cast("long"),

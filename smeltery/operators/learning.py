@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from smeltery.functions.rules import is_true
 from smeltery.operators.evaluation import binary_metrics, class_balance
-from smeltery.operators.lookup import broadcast_if_small
 from smeltery.operators.reports import add_risk
 
 # Columns that are no features, and the categorical ones.
@@ -87,14 +86,19 @@ def mark_training_rows(
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
-    """Alphabetical codes of a categorical column, from 0: one row per value.
+    """Alphabetical codes of a categorical column, from 0: one row per value, none for NULL.
 
-    Distinct values are sorted across tasks and numbered by the position of their task and
-    their place in it, so the number of values is not bounded by one task.
+    Distinct values are counted per first characters; a code is the number of values with
+    smaller first characters plus the place among those that share them. Only the counts, one
+    row per pair of first characters, are ordered in one task.
     """
-    values = df.select(F.col(column).cast("string").alias(column)).distinct().na.drop().sort(column)
-    numbered = values.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    return df.sparkSession.createDataFrame(numbered, f"`{column}` string, code bigint")
+    values = df.select(F.col(column).cast("string").alias(column)).distinct().na.drop()
+    placed = values.withColumn("__head", F.substring(column, 1, 2))
+    counted = placed.groupBy("__head").agg(F.count(F.lit(1)).alias("__values"))
+    earlier = F.sum("__values").over(Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counted.select("__head", F.coalesce(earlier, F.lit(0)).alias("__start"))
+    own = F.row_number().over(Window.partitionBy("__head").orderBy(column)) - 1
+    return placed.withColumn("__own", own).join(starts, "__head").select(column, (F.col("__start") + F.col("__own")).alias("code"))
 
 
 def encode_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -103,7 +107,7 @@ def encode_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         codes = category_codes(df, column).withColumnRenamed("code", "__code")
         df = (
             df.withColumn(column, F.col(column).cast("string"))
-            .join(broadcast_if_small(codes), column, "left")
+            .join(codes, column, "left")
             .withColumn(column, F.col("__code"))
             .drop("__code")
         )

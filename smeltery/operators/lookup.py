@@ -7,36 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows.
-
-    Partitions are read in growing rounds that stop at the first row beyond the bound, so a
-    large table is not scanned.
-    """
-    return not df.select(F.lit(1)).offset(rows).take(1)
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint when its size allows, else unchanged.
-
-    Without the hint Spark shuffles both sides and splits partitions that a frequent key
-    makes too large (adaptive skew join).
-    """
-    return F.broadcast(df) if is_small(df, rows) else df
-
-
 def add_dimension(
     facts: DataFrame,
     dimension: DataFrame,
     key: str | Sequence[str],
     columns: Sequence[str],
-    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join of the listed dimension columns on a key that is unique in the dimension.
 
+    Nothing is read to choose the join: adaptive execution broadcasts the dimension when its
+    bytes are known to be few, and else splits partitions that a frequent key makes too large.
+
     A column both sides have is kept once: the dimension's value, or the fact's where the
     dimension has none.
     """
@@ -44,7 +25,7 @@ def add_dimension(
     shared = [name for name in columns if name in facts.columns]
     renamed = {name: f"__dim_{name}" for name in shared}
     side = dimension.select(*keys, *columns).withColumnsRenamed(renamed)
-    joined = facts.join(broadcast_if_small(side, rows), keys, "left")
+    joined = facts.join(side, keys, "left")
     merged = joined.withColumns({name: F.coalesce(renamed[name], name) for name in shared})
     return merged.drop(*renamed.values())
 

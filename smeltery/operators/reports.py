@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions.rules import failure_probability, recommendation, risk_level
-from smeltery.operators.lookup import broadcast_if_small
 from smeltery.operators.quality import first_per_key
 from smeltery.operators.quantiles import binned_quantiles
 
@@ -98,7 +97,7 @@ def sensor_trend(
     """Means per step over the last minutes of each machine's readings, or of one machine's."""
     own = df if machine_id is None else df.filter(F.col(machine) == machine_id)
     ends = own.groupBy(machine).agg(F.max(time).alias("__end"))
-    recent = own.join(broadcast_if_small(ends), machine).filter(
+    recent = own.join(ends, machine).filter(
         F.col(time) > F.col("__end") - F.expr(f"INTERVAL {minutes} MINUTES")
     )
     means = recent.groupBy(machine, F.window(time, step).alias("__step")).agg(

@@ -205,7 +205,7 @@ def _frames_per_second(with_second: DataFrame, spec: RollingSpec) -> DataFrame:
     upto = Window.unboundedPreceding, Window.currentRow
     whole = block.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     centred = entered.select(
-        "*", *[F.avg(f"__mean_{s}").over(whole).alias(f"__centre_{s}") for s in spec.sensors]
+        "*", *[_finite_centre(F.col(f"__mean_{s}"), whole).alias(f"__centre_{s}") for s in spec.sensors]
     )
     own = _block_parts(spec, ~F.col("earlier"), block.orderBy("at").rangeBetween(*upto))
     before = _block_parts(spec, F.col("earlier"), block.orderBy(F.desc("at")).rangeBetween(*upto))
@@ -217,6 +217,15 @@ def _frames_per_second(with_second: DataFrame, spec: RollingSpec) -> DataFrame:
     return _statistics_per_second(summed, spec)
 
 
+def _is_finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+
+
+def _finite_centre(mean: Column, whole: WindowSpec) -> Column:
+    """The average of the finite means: NaN and infinity count in the frames that hold them only."""
+    return F.coalesce(F.avg(F.when(_is_finite(mean), mean)).over(whole), F.lit(0.0))
+
+
 def _block_parts(spec: RollingSpec, counted: Column, frame: WindowSpec) -> dict[str, Column]:
     """Running aggregates over the rows of one kind; deviations are taken from the block's centre."""
     parts = {}
@@ -251,7 +260,7 @@ def _statistics_per_second(summed: DataFrame, spec: RollingSpec) -> DataFrame:
         spread = F.greatest(second - first * first / n, F.lit(0.0))
         merged |= {
             f"{s}_mean": F.when(n > 0, F.col(f"__centre_{s}") + first / n),
-            f"{s}_std": F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(spread / (n - 1)))),
+            f"{s}_std": F.when(n > 1, F.when((low == high) & _is_finite(low), 0.0).otherwise(F.sqrt(spread / (n - 1)))),
             f"{s}_min": low,
             f"{s}_max": high,
         }

@@ -16,7 +16,7 @@ from smeltery.functions import calendar, parsing, rules
 from smeltery.operators import (
     evaluation, intervals, learning, lookup, monthly, quality, quantiles, reports, rolling,
 )
-from smeltery.session import ROCKSDB, fit_session, scratch_dir
+from smeltery.session import ROCKSDB, scratch_dir
 from smeltery.sources import readers, schemas, writers
 from smeltery.streaming import horizon, ingest, stateful, windows
 
@@ -74,12 +74,7 @@ DELAY = "10 minutes"
 
 def query(function: Query) -> Query:
     """Register a query under its own name."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fit_session(spark)
-        return function(spark, sf_dir)
-
-    QUERIES[function.__name__] = run
+    QUERIES[function.__name__] = function
     return function
 
 
@@ -131,7 +126,7 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def as_readings(events: DataFrame) -> DataFrame:
+def as_readings(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
         F.col("event_id").alias("reading_id"),
         F.col("user_id").alias("machine_id"),
@@ -139,6 +134,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         F.col("value").alias("temperature"),
         F.get_json_object("props", "$.k").cast("double").alias("vibration"),
         "event_type",
+        *more,
     )
 
 
@@ -465,22 +461,33 @@ def risk_tier(spark, d):
     )
 
 
+def fleet(spark, d) -> DataFrame:
+    """The newest reading of every machine, with type and location."""
+    columns = ["machine_id", "failure_probability", "risk_level"]
+    newest = reports.latest_status(with_probability(readings(spark, d)), "machine_id", "timestamp", "reading_id", columns)
+    return lookup.add_dimension(newest, machine_master(spark, d), "machine_id", ["machine_type", "location"])
+
+
 @query
 def fleet_kpis(spark, d):
-    return rounded(reports.fleet_kpis(with_probability(readings(spark, d))), ["avg_failure_probability"])
+    return rounded(reports.fleet_kpis(fleet(spark, d)), ["avg_failure_probability"])
+
+
+@query
+def fleet_kpis_filtered(spark, d):
+    chosen = reports.fleet_filter(fleet(spark, d), location=7, machine_type="BUILDING")
+    return rounded(reports.fleet_kpis(chosen), ["avg_failure_probability"])
 
 
 @query
 def risk_distribution(spark, d):
-    filtered = reports.fleet_filter(with_probability(readings(spark, d)), levels=["MEDIUM", "HIGH", "CRITICAL"])
-    return reports.risk_distribution(filtered)
+    return reports.risk_distribution(reports.fleet_filter(fleet(spark, d), levels=["MEDIUM", "HIGH", "CRITICAL"]))
 
 
 @query
 def risk_quantiles_by_type(spark, d):
-    typed = lookup.add_dimension(readings(spark, d), machine_master(spark, d), "machine_id", ["machine_type"])
     return rounded(
-        reports.risk_quantiles(with_probability(typed)),
+        reports.risk_quantiles(fleet(spark, d)),
         ["minimum", "lower_quartile", "median", "upper_quartile", "maximum"],
     )
 
@@ -555,8 +562,8 @@ def classification_report(spark, d):
 
 @query
 def binary_metrics(spark, d):
-    scored = with_probability(labelled_readings(spark, d))
-    return evaluation.binary_metrics(scored, "failed", "failure_probability", threshold=0.1)
+    scored = labelled_readings(spark, d).withColumn("score", F.col("temperature") / 500.0)
+    return evaluation.binary_metrics(scored, "failed", "score", threshold=0.1)
 
 
 def training_data(spark, d) -> tuple[DataFrame, learning.TrainingSpec]:
@@ -631,8 +638,10 @@ def stream_bronze(spark, d):
 def stream_silver(spark, d):
     parsed = ingest.parse_messages(messages_of(event_stream(spark, d)), MESSAGE_SCHEMA)
     bronze = ingest.bronze_rows(parsed, "kafka").withColumn("ts", parsing.to_timestamp_or_null(F.col("timestamp")))
-    complete = quality.keep_required(as_readings(bronze), ["reading_id", "machine_id", "timestamp"])
-    distinct = ingest.drop_repeats(complete, "timestamp", ["reading_id"], "1 day")
+    complete = quality.keep_required(
+        as_readings(bronze, "bronze_ingested_at"), ["reading_id", "machine_id", "timestamp"]
+    )
+    distinct = ingest.drop_repeats(complete, ["reading_id"], "1 day")
     master = machine_master(spark, d)
 
     def enrich(batch: DataFrame) -> DataFrame:
@@ -648,8 +657,22 @@ def stream_silver(spark, d):
 
 @query
 def stream_dedup(spark, d):
-    twice = reading_stream(spark, d).unionByName(reading_stream(spark, d))
-    return run_to_table(ingest.drop_repeats(twice, "timestamp", ["reading_id"], DELAY), "dedup").drop("timestamp")
+    twice = reading_stream(spark, d).unionByName(reading_stream(spark, d)).withColumn("arrived", F.current_timestamp())
+    distinct = ingest.drop_repeats(twice, ["reading_id"], DELAY, arrival="arrived")
+    return run_to_table(distinct, "dedup").drop("timestamp", "arrived")
+
+
+@query
+def stream_late_rows(spark, d):
+    """Micro-batches in which rows come long after newer ones, some of them again."""
+    folder, events = scratch_dir(spark, "late-events"), table(spark, d, "events")
+    newer = F.col("ts") >= F.lit(events.agg(F.percentile_approx("ts", 0.5)).first()[0])
+    events.where(newer).write.parquet(folder)
+    events.write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    rows = as_readings(arriving).withColumn("arrived", F.current_timestamp())
+    distinct = ingest.drop_repeats(rows, ["reading_id"], "1 day", arrival="arrived")
+    return run_to_table(distinct, "late-rows").drop("timestamp", "arrived")
 
 
 def _window_table(df: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from smeltery.functions.rules import high_return
 from smeltery.operators.intervals import flag_event_days
 from smeltery.operators.lookup import add_dimension
 from smeltery.operators.monthly import MonthlySpec, monthly_features
-from smeltery.operators.quality import first_per_key, keep_required, trim_columns
+from smeltery.operators.quality import first_per_key, keep_required, reject_missing, trim_columns
 from smeltery.sources import readers, schemas, writers
 from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages, rejected_messages
 
@@ -93,12 +93,19 @@ def enrich(df: DataFrame, dimensions: Dimensions) -> DataFrame:
 
 
 def silver(bronze_rows: DataFrame, dimensions: Dimensions) -> DataFrame:
-    """The silver table of a bronze table: of several copies the earliest is kept."""
+    """The silver table of a bronze table: of several copies the first to arrive is kept."""
     complete = keep_required(typed(bronze_rows), REQUIRED)
-    order = [F.col("transaction_ts"), F.xxhash64(*complete.columns)]
+    order = [F.col("bronze_ingested_at"), F.col("transaction_ts"), F.xxhash64(*complete.columns)]
     return enrich(first_per_key(complete, ["transaction_id"], order), dimensions)
 
 
+def start_rejects(
+    bronze_stream: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds"
+) -> StreamingQuery:
+    """The bronze rows that silver leaves out, with the names of their missing fields."""
+    return writers.append_stream(reject_missing(typed(bronze_stream), REQUIRED), path, checkpoint, (), every)
+
+
 def start_silver(
     bronze_stream: DataFrame,
     dimensions: Dimensions,
@@ -108,7 +115,7 @@ def start_silver(
     every: str | None = "60 seconds",
 ) -> StreamingQuery:
     complete = keep_required(typed(bronze_stream), REQUIRED)
-    distinct = drop_repeats(complete, "transaction_ts", ["transaction_id"], delay)
+    distinct = drop_repeats(complete, ["transaction_id"], delay)
     return writers.transform_stream(
         distinct, lambda batch: enrich(batch, dimensions), path, checkpoint, PARTITIONS, every
     )
@@ -127,7 +134,8 @@ def refresh_gold(silver_rows: DataFrame, path: str, first_month: str, last_month
     """Recompute the months a change in ``first_month``..``last_month`` (yyyy-MM) reaches.
 
     A month feeds the lags of the twelve months after it, and its own need the twelve before
-    it. Filters are on the partition columns, so other months are not read or written. Uses
+    it. Filters are on the partition columns, so other months are not read or written; a month
+    of the range that has no sales any more is removed. Uses
     calendar lags: row lags may reach any distance back.
     """
     index = F.col("year") * 12 + F.col("month")
@@ -135,4 +143,5 @@ def refresh_gold(silver_rows: DataFrame, path: str, first_month: str, last_month
     reach = max(MonthlySpec().lags)
     source = silver_rows.filter(index.between(first - reach, last + reach))
     changed = gold(source, calendar_lags=True).filter(index.between(first, last + reach))
-    return writers.overwrite_partitions(changed, path, PARTITIONS)
+    months = [f"year={(m - 1) // 12}/month={(m - 1) % 12 + 1}" for m in range(first, last + reach + 1)]
+    return writers.overwrite_partitions(changed, path, PARTITIONS, months)

@@ -48,6 +48,14 @@ RISK = """round(value / 500, 4) AS failure_probability,
     CASE WHEN value / 500 >= 0.75 THEN 'CRITICAL' WHEN value / 500 >= 0.5 THEN 'HIGH'
          WHEN value / 500 >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level"""
 
+# The newest reading of every machine.
+FLEET = f"""newest AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+    x AS (SELECT c_mktsegment AS machine_type, c_nationkey AS location, {RISK} FROM newest LEFT JOIN customer ON user_id = c_custkey)"""
+
+_KPIS = """SELECT count(*) AS total_machines,
+            count(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical, count(*) FILTER (WHERE risk_level = 'HIGH') AS high_risk,
+            round(avg(failure_probability), 6) AS avg_failure_probability FROM x"""
+
 _GROWTH = """CASE WHEN lag_1m IS NOT NULL AND lag_1m <> 0
          THEN (total_units_sold - lag_1m) / CAST(lag_1m AS DOUBLE) ELSE 0.0 END AS mom_growth_rate"""
 
@@ -221,12 +229,11 @@ SQL: dict[str, str] = {
             WHEN value / 500 >= 0.5 THEN 'Schedule maintenance within 2 hours.'
             WHEN value / 500 >= 0.25 THEN 'Monitor closely and plan maintenance soon.'
             ELSE 'Machine operating normally.' END AS recommendation FROM events""",
-    "fleet_kpis": f"""WITH x AS (SELECT {RISK} FROM events) SELECT count(*) AS total_machines,
-            count(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical, count(*) FILTER (WHERE risk_level = 'HIGH') AS high_risk,
-            round(avg(failure_probability), 6) AS avg_failure_probability FROM x""",
-    "risk_distribution": f"""WITH x AS (SELECT {RISK} FROM events)
+    "fleet_kpis": f"""WITH {FLEET} {_KPIS}""",
+    "fleet_kpis_filtered": f"""WITH {FLEET} {_KPIS} WHERE location = 7 AND machine_type = 'BUILDING'""",
+    "risk_distribution": f"""WITH {FLEET}
         SELECT risk_level, count(*) AS count FROM x WHERE risk_level <> 'LOW' GROUP BY 1""",
-    "risk_quantiles_by_type": f"""WITH x AS (SELECT c_mktsegment AS machine_type, {RISK} FROM events JOIN customer ON user_id = c_custkey)
+    "risk_quantiles_by_type": f"""WITH {FLEET}
         SELECT machine_type, count(*) AS rows, {", ".join(f"round(quantile_cont(failure_probability, {p}), 6) AS {n}" for p, n in
             ((0, "minimum"), (0.25, "lower_quartile"), (0.5, "median"), (0.75, "upper_quartile"), (1, "maximum")))}
         FROM x GROUP BY 1""",
@@ -250,9 +257,10 @@ SQL: dict[str, str] = {
             round(CASE WHEN support = 0 THEN 0 ELSE hits / CAST(support AS DOUBLE) END, 6) AS recall,
             round(CASE WHEN predicted + support = 0 THEN 0 ELSE 2 * hits / CAST(predicted + support AS DOUBLE) END, 6) AS f1_score,
             support FROM n""",
-    "binary_metrics": """WITH x AS (SELECT event_type = 'error' AS y, round(value / 500, 4) AS p FROM events),
+    "binary_metrics": """WITH x AS (SELECT event_type = 'error' AS y, value / 500 AS p FROM events),
         l AS (SELECT p, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg FROM x GROUP BY p),
-        a AS (SELECT sum(u.pos * (SELECT coalesce(sum(v.neg), 0) FROM l v WHERE v.p < u.p) + u.pos * u.neg / 2.0) AS won FROM l u),
+        b AS (SELECT *, sum(neg) OVER (ORDER BY p) - neg AS below FROM l),
+        a AS (SELECT sum(pos * below + pos * neg / 2.0) AS won FROM b),
         t AS (SELECT count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg,
                 count(*) FILTER (WHERE y AND p >= 0.1) AS hits, count(*) FILTER (WHERE p >= 0.1) AS predicted FROM x)
         SELECT round(CAST(won AS DOUBLE) / (CAST(pos AS DOUBLE) * neg), 4) AS roc_auc,
@@ -262,6 +270,7 @@ SQL: dict[str, str] = {
             'kafka' AS source_system, CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date FROM events""",
     "stream_silver": _FLAGS,
     "stream_dedup": f"WITH {READINGS} SELECT reading_id, machine_id, temperature, vibration, event_type FROM r",
+    "stream_late_rows": f"WITH {READINGS} SELECT reading_id, machine_id, temperature, vibration, event_type FROM r",
     "stream_windows_tumbling": _windows_sql(6 * 3600, 6 * 3600),
     "stream_windows_sliding": _windows_sql(24 * 3600, 6 * 3600),
     "stream_windows_session": f"""WITH {READINGS}, g AS (SELECT *, CASE WHEN epoch(ts) - lag(epoch(ts)) OVER w < 21600 THEN 0 ELSE 1 END AS starts

@@ -10,7 +10,7 @@ from smeltery.functions.calendar import shift_columns
 from smeltery.functions.parsing import to_timestamp_or_null
 from smeltery.functions.rules import above_limit_flags, any_of, is_true, outside_range_flag
 from smeltery.operators.lookup import add_dimension
-from smeltery.operators.quality import first_per_key, keep_required, trim_columns
+from smeltery.operators.quality import first_per_key, keep_required, reject_missing, trim_columns
 from smeltery.operators.rolling import RollingSpec, machine_features
 from smeltery.sources import readers, schemas, writers
 from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages, rejected_messages
@@ -93,10 +93,17 @@ def enrich(df: DataFrame, master: DataFrame, normal_range: bool = False) -> Data
 
 def silver(bronze_rows: DataFrame, master: DataFrame) -> DataFrame:
     complete = keep_required(typed(bronze_rows), REQUIRED)
-    order = [F.col("timestamp"), F.xxhash64(*complete.columns)]
+    order = [F.col("bronze_ingested_at"), F.col("timestamp"), F.xxhash64(*complete.columns)]
     return enrich(first_per_key(complete, ["reading_id"], order), master)
 
 
+def start_rejects(
+    bronze_stream: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds"
+) -> StreamingQuery:
+    """The bronze rows that silver leaves out, with the names of their missing fields."""
+    return writers.append_stream(reject_missing(typed(bronze_stream), REQUIRED), path, checkpoint, (), every)
+
+
 def start_silver(
     bronze_stream: DataFrame,
     master: DataFrame,
@@ -106,7 +113,7 @@ def start_silver(
     every: str | None = "60 seconds",
 ) -> StreamingQuery:
     complete = keep_required(typed(bronze_stream), REQUIRED)
-    distinct = drop_repeats(complete, "timestamp", ["reading_id"], delay)
+    distinct = drop_repeats(complete, ["reading_id"], delay)
     return writers.transform_stream(
         distinct, lambda batch: enrich(batch, master), path, checkpoint, PARTITIONS, every
     )

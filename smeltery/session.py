@@ -30,14 +30,6 @@ def build_session(app: str = "smeltery", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def fit_session(spark: SparkSession) -> None:
-    """Read times as UTC; in local mode replace the default of 200 shuffle partitions by the cores."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    partitions = "spark.sql.shuffle.partitions"
-    if spark.sparkContext.master.startswith("local") and spark.conf.get(partitions) == "200":
-        spark.conf.set(partitions, str(spark.sparkContext.defaultParallelism))
-
-
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 

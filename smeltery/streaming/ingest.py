@@ -35,20 +35,12 @@ def rejected_messages(parsed: DataFrame, time: str = "timestamp") -> DataFrame:
     return quarantine(parsed, {"malformed message": F.col(CORRUPT).isNotNull(), "unreadable time": unreadable})
 
 
-def drop_repeats(df: DataFrame, time: str, keys: list[str], delay: str, spread: bool = True) -> DataFrame:
-    """First arrival of every key, across micro-batches.
+def drop_repeats(df: DataFrame, keys: list[str], delay: str, arrival: str = "bronze_ingested_at") -> DataFrame:
+    """First arrival of every key, across micro-batches, in one stateful step.
 
-    Keys are remembered for the delay after their event time; a copy that arrives later
-    than that is seen as new. With ``spread``, copies are first reduced per input partition:
-    a key with very many copies is then not carried to one task. That keeps a second set of
-    keys in the state, so turn it off where copies are known to be few.
+    The watermark is on the time of arrival: a row may be years old by its own time and is still
+    kept, and keys are remembered for the delay after they arrived. A copy that arrives later
+    than that is seen as new. Rows are late only when their file is read more than the delay
+    after files that arrived later, so the delay must cover the longest stay in the input folder.
     """
-    marked = df.withWatermark(time, delay)
-    if spread:
-        part = "__part"
-        marked = (
-            marked.withColumn(part, F.spark_partition_id())
-            .dropDuplicatesWithinWatermark([*keys, part])
-            .drop(part)
-        )
-    return marked.dropDuplicatesWithinWatermark(keys)
+    return df.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(keys)

@@ -37,15 +37,14 @@ def test_dimension_value_wins_and_unknown_keys_keep_theirs(spark):
     assert out == {1: (False, "x"), 2: (True, "y"), 3: (False, None)}
 
 
-def test_large_dimension_is_not_broadcast(spark):
+def test_building_a_plan_starts_no_job(spark):
     facts, dims = spark.range(10).withColumnRenamed("id", "k"), spark.range(10).selectExpr("id AS k", "id AS v")
-    assert lookup.is_small(dims, 10) and not lookup.is_small(dims, 9)
-    plans = [
-        lookup.add_dimension(facts, dims, "k", ["v"], rows)._jdf.queryExecution().analyzed().toString()
-        for rows in (10, 9)
-    ]
-    assert "ResolvedHint (strategy=broadcast)" in plans[0] and "ResolvedHint" not in plans[1]
-    assert lookup.add_dimension(facts, dims, "k", ["v"], 9).count() == 10
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    joined = lookup.add_dimension(facts, dims, "k", ["v"])
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("running", "running")
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString() and joined.count() == 10
 
 
 def test_orphans(spark):

@@ -43,6 +43,22 @@ def test_binary_metrics_count_ties_half(spark):
     assert out == {"roc_auc": 0.875, "f1_score": 0.8, "precision": 0.6667, "recall": 1.0}
 
 
+def test_area_of_scores_that_differ_by_very_little(spark):
+    df = spark.range(1000).selectExpr("CAST(id >= 500 AS INT) AS y", "id * 1e-8 AS s")
+    assert evaluation.binary_metrics(df, "y", "s").first().roc_auc == 1.0
+    mixed = spark.range(3000).selectExpr("CAST(id % 7 = 0 AS INT) AS y", "(id * 7919 % 1009) * 1e-9 AS s")
+    rows = [(r.y, r.s) for r in mixed.collect()]
+    good, bad = [s for y, s in rows if y], [s for y, s in rows if not y]
+    area = sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad))
+    assert evaluation.binary_metrics(mixed, "y", "s", ranges=8).first().roc_auc == round(area, 4)
+
+
+def test_category_codes_are_alphabetical_and_complete(spark):
+    words = ["b", "a", "", "ab", "aa", "aaz", "é", "zz", None, "b"]
+    codes = {r.c: r.code for r in learning.category_codes(spark.createDataFrame([(w,) for w in words], "c string"), "c").collect()}
+    assert codes == {w: i for i, w in enumerate(sorted({w for w in words if w is not None}, key=str.encode))}
+
+
 def test_reports(spark):
     rows = [("m1", "Pump", "A", 0.9), ("m2", "Pump", "B", 0.6), ("m3", "Motor", "A", 0.1)]
     df = reports.add_risk(spark.createDataFrame(rows, "machine_id string, machine_type string, location string, p double"), F.col("p"))

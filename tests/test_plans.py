@@ -149,6 +149,50 @@ def test_refresh_equals_full_gold(spark, tmp_path):
     assert same(fresh, spark.read.parquet(str(tmp_path / "full")), ["gold_processed_at"])
 
 
+def test_refresh_removes_a_month_that_became_empty(spark, tmp_path):
+    names = "n int, drug_id string, region_id string, transaction_date date, quantity_sold int"
+    rows = [(m, "D1", "R1", dt.date(2023, m, 5), 5) for m in (1, 2, 3, 5)]
+    base = spark.createDataFrame(rows, names).withColumns(
+        {
+            **{c: F.lit("x") for c in demand.ATTRIBUTES[:7]}, **{c: F.lit(True) for c in demand.ATTRIBUTES[7:9]},
+            **{c: F.lit(1) for c in demand.ATTRIBUTES[9:]}, "transaction_id": F.lit("t"), "revenue": F.lit(1).cast("decimal(18,2)"),
+            "returns": F.lit(0), "unit_price": F.lit(1.0), "channel": F.lit("Retail"), "is_event_day": F.lit(False),
+            "year": F.year("transaction_date"), "month": F.month("transaction_date"),
+        }
+    )
+    path = str(tmp_path / "gold")
+    demand.write_gold(base, path, calendar_lags=True)
+    left = base.filter("month <> 3")
+    assert demand.refresh_gold(left, path, "2023-03", "2023-03")["rows"] == 1
+    demand.write_gold(left, str(tmp_path / "full"), calendar_lags=True)
+    assert same(spark.read.parquet(path), spark.read.parquet(str(tmp_path / "full")), ["gold_processed_at"])
+
+
+def test_replay_with_fewer_partitions_leaves_nothing_behind(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "id int, year int, month int")
+    path = str(tmp_path / "t")
+    writers.write_batch_once(df, 0, path, ["year", "month"])
+    writers.write_batch_once(df, 1, path, ["year", "month"])
+    writers.write_batch_once(df.filter("id = 1"), 1, path, ["year", "month"])
+    assert sorted((r.id, r.batch_id) for r in spark.read.parquet(path).collect()) == [(1, 0), (1, 1), (2, 0)]
+    writers.write_batch_once(df.filter("id = 0"), 1, path, ["year", "month"])
+    assert sorted((r.id, r.batch_id) for r in spark.read.parquet(path).collect()) == [(1, 0), (2, 0)]
+    assert writers.compact_batches(spark.read.parquet(path), str(tmp_path / "whole"), ["year", "month"])["rows"] == 2
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "whole")).collect()) == [1, 2]
+
+
+def test_silver_rejects_are_written(spark, tmp_path):
+    put(tmp_path / "in", "1.json", SALES)
+    run_bronze(spark, demand, tmp_path)
+    stream = readers.parquet_stream(spark, str(tmp_path / "bronze"), schemas.SALES_BRONZE)
+    demand.start_rejects(stream, str(tmp_path / "left-out"), str(tmp_path / "c4"), every=None).awaitTermination()
+    rejects = spark.read.parquet(str(tmp_path / "left-out"))
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    complete = bronze.count() - rejects.count()
+    assert rejects.count() > 0 and rejects.filter("reject_reason LIKE 'missing %'").count() == rejects.count()
+    assert complete == demand.keep_required(demand.typed(bronze), demand.REQUIRED).count()
+
+
 def test_machine(spark, raw, tmp_path):
     put(tmp_path / "in", "1.json", READINGS)
     run_bronze(spark, machine, tmp_path)

@@ -4,6 +4,7 @@ import statistics
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from smeltery.operators import rolling
@@ -100,6 +101,19 @@ def test_equal_values_have_no_spread(spark):
     assert {r.x_std_5m for r in out.select("x_std_5m").collect()} == {0.0}
 
 
+def test_nan_and_infinity_count_in_their_own_frames_only(spark):
+    """As plain window frames have it, with NaN, both infinities and NULL among the readings."""
+    odd = {10: float("nan"), 40: float("inf"), 41: float("-inf"), 80: None, 81: float("inf")}
+    df = frame(spark, [("m", 60 * i, odd.get(i, float(i % 9)), False, False) for i in range(120)])
+    names = [f"x_{stat}_5m" for stat in ("mean", "std", "min", "max")]
+    got = {r.reading_id: r[1:] for r in rolling.rolling_features(df, SPEC).select("reading_id", *names).collect()}
+    window = Window.partitionBy("machine_id").orderBy(F.unix_timestamp("timestamp")).rangeBetween(-300, 0)
+    plain = df.select("reading_id", *[f("x").over(window).alias(n) for f, n in zip((F.avg, F.stddev, F.min, F.max), names)])
+    for row in plain.collect():
+        for name, a, b in zip(names, got[row.reading_id], row[1:]):
+            assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, abs=1e-9, nan_ok=True)), (name, row, a)
+
+
 def test_change_after_zero_is_zero(spark):
     rows = [("a", 0, 0.0, False, False), ("a", 1, 5.0, False, False)]
     out = {r.reading_id: r.x_roc for r in rolling.lag_features(frame(spark, rows), SPEC).collect()}

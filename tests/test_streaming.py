@@ -32,10 +32,19 @@ def run(df, folder, name="out"):
 def test_repeats_are_dropped_across_batches_within_the_delay(spark, tmp_path):
     for rows in ([("a", 0, 1, 1.0), ("a", 1, 1, 9.0)], [("a", 2, 1, 2.0), ("a", 3, 2, 3.0)]):
         put(spark, tmp_path, rows)
-        out = run(ingest.drop_repeats(source(spark, tmp_path), "timestamp", ["reading_id"], "1 hour"), tmp_path)
+        out = run(ingest.drop_repeats(source(spark, tmp_path), ["reading_id"], "1 hour", arrival="timestamp"), tmp_path)
     assert sorted(r.reading_id for r in out.collect()) == [1, 2]
 
 
+def test_rows_far_behind_by_their_own_time_are_kept(spark, tmp_path):
+    year = 366 * 24 * 60
+    for rows in ([("a", year, 1, 1.0), ("a", year + 1, 2, 1.0)], [("a", i, 10 + i, 0.0) for i in range(100)] + [("a", year, 1, 1.0)]):
+        put(spark, tmp_path, rows)
+        arriving = source(spark, tmp_path).withColumn("arrived", F.current_timestamp())
+        out = run(ingest.drop_repeats(arriving, ["reading_id"], "1 hour", arrival="arrived"), tmp_path)
+    assert sorted(r.reading_id for r in out.collect()) == [1, 2, *range(10, 110)]
+
+
 def test_late_rows_inside_the_delay_count_and_later_ones_do_not(spark, tmp_path):
     grouped = lambda: windows.tumbling(source(spark, tmp_path), "timestamp", ["machine_id"], ["x"], "5 minutes", "10 minutes")
     for rows in (
