@@ -18,12 +18,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm.common import connected, popcount, slices, stored, with_columns_of, word_list
 
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
+#: For the wider search of candidates that are then compared by their shingles.
+WIDE_SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: Distinct fingerprints a leaf should hold before overlap, and the most one task compares at once.
 LEAF, UNIT = 512, 8192
 #: Most fingerprints the driver sees, to place vantage points; and the share of all it may see.
@@ -53,6 +55,15 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
+@dataclass(frozen=True)
+class Similar:
+    """Texts up to ``reach`` bits apart count as near copies if they share ``least`` of their shingles."""
+
+    shingle: int = 5
+    least: float = 0.8
+    reach: int = 9
+
+
 @dataclass
 class Tree:
     """A vantage-point tree over one segment; leaves have ``inside`` -1 and a shard number."""
@@ -142,23 +153,35 @@ def _spanning(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return prints[left], prints[right]
 
 
-def links(prints: DataFrame, radius: int = 4) -> DataFrame:
-    """Links ``(a, b)`` that join all distinct fingerprints ``fp`` within ``radius`` bits.
+def _nearest(prints: np.ndarray, beyond: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each fingerprint with the nearest one more than ``beyond`` and at most ``radius`` bits away."""
+    left, right = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for rows in slices(len(prints), 256):
+        far = popcount(prints[rows, None] ^ prints[None, :])
+        far[far <= beyond] = 255
+        best = far.argmin(axis=1)
+        found = far[np.arange(len(best)), best] <= radius
+        left.append(prints[rows][found])
+        right.append(prints[best[found]])
+    return np.concatenate(left), np.concatenate(right)
 
-    Every link between two different fingerprints is found: the links returned connect the same
-    components as all pairs would. Shards that hold more than ``UNIT`` fingerprints (equal or
-    close segments) are cut into parts, and every two parts meet in one unit of work.
+
+def _units(prints: DataFrame, segments: tuple[tuple[int, int], ...], radius: int) -> DataFrame:
+    """``shard, unit, fp``: all pairs within ``radius`` bits meet in at least one unit of a shard.
+
+    Shards that hold more than ``UNIT`` fingerprints (equal or close segments) are cut into
+    parts, and every two parts meet in one unit.
     """
     spark = prints.sparkSession
     n = prints.count()
-    within = radius // len(SEGMENTS)
+    within = radius // len(segments)
     share = min(SAMPLE_SHARE, SAMPLE / max(n, 1))
     scale = 1 << 20
     seen = prints.where(F.pmod(F.xxhash64("fp"), F.lit(scale)) < int(share * scale)).select("fp").toPandas()
     sample = seen["fp"].to_numpy(np.int64).view(np.uint64)
     leaf = max(8, int(LEAF * share))
     trees, shards = [], 0
-    for shift, width in SEGMENTS:
+    for shift, width in segments:
         trees.append(grow_tree(sample, shift, width, leaf, shards))
         shards = int(trees[-1].shard.max()) + 1
     shared = spark.sparkContext.broadcast(trees)
@@ -170,11 +193,6 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
                 rows, shard = tree.route(values.view(np.uint64), within)
                 yield pa.RecordBatch.from_arrays([pa.array(values[rows]), pa.array(shard)], names=["fp", "shard"])
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        values = np.unique(group["fp"].to_numpy(np.int64)).view(np.uint64)
-        a, b = _spanning(values, radius)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-
     routed = stored(prints.select("fp").mapInArrow(route, "fp long, shard long"), "simhash-shards")
     parts = routed.groupBy("shard").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
@@ -182,11 +200,68 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda other: F.least(other, F.col("part")) * F.col("parts") + F.greatest(other, F.col("part")),
     )
-    work = routed.join(parts, "shard").withColumn("part", part).select("shard", "fp", F.explode(unit).alias("unit"))
-    return work.groupBy("shard", "unit").applyInPandas(compare, "a long, b long")
+    return routed.join(parts, "shard").withColumn("part", part).select("shard", "fp", F.explode(unit).alias("unit"))
+
+
+def _compared(units: DataFrame, compare) -> DataFrame:
+    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+        a, b = compare(np.unique(group["fp"].to_numpy(np.int64)).view(np.uint64))
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+
+    return units.groupBy("shard", "unit").applyInPandas(pairs, "a long, b long")
+
+
+def links(prints: DataFrame, radius: int = 4) -> DataFrame:
+    """Links ``(a, b)`` that join all distinct fingerprints ``fp`` within ``radius`` bits.
+
+    Every link between two different fingerprints is found: the links returned connect the same
+    components as all pairs would.
+    """
+    return _compared(_units(prints, SEGMENTS, radius), lambda values: _spanning(values, radius))
+
+
+def candidates(prints: DataFrame, beyond: int, radius: int) -> DataFrame:
+    """Pairs ``(a, b)`` of distinct fingerprints more than ``beyond`` and at most ``radius`` bits apart.
+
+    Each fingerprint comes with its nearest such neighbour in every shard it visits, so their
+    number follows the fingerprints, however dense a family of them is.
+    """
+    pairs = _compared(_units(prints, WIDE_SEGMENTS, radius), lambda values: _nearest(values, beyond, radius))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Distinct hashes of a whole text's shingles."""
+    words, join = word_list(text), b" ".join
+    starts = range(max(1, len(words) - shingle + 1)) if words else ()
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(join(words[i : i + shingle]), 42) for i in starts), np.uint64))
+
+
+def _similar(pairs: DataFrame, keys: DataFrame, docs: DataFrame, text: Column, shingle: int, least: float) -> DataFrame:
+    """The pairs whose texts share ``least`` of their shingles (Jaccard); ``keys`` names one text per ``fp``."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(x.as_py(), shingle).view(np.int64) for x in batch.column("text")]
+            yield with_columns_of(batch, ["text_key"], hashes=pa.array(sets, pa.list_(pa.int64())))
+
+    pairs = stored(pairs, "simhash-candidates")
+    wanted = keys.join(pairs.select("a").union(pairs.select("b")).distinct(), F.col("fp") == F.col("a"), "left_semi")
+    texts = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(wanted, "text_key", "left_semi")
+    sets = texts.dropDuplicates(["text_key"]).mapInArrow(hashed, "text_key long, hashes array<long>")
+    sets = stored(wanted.join(sets, "text_key").select("fp", "hashes"), "simhash-shingles")
+    both = (
+        pairs.join(sets.select(F.col("fp").alias("a"), F.col("hashes").alias("left")), "a")
+        .join(sets.select(F.col("fp").alias("b"), F.col("hashes").alias("right")), "b")
+        .withColumn("common", F.size(F.array_intersect("left", "right")))
+    )
+    jaccard = F.col("common") / F.greatest(F.size("left") + F.size("right") - F.col("common"), F.lit(1))
+    return both.where(jaccard >= least).select("a", "b")
 
 
-def _classified(docs: DataFrame, id_column: str, text_column: str, shingle: int, radius: int) -> DataFrame:
+def _classified(
+    docs: DataFrame, id_column: str, text_column: str, shingle: int, radius: int, similar: Similar | None = None
+) -> DataFrame:
     """``id, fp, text_key, root, component_id`` of every document; root names the component."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +275,13 @@ def _classified(docs: DataFrame, id_column: str, text_column: str, shingle: int,
     ids = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     id_type = ids.schema["id"].dataType.simpleString()
     marked = stored(ids.mapInArrow(hashed, f"id {id_type}, text_key long, fp long"), "simhash-prints")
-    classes = stored(marked.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-classes")
-    roots = connected(links(classes, radius))
+    firsts = F.min("id").alias("first_id"), F.min("text_key").alias("text_key")
+    classes = stored(marked.groupBy("fp").agg(*firsts), "simhash-classes")
+    found = links(classes, radius)
+    if similar:
+        near = candidates(classes, radius, similar.reach)
+        found = found.union(_similar(near, classes.select("fp", "text_key"), docs, text, similar.shingle, similar.least))
+    roots = connected(found)
     rooted = classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
@@ -226,14 +306,21 @@ def near_duplicates(
 
 
 def keep_one(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 4, radius: int = 4
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+    similar: Similar | None = Similar(),
 ) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest id.
 
-    Of repeated rows with that id one stays. A component that has NULL ids only keeps one
-    document, that with the smallest hash of its text.
+    Besides fingerprints within ``radius`` bits, texts are linked whose fingerprints are up to
+    ``similar.reach`` bits apart and which share ``similar.least`` of their shingles of
+    ``similar.shingle`` words. Of repeated rows with the smallest id one stays. A component that
+    has NULL ids only keeps one document, that with the smallest hash of its text.
     """
-    found = stored(_classified(docs, id_column, text_column, shingle, radius), "simhash-components")
+    found = stored(_classified(docs, id_column, text_column, shingle, radius, similar), "simhash-components")
     named = found.where("id = component_id").select(F.col("id").alias(id_column)).distinct()
     nameless = found.where("component_id is null").groupBy("root").agg(F.min("text_key").alias("text_key"))
     kept = docs.join(named, id_column, "left_semi").dropDuplicates([id_column])

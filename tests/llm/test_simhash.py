@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -79,9 +81,42 @@ def test_links_find_every_pair_in_a_tree_of_many_leaves(spark, monkeypatch):
     assert len(set(zip(own, brute))) == len(set(own)) == len(set(brute))
 
 
+def test_keep_one_drops_texts_that_share_most_shingles(spark):
+    rng = random.Random(8)
+    rows, copies, others = [], [], []
+    for i in range(40):
+        words = [f"w{rng.randint(0, 400)}" for _ in range(260)]
+        rows.append((i, " ".join(words), "en", "s", 1))
+        close, apart = list(words), list(words)
+        for k in rng.sample(range(10, 250), 3):
+            close[k] = "changed"
+        for k in range(0, 260, 9):
+            apart[k] = "other"
+        copies.append((100 + i, " ".join(close), "en", "s", 1))
+        others.append((200 + i, " ".join(apart), "en", "s", 1))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows + copies + others, DOCS)).collect()}
+    assert {r[0] for r in rows} <= kept and {r[0] for r in others} <= kept
+    assert len(kept & {r[0] for r in copies}) <= 8
+
+
+def test_candidates_are_within_reach(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAF", 32)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 150, dtype=np.uint64)
+    near = base.copy()
+    for _ in range(7):
+        near ^= np.uint64(1) << rng.integers(0, 64, 150).astype(np.uint64)
+    prints = [int(x) for x in np.unique(np.concatenate([base, near])).view(np.int64)]
+    found = {(r.a, r.b) for r in simhash.candidates(spark.createDataFrame([(x,) for x in prints], "fp long"), 4, 9).collect()}
+    bits = {(a, b): bin((a ^ b) & (2**64 - 1)).count("1") for i, a in enumerate(prints) for b in prints[:i]}
+    wanted = {tuple(sorted(pair)) for pair, n in bits.items() if 4 < n <= 9}
+    assert found == wanted
+
+
 def test_keep_one_keeps_all_columns_and_one_row_per_component(spark):
     docs = clashing(spark)
-    kept = simhash.keep_one(docs)
+    kept = simhash.keep_one(docs, similar=None)
+    assert simhash.keep_one(docs).count() <= kept.count()
     assert kept.columns == docs.columns
     rows = kept.collect()
     prints = [plain_fingerprint(r.text) for r in rows]
