@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smeltery.functions.rules import is_true
-from smeltery.operators.evaluation import binary_metrics, class_balance
+from smeltery.operators.evaluation import binary_metrics, class_balance, class_report
 from smeltery.operators.reports import add_risk
 
 # Columns that are no features, and the categorical ones.
@@ -59,8 +60,9 @@ def labelled(df: DataFrame, label: str) -> DataFrame:
 
 
 def split_bucket(row_id: str, seed: int) -> Column:
-    """A number from 0 to 9,999 that depends only on the row's id."""
-    return F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(10_000))
+    """A number from 0 to 9,999 that depends only on the row's id and the seed, by md5."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
 
 
 def mark_training_rows(
@@ -166,7 +168,9 @@ def _as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) -> tuple[PipelineModel, dict[str, float]]:
-    """Fit on the training share and measure on the rest.
+    """Fit on the training share and measure on the rest, as a whole and per class.
+
+    A numeric column without any value cannot be filled; it is left out with a warning.
 
     Give it a written table: encoder, fill and trees each read the rows again. ``training``
     is a condition that replaces the split by classes, such as a time before a cut.
@@ -179,6 +183,8 @@ def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) ->
     marked = _as_numbers(labelled(marked.select(*wanted, "is_training"), spec.label), spec.numeric)
     training, held_out = marked.filter("is_training"), marked.filter(~F.col("is_training"))
     numeric = usable_numeric(training, spec.numeric)
+    if len(numeric) < len(spec.numeric):
+        warnings.warn(f"no values in {sorted(set(spec.numeric) - set(numeric))}", stacklevel=2)
     weight = class_balance(marked, spec.label).first()["positive_weight"]
     if not weight:
         raise ValueError(f"{spec.label} needs rows of both classes")
@@ -186,6 +192,8 @@ def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) ->
     model = build_stages(spec, numeric).fit(weighted)
     scored = positive_probability(model.transform(held_out), "__score")
     metrics = binary_metrics(scored, spec.label, "__score").first().asDict()
+    for row in class_report(scored, spec.label, "prediction").collect():
+        metrics |= {f"{name}_class_{int(row['class'])}": float(row[name]) for name in ("precision", "recall", "f1_score", "support")}
     return model, metrics
 
 
@@ -210,7 +218,7 @@ def fill_scoring_defaults(df: DataFrame, defaults: Mapping[str, object] = SCORIN
 
 def feature_importance(spark: SparkSession, model: PipelineModel, top: int = 10) -> DataFrame:
     """The features the trees used most, by name."""
-    names = [name.split("__")[0] for name in model.stages[-2].getInputCols()]
+    names = [name.removesuffix("__filled").removesuffix("__code") for name in model.stages[-2].getInputCols()]
     weights = model.stages[-1].featureImportances.toArray()
     table = spark.createDataFrame(
         [(name, float(weight)) for name, weight in zip(names, weights)], "feature string, importance double"

@@ -17,6 +17,7 @@ from smeltery.operators import (
     evaluation, intervals, learning, lookup, monthly, quality, quantiles, reports, rolling,
 )
 from smeltery.session import ROCKSDB, scratch_dir
+from smeltery.plans import failure
 from smeltery.sources import readers, schemas, writers
 from smeltery.streaming import horizon, ingest, stateful, windows
 
@@ -589,8 +590,12 @@ def trained(spark, d):
 
 @query
 def gbt_train_score(spark, d):
-    rows, spec, model, _ = trained(spark, d)
-    return learning.score(rows, model, ["reading_id", "machine_id"], spec.numeric)
+    ready, spec = training_data(spark, d)
+    folder = scratch_dir(spark, "training")
+    ready.write.parquet(f"{folder}/gold")
+    rows = spark.read.parquet(f"{folder}/gold")
+    failure.train_model(rows, spec, f"{folder}/model", f"{folder}/runs")
+    return failure.score_readings(rows, spec, f"{folder}/model")
 
 
 @query

@@ -249,6 +249,12 @@ SQL: dict[str, str] = {
         SELECT reading_id, round(coalesce(temperature, (SELECT median(temperature) FROM g)), 6) AS temperature,
             round(coalesce(vibration, (SELECT median(vibration) FROM g)), 6) AS vibration FROM g""",
     "label_encode": "SELECT event_id AS reading_id, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type FROM events",
+    "stratified_split": """WITH x AS (
+            SELECT CAST(event_type = 'error' AS INT) AS failed, CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) % 10000 AS b FROM events),
+        c AS (SELECT failed, b, count(*) AS n FROM x GROUP BY ALL),
+        u AS (SELECT *, sum(n) OVER (PARTITION BY failed ORDER BY b) AS upto, sum(n) OVER (PARTITION BY failed) AS total FROM c),
+        k AS (SELECT failed, max(b) FILTER (upto <= round(total * 0.8)) AS cut FROM u GROUP BY failed)
+        SELECT failed, coalesce(b <= cut, FALSE) AS is_training, count(*) AS rows FROM x JOIN k USING (failed) GROUP BY ALL""",
     "classification_report": """WITH x AS (SELECT toxic AS label, CAST(quality = 0 AS INT) AS prediction FROM labels),
         c AS (SELECT DISTINCT label AS k FROM x UNION SELECT DISTINCT prediction FROM x),
         n AS (SELECT k, (SELECT count(*) FROM x WHERE label = k AND prediction = k) AS hits,
