@@ -709,8 +709,8 @@ def stream_windows_session(spark, d):
 @query
 def stream_failure_horizon(spark, d):
     failures = reading_stream(spark, d).filter(F.col("event_type") == "error")
-    pairs = horizon.failures_ahead(reading_stream(spark, d), failures, "machine_id", "timestamp", "reading_id")
-    return run_to_table(pairs, "horizon").select("machine_id", "reading_id", "failure_id")
+    ahead = horizon.failures_ahead(reading_stream(spark, d), failures, "machine_id", "timestamp", "reading_id")
+    return run_to_table(ahead, "horizon").select("machine_id", "reading_id")
 
 
 @query

@@ -286,8 +286,8 @@ SQL: dict[str, str] = {
             round(avg(temperature), 6) AS temperature_mean, min(temperature) AS temperature_min, max(temperature) AS temperature_max,
             round(avg(vibration), 6) AS vibration_mean, min(vibration) AS vibration_min, max(vibration) AS vibration_max
         FROM n GROUP BY machine_id, session HAVING max(epoch(ts)) + 21600 <= (SELECT max(epoch(ts)) FROM r) - 600""",
-    "stream_failure_horizon": f"""WITH {READINGS} SELECT r.machine_id, r.reading_id, f.reading_id AS failure_id
-        FROM r JOIN r f ON f.event_type = 'error' AND f.machine_id = r.machine_id AND f.ts > r.ts AND f.ts <= r.ts + INTERVAL 4 HOUR""",
+    "stream_failure_horizon": f"""WITH {READINGS} SELECT machine_id, reading_id FROM r WHERE EXISTS (SELECT 1 FROM r f
+        WHERE f.event_type = 'error' AND f.machine_id = r.machine_id AND f.ts > r.ts AND f.ts <= r.ts + INTERVAL 4 HOUR)""",
     "stream_stateful_lag": _LAG_ONLY,
     "stream_lag_by_batch": _LAG_ONLY,
 }

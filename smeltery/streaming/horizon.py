@@ -1,4 +1,4 @@
-"""Readings joined with the failures that follow them within a horizon."""
+"""Readings that a failure follows within a horizon."""
 
 from __future__ import annotations
 
@@ -19,17 +19,18 @@ def failures_ahead(
     horizon: int = 4 * 3600,
     delay: str = "10 minutes",
 ) -> DataFrame:
-    """One row per reading and failure of the same machine, the failure later by at most ``horizon`` seconds.
+    """The readings, once each, that a failure of their machine follows by at most ``horizon`` seconds.
 
     The join is on machine and time bucket, a quarter of the horizon long. The failures, which
     are few, are copied into the buckets they can be seen from, so a busy machine is spread
-    over buckets and a reading meets only failures near it. On streams both sides carry a
+    over buckets and a reading meets only failures near it. A semi join gives no row per pair,
+    however dense the failures are. On streams both sides carry a
     watermark and the condition bounds their distance, so what can no longer match is forgotten.
     """
     length = max(60, horizon // 4)
     left = readings.select(F.col(machine), F.col(row_id), F.col(time))
     right = failures.select(
-        F.col(machine).alias("__machine"), F.col(row_id).alias("failure_id"), F.col(time).alias("failure_time")
+        F.col(machine).alias("__machine"), F.col(time).alias("failure_time")
     )
     if readings.isStreaming:
         left = left.withWatermark(time, delay)
@@ -42,4 +43,4 @@ def failures_ahead(
         F.col("failure_time") <= F.col(time) + F.expr(f"INTERVAL {horizon} SECONDS")
     )
     same = (F.col(machine) == F.col("__machine")) & (F.col(BUCKET) == F.col("__seen_from"))
-    return left.join(right, same & close).drop("__machine", BUCKET, "__seen_from")
+    return left.join(right, same & close, "left_semi").drop(BUCKET)
