@@ -56,6 +56,24 @@ _KPIS = """SELECT count(*) AS total_machines,
             count(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical, count(*) FILTER (WHERE risk_level = 'HIGH') AS high_risk,
             round(avg(failure_probability), 6) AS avg_failure_probability FROM x"""
 
+# Training rows by md5 buckets up to a cut per class.
+_SPLIT = """x AS (SELECT event_id, user_id, value > 250 AS hot, CAST(event_type = 'error' AS INT) AS failed,
+            CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) % 10000 AS b FROM events),
+        c AS (SELECT failed, b, count(*) AS n FROM x GROUP BY ALL),
+        u AS (SELECT *, sum(n) OVER (PARTITION BY failed ORDER BY b) AS upto, sum(n) OVER (PARTITION BY failed) AS total FROM c),
+        k AS (SELECT failed, max(b) FILTER (upto <= round(total * 0.8)) AS cut FROM u GROUP BY failed)"""
+
+# A leaf is the weighted mean of the label as 1 or -1 among the training rows; the score its logistic, doubled.
+_STUMP = f"""WITH {_SPLIT},
+        w AS (SELECT count(*) FILTER (failed = 0) / CAST(count(*) FILTER (failed = 1) AS DOUBLE) AS w FROM x),
+        leaf AS (SELECT hot, sum(CASE failed WHEN 1 THEN w ELSE -1 END) / sum(CASE failed WHEN 1 THEN w ELSE 1 END) AS m
+            FROM x JOIN k USING (failed), w WHERE b <= cut GROUP BY hot),
+        s AS (SELECT event_id AS reading_id, user_id AS machine_id, 500 / (1 + exp(-2 * m)) AS value FROM x JOIN leaf USING (hot))
+        SELECT reading_id, machine_id, {RISK}, CASE WHEN value / 500 >= 0.75 THEN 'Immediate shutdown and inspection required!'
+            WHEN value / 500 >= 0.5 THEN 'Schedule maintenance within 2 hours.'
+            WHEN value / 500 >= 0.25 THEN 'Monitor closely and plan maintenance soon.'
+            ELSE 'Machine operating normally.' END AS recommendation FROM s"""
+
 _GROWTH = """CASE WHEN lag_1m IS NOT NULL AND lag_1m <> 0
          THEN (total_units_sold - lag_1m) / CAST(lag_1m AS DOUBLE) ELSE 0.0 END AS mom_growth_rate"""
 
@@ -249,12 +267,10 @@ SQL: dict[str, str] = {
         SELECT reading_id, round(coalesce(temperature, (SELECT median(temperature) FROM g)), 6) AS temperature,
             round(coalesce(vibration, (SELECT median(vibration) FROM g)), 6) AS vibration FROM g""",
     "label_encode": "SELECT event_id AS reading_id, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type FROM events",
-    "stratified_split": """WITH x AS (
-            SELECT CAST(event_type = 'error' AS INT) AS failed, CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) % 10000 AS b FROM events),
-        c AS (SELECT failed, b, count(*) AS n FROM x GROUP BY ALL),
-        u AS (SELECT *, sum(n) OVER (PARTITION BY failed ORDER BY b) AS upto, sum(n) OVER (PARTITION BY failed) AS total FROM c),
-        k AS (SELECT failed, max(b) FILTER (upto <= round(total * 0.8)) AS cut FROM u GROUP BY failed)
+    "stratified_split": f"""WITH {_SPLIT}
         SELECT failed, coalesce(b <= cut, FALSE) AS is_training, count(*) AS rows FROM x JOIN k USING (failed) GROUP BY ALL""",
+    "stump_scores": _STUMP,
+    "stream_scoring": _STUMP,
     "classification_report": """WITH x AS (SELECT toxic AS label, CAST(quality = 0 AS INT) AS prediction FROM labels),
         c AS (SELECT DISTINCT label AS k FROM x UNION SELECT DISTINCT prediction FROM x),
         n AS (SELECT k, (SELECT count(*) FROM x WHERE label = k AND prediction = k) AS hits,
