@@ -1,7 +1,8 @@
 """Two-pass external shuffle into shards, in DataFrame operations only.
 
 Pass one scatters the records uniformly into buckets of bounded bytes by a seeded hash; the
-exchange sends each bucket to a partition of its own. Pass two puts each bucket in Fisher-Yates
+exchange sends each bucket to a partition of its own, together with one row that tells where
+the bucket starts in the whole order. Pass two puts each bucket in Fisher-Yates
 order (Spark's ``shuffle`` of an array is one) and numbers it. The buckets in turn are one
 random order of all records; cut into equal runs, it gives shards whose row counts differ by
 one at most.
@@ -40,19 +41,16 @@ def shard(
         F.monotonically_increasing_id().alias("place"), F.struct(*[F.col(f"`{c}`") for c in payload]).alias("row")
     ).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "place"), F.lit(buckets)).cast("int"))
 
-    counts = placed.groupBy("bucket").count()
     order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("bucket").alias("of"),
-        F.coalesce(F.sum("count").over(order), F.lit(0)).alias("start"),
-        F.sum("count").over(Window.partitionBy()).alias("total"),
-    )
+    counts = placed.groupBy("bucket").count().withColumn("sum", F.coalesce(F.sum("count").over(order), F.lit(0)))
+    total_rows = F.sum("count").over(Window.partitionBy())
+    starts = counts.select("bucket", F.struct(F.col("sum").alias("start"), total_rows.alias("total")).alias("head"))
 
-    scattered = placed.repartitionById(buckets, F.col("bucket"))
-    filled = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
-    mixed = filled.select("bucket", F.shuffle("rows", seed).alias("rows"))
-    placed_rows = mixed.join(starts, F.col("bucket") == F.col("of")).select(
-        "start", "total", F.posexplode("rows").alias("at", "item")
+    scattered = placed.unionByName(starts, allowMissingColumns=True).repartitionById(buckets, F.col("bucket"))
+    item = F.when(F.col("place").isNotNull(), F.struct("place", "row"))
+    filled = scattered.groupBy("bucket").agg(F.max("head").alias("head"), F.sort_array(F.collect_list(item)).alias("rows"))
+    placed_rows = filled.select("head", F.shuffle("rows", seed).alias("rows")).select(
+        "head.start", "head.total", F.posexplode("rows").alias("at", "item")
     )
 
     position = F.col("start") + F.col("at")
