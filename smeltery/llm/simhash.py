@@ -27,7 +27,7 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 #: For the wider search of candidates that are then compared by their shingles.
 WIDE_SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: Distinct fingerprints a leaf should hold before overlap, and the most one task compares at once.
-LEAF, UNIT = 512, 8192
+LEAF, UNIT = 512, 4096
 #: Most fingerprints the driver sees, to place vantage points; and the share of all it may see.
 SAMPLE, SAMPLE_SHARE = 1 << 17, 0.25
 HASHES_AT_ONCE = 1 << 15
@@ -170,7 +170,7 @@ def _units(prints: DataFrame, segments: tuple[tuple[int, int], ...], radius: int
     """``shard, unit, fp``: all pairs within ``radius`` bits meet in at least one unit of a shard.
 
     Shards that hold more than ``UNIT`` fingerprints (equal or close segments) are cut into
-    parts, and every two parts meet in one unit.
+    parts, and every two parts meet in one unit; units are dealt to tasks one by one.
     """
     spark = prints.sparkSession
     n = prints.count()
@@ -200,7 +200,8 @@ def _units(prints: DataFrame, segments: tuple[tuple[int, int], ...], radius: int
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda other: F.least(other, F.col("part")) * F.col("parts") + F.greatest(other, F.col("part")),
     )
-    return routed.join(parts, "shard").withColumn("part", part).select("shard", "fp", F.explode(unit).alias("unit"))
+    work = routed.join(parts, "shard").withColumn("part", part).select("shard", "fp", F.explode(unit).alias("unit"))
+    return work.repartition("shard", "unit")
 
 
 def _compared(units: DataFrame, compare) -> DataFrame:
