@@ -3,7 +3,7 @@
 A line is boilerplate of a host when more than ``ratio`` of the host's pages, and at least
 ``least`` of them, contain it. Lines are counted as 128-bit hashes, once per page; a host has at
 most (mean distinct lines per page) / ratio such lines, so its boilerplate is a short array that
-joins the host's pages without a shuffle of their lines.
+joins the host's pages, in ``PARTS`` parts, without a shuffle of single lines.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Share of a host's pages beyond which a line is boilerplate, and pages it must be on.
 RATIO, LEAST = 0.05, 3
+#: Parts of a host's pages that meet its boilerplate, so that a large host is many tasks' work.
+PARTS = 64
 
 
 def _key(line: Column) -> Column:
@@ -43,12 +45,15 @@ def drop_boilerplate(
     kept = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     lines = F.split(F.col(text_column).cast("string"), "\n", -1)
     found = boilerplate(pages, F.col(host_column), lines, ratio, least)
-    joined = pages.select(*kept).join(found, F.col(host_column).eqNullSafe(F.col("_host")), "left")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    part = F.pmod(F.xxhash64(F.col(text_column).cast("string")), F.lit(PARTS)).cast("int")
+    same = F.col(host_column).eqNullSafe(F.col("_host")) & (F.col("_part") == F.col("_of_part"))
+    joined = pages.select(*kept, part.alias("_of_part")).join(found.withColumn("_part", parts), same, "left")
     stay = F.when(F.col("_dropped").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.array_contains(F.col("_dropped"), _key(x)))
     )
-    parts = joined.select(*kept, lines.alias("_lines"), stay.alias("_stay"))
-    return parts.select(
+    cut = joined.select(*kept, lines.alias("_lines"), stay.alias("_stay"))
+    return cut.select(
         *[F.array_join("_stay", "\n").alias(c) if c == text_column else F.col(f"`{c}`") for c in kept],
         F.greatest(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.greatest(F.size("_lines") - F.size("_stay"), F.lit(0)).cast("long").alias("n_dropped"),
