@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text a bucket should hold.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 
 
 def shard(
