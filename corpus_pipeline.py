@@ -27,8 +27,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies.
 
-    Near copies are texts whose fingerprints lie within 4 bits, or within 9 bits when the texts
-    share 0.8 of their five-word shingles.
+    Near copies are texts whose fingerprints lie within 4 bits, or which share 0.8 of their
+    five-word shingles.
     """
     return simhash.keep_one(docs)
 
