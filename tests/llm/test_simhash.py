@@ -166,3 +166,57 @@ def test_keep_one_finds_nearly_all_texts_that_share_eight_tenths(spark):
     kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows + copies, DOCS)).collect()}
     assert {r[0] for r in rows} <= kept
     assert len(kept & {r[0] for r in copies}) <= 3
+
+
+def test_similar_links_go_past_a_nearest_text_that_fails(spark):
+    """Text 0 is nearest to text 1, which shares too little; text 2 is further off and shares enough."""
+    texts = {i: " ".join(map(str, words)) for i, words in {0: range(100), 1: range(75, 175), 2: range(8, 108)}.items()}
+    assert shares(texts[0], texts[1]) < 0.8 <= shares(texts[0], texts[2])
+    docs = spark.createDataFrame(list(texts.items()), "i long, text string")
+    prints = spark.createDataFrame([(0, 0), (1, 1), (2, 14)], "i long, p long")
+    key = F.xxhash64("text").alias("text_key")
+    table = docs.join(prints, "i").select(key, F.col("i").alias("root"), "p", F.lit(0).cast("long").alias("q"))
+    found = simhash.similar_links(table, docs, F.col("text"), simhash.Similar())
+    assert [tuple(sorted(r)) for r in found.collect()] == [(0, 2)]
+
+
+def test_similar_links_join_what_all_pairs_join(spark, monkeypatch):
+    """Dense families of texts around the limit, small leaves and units: the same as every owned pair."""
+    monkeypatch.setattr(simhash, "LEAF", 16)
+    monkeypatch.setattr(simhash, "UNIT", 16)
+    rng = random.Random(4)
+    texts = []
+    for _ in range(6):
+        base = [f"w{rng.randint(0, 500)}" for _ in range(120)]
+        for _ in range(25):
+            words = list(base)
+            for k in rng.sample(range(120), rng.randint(0, 4)):
+                words[k] = f"x{rng.randint(0, 99)}"
+            texts.append(" ".join(words))
+    texts = sorted(set(texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    keys = {r.i: r.k for r in docs.select("i", F.xxhash64("text").alias("k")).collect()}
+    prints = [simhash.wide_prints(simhash.shingle_hashes(t, 5)) for t in texts]
+    table = spark.createDataFrame([(keys[i], i, *prints[i]) for i in keys], "text_key long, root long, p long, q long")
+    found = simhash.similar_links(table, docs, F.col("text"), simhash.Similar()).collect()
+    assert all(shares(texts[r.a], texts[r.b]) >= 0.8 for r in found)
+
+    def close(i, j):
+        differ = [(a ^ b) & (2**64 - 1) for a, b in zip(prints[i], prints[j])]
+        segments = [bin(x >> s & (1 << w) - 1).count("1") for x in differ for s, w in simhash.WIDE_SEGMENTS]
+        return sum(bin(x).count("1") for x in differ) <= 32 and min(segments) <= 1 and shares(texts[i], texts[j]) >= 0.8
+
+    def groups(pairs):
+        parent = list(range(len(texts)))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i, j in pairs:
+            parent[max(find(i), find(j))] = min(find(i), find(j))
+        return [find(i) for i in range(len(texts))]
+
+    every = [(i, j) for i in range(len(texts)) for j in range(i) if close(i, j)]
+    assert groups((r.a, r.b) for r in found) == groups(every)
