@@ -421,14 +421,16 @@ def keep_one(
     """One document of each component, with all its columns: the one with the smallest id.
 
     Besides fingerprints within ``radius`` bits, texts are linked which share ``similar.least`` of
-    their shingles of ``similar.shingle`` words, as :class:`Similar` describes. Of repeated rows with the smallest id one stays. A component that
-    has NULL ids only keeps one document, that with the smallest hash of its text.
+    their shingles of ``similar.shingle`` words, as :class:`Similar` describes. Of a component's rows with the smallest id the one with the smallest hash of its
+    text stays, and of its repetitions one; an id may stand for texts of several components. A
+    component that has NULL ids only keeps one document, that with the smallest hash of its text.
     """
     found = stored(_classified(docs, id_column, text_column, shingle, radius, similar), "simhash-components")
-    named = found.where("id = component_id").select(F.col("id").alias(id_column)).distinct()
+    named = found.where("id = component_id").groupBy("root").agg(F.min("component_id").alias("_id"), F.min("text_key").alias("_key"))
     nameless = found.where("component_id is null").groupBy("root").agg(F.min("text_key").alias("text_key"))
-    kept = docs.join(named, id_column, "left_semi").dropDuplicates([id_column])
     key = F.xxhash64(F.col(text_column).cast("string"))
+    kept = docs.join(named.select("_id", "_key"), (docs[id_column] == F.col("_id")) & (key == F.col("_key")), "left_semi")
+    kept = kept.dropDuplicates([id_column, text_column])
     rest = docs.where(F.col(id_column).isNull())
     rest = rest.join(nameless, key == nameless.text_key, "left_semi").dropDuplicates([text_column])
     return kept.union(rest)

@@ -220,3 +220,13 @@ def test_similar_links_join_what_all_pairs_join(spark, monkeypatch):
 
     every = [(i, j) for i in range(len(texts)) for j in range(i) if close(i, j)]
     assert groups((r.a, r.b) for r in found) == groups(every)
+
+
+def test_keep_one_keeps_a_row_of_each_component_when_ids_repeat(spark):
+    """Id 1 names two texts of their own; id 5 a copy of the text of id 3 and a text of its own."""
+    rng = random.Random(2)
+    a, b, c, d = (" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(50)) for _ in range(4))
+    rows = [(1, a), (1, b), (3, c), (5, c), (5, d), (1, a), (3, c)]
+    docs = spark.createDataFrame([(i, text, "en", "s", 1) for i, text in rows], DOCS)
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == sorted([(1, a), (1, b), (3, c), (5, d)])
