@@ -19,7 +19,7 @@ ORACLE_SQL = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognisable language; filters are learned from those with ``lang``.
 
-    NULL texts and texts without a letter go, and nothing else.
+    NULL texts, texts without a letter and texts that no learned language accounts for go.
     """
     return langid.recognised(docs, langid.learn(docs))
 

@@ -27,6 +27,9 @@ MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
 LANGUAGES = 63
 BYTES_AT_ONCE, GRAMS_AT_ONCE = 1 << 20, 1 << 22
 UNDETERMINED = "und"
+#: Score below which a text is in none of the languages. Of 10,000 labelled texts at sf0.1 all but
+#: one (``A.``, too short for an n-gram) score 0.41 or more, of 200 base64 strings none above 0.22.
+LEAST_SCORE = 0.3
 
 _KEEP = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -171,8 +174,8 @@ def predict(docs: DataFrame, filters: Filters, text_column: str = "text") -> Dat
 
 
 def recognised(docs: DataFrame, filters: Filters, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language :func:`predict` determines."""
+    """The rows of ``docs``, unchanged, whose language :func:`predict` determines with ``LEAST_SCORE``."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("_row"), F.col(text_column).cast("string").alias("_text"))
-    found = predict(rows, filters, "_text").where(F.col("lang_pred") != UNDETERMINED)
+    found = predict(rows, filters, "_text").where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
     return found.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

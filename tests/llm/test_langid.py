@@ -1,3 +1,5 @@
+import base64
+
 import numpy as np
 from corpus import DOCS, clashing, documents
 from pyspark.sql import functions as F
@@ -45,6 +47,16 @@ def test_recognised_keeps_rows_unchanged(spark):
     )
 
 
+def test_recognised_rejects_an_unlearned_script_and_junk(spark):
+    docs = spark.createDataFrame(documents(), DOCS)
+    junk = ["Привет мир это проверка неизвестного алфавита", "这是一个没有学习过的文字", base64.b64encode(bytes(range(256))).decode()]
+    good = [documents()[i][1] for i in range(3)]
+    rows = spark.createDataFrame([(i, text, None, "s", 1) for i, text in enumerate(junk + good)], DOCS)
+    filters = langid.learn(docs)
+    assert [r.doc_id for r in langid.recognised(rows, filters).orderBy("doc_id").collect()] == [3, 4, 5]
+    assert "und" not in {r.lang_pred for r in langid.predict(rows, filters).collect()}
+
+
 def test_nothing_to_learn_and_nothing_to_predict(spark):
     docs = spark.createDataFrame(documents(), DOCS)
     filters = langid.learn(docs.where("lang is null"))
