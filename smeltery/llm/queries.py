@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, lines, lm, mixing, quality, sharding, simhash, urls, vafile
+from smeltery.llm import decontaminate, langid, lines, lm, mixing, quality, secrets, sharding, simhash, urls, vafile
 from smeltery.llm.common import id_remainder, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,18 @@ def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", F.col("source").alias("host"), "n_lines", "n_dropped", "text")
 
 
+def op11_secret_scans(spark: SparkSession, d: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, d, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin([kind for kind, *_ in secrets.PATTERNS]))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(spans, kind).alias(f"n_{kind}") for kind, *_ in secrets.PATTERNS],
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -117,6 +129,7 @@ QUERIES: dict[str, Query] = {
         op8_url_filters,
         op9_quality_classifier,
         op10_line_dedup,
+        op11_secret_scans,
     )
 }
 
