@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, langid, lines, lm, mixing, quality, secrets, sharding, simhash, urls, vafile
+from smeltery.llm import alignment, decontaminate, langid, lines, lm, mixing, quality, secrets, sharding, simhash, trie, urls, vafile
 from smeltery.llm.common import id_remainder, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,17 @@ def op11_secret_scans(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
+    aligned = alignment.align(table(spark, d, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    narrow = aligned.select("doc_id", *alignment.COUNTS, digest.alias("groups_sha256"), *alignment.PAIRS)
+    return alignment.link_scores(narrow)
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, d, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -130,6 +141,8 @@ QUERIES: dict[str, Query] = {
         op9_quality_classifier,
         op10_line_dedup,
         op11_secret_scans,
+        op12_cross_tokenizer_alignment,
+        op13_conversation_prefix_trie,
     )
 }
 
@@ -166,6 +179,13 @@ def _url_level(level: int) -> str:
     """
 
 
+#: CRC-32 of an id in decimal, bit by bit.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), list_transform(range(8), lambda i: CAST(i AS BIGINT))),
+        lambda bits, i: xor(bits >> 1, CASE WHEN bits & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)"""
+
 _TEST_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 
 SQL: dict[str, str] = {
@@ -245,4 +265,37 @@ SQL: dict[str, str] = {
             CAST(coalesce(len(lines) - len(stay), 0) AS BIGINT) AS n_dropped, array_to_string(stay, chr(10)) AS text
         FROM kept
     """,
+    "op13_conversation_prefix_trie": f"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h FROM t GROUP BY conv_id),
+        turns AS (
+            SELECT c.conv_id, t.p AS d, role, text FROM c JOIN t ON t.conv_id = c.base AND t.p <= c.h
+            UNION ALL
+            SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + t.p - c.h AS d, role, text
+            FROM c JOIN t USING (conv_id) LEFT JOIN c AS b ON b.conv_id = c.base WHERE t.p > c.h),
+        paths AS (
+            SELECT conv_id, d, strlen(text) AS bytes, list({{'role': role, 'text': text}}) OVER (
+                PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS seq FROM turns
+            UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+        members AS (SELECT conv_id, d, bytes, min(conv_id) OVER (PARTITION BY d, seq) AS node FROM paths),
+        nodes AS (SELECT node, d, count(*) AS n, any_value(bytes) AS bytes FROM members GROUP BY node, d),
+        up AS (
+            SELECT nodes.node, nodes.d, n, nodes.bytes, m.node AS top, m.d AS top_d
+            FROM nodes JOIN members AS m ON m.conv_id = nodes.node AND m.d <= nodes.d),
+        kids AS (SELECT top AS node, top_d AS d, count(*) AS kids FROM up WHERE d = top_d + 1 GROUP BY ALL),
+        totals AS (
+            SELECT top AS node, top_d AS d, count(*) FILTER (kids IS NULL) AS n_leaves, sum((n - 1) * bytes) AS saved
+            FROM up LEFT JOIN kids USING (node, d) GROUP BY ALL),
+        ends AS (
+            SELECT node, d, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+            FROM members JOIN (SELECT conv_id, max(d) AS d FROM members GROUP BY conv_id) USING (conv_id, d) GROUP BY node, d)
+        SELECT nodes.node AS conv_id, CAST(nodes.d AS BIGINT) AS depth, up.top AS parent_conv_id,
+            CAST(nodes.n AS BIGINT) AS n_convs, CAST(coalesce(kids, 0) AS BIGINT) AS n_children,
+            CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes JOIN totals USING (node, d) LEFT JOIN kids USING (node, d) LEFT JOIN ends USING (node, d)
+        LEFT JOIN up ON up.node = nodes.node AND up.d = nodes.d AND up.top_d = nodes.d - 1
+    """,
 }
