@@ -3,26 +3,30 @@
 A window over a whole machine would put all its readings into one task. Here the work is
 cut along time:
 
-* lags run on slices of a machine's time line; the readings a slice needs from before it,
-  at most as many as the longest lag, are looked up from the ends of the earlier slices;
+* lags run on slices of a machine's time line, as long as its own readings ask for; the
+  readings a slice needs from before it, at most as many as the longest lag, are looked up
+  from the ends of the earlier slices; a machine with few readings is one slice;
 * rolling statistics run on one summary row per machine and second, because readings of
-  one second share one frame, and merge running aggregates of blocks of seconds;
+  one second share one frame; see :mod:`smeltery.operators.frames`;
 * the failure horizon is a running minimum over failure times in the same slices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.functions.calendar import epoch_seconds
 from smeltery.functions.rules import is_true, relative_change
+from smeltery.operators import frames
 
 SECOND = "__second"
 SLICE = "__slice"
+LENGTH = "__length"
 READING = "__reading"
 HOUR = 3_600
 SLICE_ROWS = 2_000_000
@@ -51,38 +55,53 @@ class RollingSpec:
     )
 
 
-def slice_seconds(df: DataFrame, machine: str, time: str, rows: int = SLICE_ROWS, at_least: int = 60) -> Column:
-    """Length of a time slice holding about ``rows`` readings of the busiest machine-hour.
+def slice_lengths(df: DataFrame, spec: RollingSpec, rows: int = SLICE_ROWS, at_least: int = 60) -> DataFrame:
+    """``machine, __length``: seconds that hold about ``rows`` readings in the machine's busiest hour.
 
-    A scalar subquery over two columns, reduced map-side. With few readings it exceeds the
-    whole time line and every machine is one slice.
+    Only machines with more than ``rows`` readings are listed; the others need no slices. So there
+    are fewer rows than one for every ``rows`` readings. Counted per hour, reduced map-side.
     """
-    hour = F.floor(epoch_seconds(F.col(time)) / HOUR)
-    per_hour = df.groupBy(machine, hour.alias("__hour")).agg(F.count(F.lit(1)).alias("__rows"))
-    length = F.floor(F.lit(HOUR * rows).cast("long") / F.greatest(F.max("__rows"), F.lit(1)))
-    return per_hour.agg(F.greatest(length, F.lit(at_least))).scalar()
+    hour = F.floor(epoch_seconds(F.col(spec.time)) / HOUR)
+    per_hour = df.groupBy(spec.machine, hour.alias("__hour")).agg(F.count(F.lit(1)).alias("__rows"))
+    busiest = F.floor(F.lit(HOUR * rows).cast("long") / F.max("__rows"))
+    per_machine = per_hour.groupBy(spec.machine).agg(
+        F.sum("__rows").alias("__rows"), F.greatest(busiest, F.lit(at_least)).cast("long").alias(LENGTH)
+    )
+    return per_machine.filter(F.col("__rows") > rows).drop("__rows")
 
 
-def cut_slices(df: DataFrame, spec: RollingSpec, seconds: int | Column | None) -> DataFrame:
-    """Add the second and the slice number of every reading."""
-    if seconds is None:
-        seconds = slice_seconds(df, spec.machine, spec.time)
-    length = F.lit(seconds) if isinstance(seconds, int) else seconds
-    with_second = df.withColumn(SECOND, epoch_seconds(F.col(spec.time)))
-    return with_second.withColumn(SLICE, F.floor(F.col(SECOND) / length))
+def _add_slices(df: DataFrame, spec: RollingSpec, lengths: DataFrame | int) -> DataFrame:
+    """Add length and number of the slice that each row's second lies in.
+
+    The lengths are broadcast; see :func:`slice_lengths` for their number. Machines that are not
+    among them have one slice, whatever its readings' times.
+    """
+    if isinstance(lengths, int):
+        known = df.withColumn(LENGTH, F.lit(lengths).cast("long"))
+    else:
+        named = F.broadcast(lengths.withColumnRenamed(spec.machine, "__of"))
+        known = df.join(named, F.col(spec.machine).eqNullSafe(F.col("__of")), "left").drop("__of")
+    number = F.when(F.col(LENGTH).isNull(), 0).otherwise(F.floor(F.col(SECOND) / F.col(LENGTH)))
+    return known.withColumn(SLICE, number.cast("long"))
+
+
+def cut_slices(df: DataFrame, spec: RollingSpec, lengths: DataFrame | int) -> DataFrame:
+    """Add the second, the slice length (NULL where a machine is one slice) and the slice of every reading."""
+    return _add_slices(df.withColumn(SECOND, epoch_seconds(F.col(spec.time))), spec, lengths)
 
 
 def _history_rows(sliced: DataFrame, spec: RollingSpec) -> DataFrame:
     """For each slice: the last readings before it, as rows of that slice.
 
-    Each slice is first reduced to its last readings, so the window over a machine sees a
-    few rows per slice.
+    Machines of one slice have none and are left out before anything moves. Each slice is first
+    reduced to its last readings, so the window over a machine sees a few rows per slice.
     """
     depth = max(spec.lags)
     order = [SECOND, spec.time, spec.row_id]
     from_end = Window.partitionBy(spec.machine, SLICE).orderBy(*[F.desc(name) for name in order])
     ends = (
-        sliced.select(spec.machine, SLICE, *order, F.struct(*spec.sensors).alias(READING))
+        sliced.filter(F.col(LENGTH).isNotNull())
+        .select(spec.machine, SLICE, *order, F.struct(*spec.sensors).alias(READING))
         .withColumn("__from_end", F.row_number().over(from_end))
         .filter(F.col("__from_end") <= depth)
     )
@@ -101,7 +120,7 @@ def _history_rows(sliced: DataFrame, spec: RollingSpec) -> DataFrame:
     )
 
 
-def _lags_in_slices(sliced: DataFrame, spec: RollingSpec, frames: DataFrame | None = None) -> DataFrame:
+def _lags_in_slices(sliced: DataFrame, spec: RollingSpec, rolled: DataFrame | None = None) -> DataFrame:
     """Lag columns of a sliced table and, if given, the columns of its per-second frames.
 
     Readings, the history of each slice and the frames are put into one table: it is
@@ -118,9 +137,9 @@ def _lags_in_slices(sliced: DataFrame, spec: RollingSpec, frames: DataFrame | No
     )
     together = readings.unionByName(_history_rows(sliced, spec), allowMissingColumns=True)
     frame_columns = []
-    if frames is not None:
-        frame_columns = [name for name in frames.columns if name not in {spec.machine, SLICE, SECOND}]
-        packed = frames.select(spec.machine, SLICE, SECOND, F.struct(*frame_columns).alias("__frame"))
+    if rolled is not None:
+        frame_columns = [name for name in rolled.columns if name not in {spec.machine, SLICE, SECOND}]
+        packed = rolled.select(spec.machine, SLICE, SECOND, F.struct(*frame_columns).alias("__frame"))
         together = together.unionByName(packed, allowMissingColumns=True)
     # Frame rows have no time of their own and sort before the readings of their second.
     by = f"PARTITION BY `{spec.machine}`, {SLICE} ORDER BY {SECOND}, `{spec.time}`, `{spec.row_id}`"
@@ -148,164 +167,86 @@ def _with_change(df: DataFrame, spec: RollingSpec) -> DataFrame:
     )
 
 
-def lag_features(df: DataFrame, spec: RollingSpec = RollingSpec(), slices: int | Column | None = None) -> DataFrame:
+def lag_features(df: DataFrame, spec: RollingSpec = RollingSpec(), slices: int | None = None) -> DataFrame:
     """Row lags and relative change per sensor, ordered by time and then row id."""
-    sliced = cut_slices(df, spec, slices)
-    return _with_change(_lags_in_slices(sliced, spec), spec).drop(SECOND, SLICE)
+    sliced = cut_slices(df, spec, slices or slice_lengths(df, spec))
+    return _with_change(_lags_in_slices(sliced, spec), spec).drop(SECOND, SLICE, LENGTH)
 
 
 def _second_summary(df: DataFrame, spec: RollingSpec) -> DataFrame:
-    """Count, mean, squared deviations, minimum and maximum per sensor, machine and second."""
+    """Count, mean, squared deviations, minimum and maximum per sensor, machine and second.
+
+    Only what the frames ask for; the mean of equal values is that value, to the last digit.
+    """
+    asked = {stat for _, stats in spec.frames.values() for stat in stats}
     flags = sorted({flag for flag, _ in spec.counts.values()})
-    parts = [F.count_if(F.col(flag)).alias(f"__flag_{flag}") for flag in flags]
-    for s in spec.sensors:
-        parts += [
-            F.count(s).alias(f"__n_{s}"),
-            F.avg(s).alias(f"__mean_{s}"),
-            (F.var_pop(s) * F.count(s)).alias(f"__dev_{s}"),
-            F.min(s).alias(f"__min_{s}"),
-            F.max(s).alias(f"__max_{s}"),
-        ]
+    parts = [F.count_if(F.col(flag)).alias(f"__n_{flag}") for flag in flags]
+    for s in spec.sensors if spec.frames else ():
+        low, high = F.min(s), F.max(s)
+        parts.append(F.count(s).alias(f"__n_{s}"))
+        if asked & {"mean", "std"}:
+            mean = F.when(low == high, low.cast("double")).otherwise(F.avg(s))
+            parts += [mean.alias(f"__mean_{s}"), (F.var_pop(s) * F.count(s)).alias(f"__dev_{s}")]
+        parts += [value.alias(f"__{stat}_{s}") for stat, value in (("min", low), ("max", high)) if stat in asked]
     return df.groupBy(spec.machine, SECOND).agg(*parts)
 
 
 def _frames_per_second(with_second: DataFrame, spec: RollingSpec) -> DataFrame:
     """Rolling columns for every machine and second that has a reading.
 
-    Time is cut into blocks one second longer than the frame. A frame then is the start of the
-    block its last second lies in, and the end of the block before. Both are running
-    aggregates, one forwards over the block and one backwards over the block before, whose
-    seconds are entered a frame length later so that they line up. The work per second does
-    not depend on how many seconds a frame holds, and nothing is subtracted.
-
-    Blocks are placed by slices of four times the longest frame, which take along the seconds
-    before them that their frames reach; all frames share that one shuffle.
+    Seconds are placed by slices of twice the longest frame, which take along the seconds before
+    them that their frames reach; all frames share that one shuffle. A slice holds a summary per
+    second, however many readings, so a task's work is bounded by the frames.
     """
     lengths = sorted({n for n, _ in spec.frames.values()} | {n for _, n in spec.counts.values()})
-    width = max(4 * lengths[-1], HOUR)
+    width = max(2 * lengths[-1], HOUR)
     slice_of = F.floor(F.col(SECOND) / width)
     needed_in = F.sequence(slice_of, F.floor((F.col(SECOND) + lengths[-1]) / width))
-    placed = (
-        _second_summary(with_second, spec)
-        .withColumn(SLICE, F.explode(needed_in))
-        .repartition(spec.machine, SLICE)
-    )
-    parts = []
-    for n in lengths:
-        block = F.floor(F.col(SECOND) / (n + 1))
-        for number, earlier, at in ((block, False, F.col(SECOND)), (block + 1, True, F.col(SECOND) + n)):
-            parts.append(
-                F.struct(
-                    F.lit(n).alias("length"), number.alias("block"), F.lit(earlier).alias("earlier"), at.alias("at")
-                )
-            )
-    entered = placed.withColumn("__part", F.explode(F.array(*parts))).select("*", "__part.*").drop("__part")
-
-    block = Window.partitionBy(spec.machine, SLICE, "length", "block")
-    upto = Window.unboundedPreceding, Window.currentRow
-    whole = block.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    centred = entered.select(
-        "*", *[_finite_centre(F.col(f"__mean_{s}"), whole).alias(f"__centre_{s}") for s in spec.sensors]
-    )
-    own = _block_parts(spec, ~F.col("earlier"), block.orderBy("at").rangeBetween(*upto))
-    before = _block_parts(spec, F.col("earlier"), block.orderBy(F.desc("at")).rangeBetween(*upto))
-    summed = (
-        centred.select("*", *[c.alias(f"__own{name}") for name, c in own.items()])
-        .select("*", *[c.alias(f"__before{name}") for name, c in before.items()])
-        .filter(~F.col("earlier") & (F.col(SLICE) == slice_of))
-    )
-    return _statistics_per_second(summed, spec)
-
-
-def _is_finite(value: Column) -> Column:
-    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
-
-
-def _finite_centre(mean: Column, whole: WindowSpec) -> Column:
-    """The average of the finite means: NaN and infinity count in the frames that hold them only."""
-    return F.coalesce(F.avg(F.when(_is_finite(mean), mean)).over(whole), F.lit(0.0))
-
-
-def _block_parts(spec: RollingSpec, counted: Column, frame: WindowSpec) -> dict[str, Column]:
-    """Running aggregates over the rows of one kind; deviations are taken from the block's centre."""
-    parts = {}
-    for flag in sorted({flag for flag, _ in spec.counts.values()}):
-        parts[f"__flag_{flag}"] = F.sum(F.when(counted, F.col(f"__flag_{flag}"))).over(frame)
-    for s in spec.sensors:
-        n, offset = F.col(f"__n_{s}"), F.col(f"__mean_{s}") - F.col(f"__centre_{s}")
-        parts |= {
-            f"__n_{s}": F.sum(F.when(counted, n)).over(frame),
-            f"__sum_{s}": F.sum(F.when(counted, n * offset)).over(frame),
-            f"__sq_{s}": F.sum(F.when(counted, F.col(f"__dev_{s}") + n * offset * offset)).over(frame),
-            f"__min_{s}": F.min(F.when(counted, F.col(f"__min_{s}"))).over(frame),
-            f"__max_{s}": F.max(F.when(counted, F.col(f"__max_{s}"))).over(frame),
-        }
-    return parts
-
-
-def _statistics_per_second(summed: DataFrame, spec: RollingSpec) -> DataFrame:
-    """Both parts of each frame merged, and the frames of a second brought into one row.
-
-    Equal values give a spread of exactly zero, one value gives none.
-    """
-
-    def total(name: str) -> Column:
-        return F.coalesce(F.col(f"__own{name}"), F.lit(0)) + F.coalesce(F.col(f"__before{name}"), F.lit(0))
-
-    merged = {}
-    for s in spec.sensors:
-        n, first, second = total(f"__n_{s}"), total(f"__sum_{s}"), total(f"__sq_{s}")
-        low = F.least(f"__own__min_{s}", f"__before__min_{s}")
-        high = F.greatest(f"__own__max_{s}", f"__before__max_{s}")
-        spread = F.greatest(second - first * first / n, F.lit(0.0))
-        merged |= {
-            f"{s}_mean": F.when(n > 0, F.col(f"__centre_{s}") + first / n),
-            f"{s}_std": F.when(n > 1, F.when((low == high) & _is_finite(low), 0.0).otherwise(F.sqrt(spread / (n - 1)))),
-            f"{s}_min": low,
-            f"{s}_max": high,
-        }
-    flags = {flag: total(f"__flag_{flag}") for flag in {flag for flag, _ in spec.counts.values()}}
-    values = summed.select(
-        spec.machine,
-        SLICE,
-        SECOND,
-        "length",
-        *[value.alias(f"__{name}") for name, value in {**merged, **flags}.items()],
-    )
-
-    def of(length: int, name: str) -> Column:
-        return F.max(F.when(F.col("length") == length, F.col(f"__{name}")))
-
     wanted = {
-        f"{s}_{stat}_{suffix}": of(length, f"{s}_{stat}")
+        f"{s}_{stat}_{suffix}": (s, length, stat)
         for suffix, (length, stats) in spec.frames.items()
         for s in spec.sensors
         for stat in stats
     }
-    wanted |= {name: of(length, flag) for name, (flag, length) in spec.counts.items()}
-    # Slice and machine place the rows already, so this grouping moves nothing.
-    grouped = values.groupBy(spec.machine, SLICE, SECOND).agg(*[value.alias(name) for name, value in wanted.items()])
-    return grouped.drop(SLICE)
+    wanted |= {name: (flag, length, "count") for name, (flag, length) in spec.counts.items()}
+    keys = [spec.machine, SLICE]
+    placed = _second_summary(with_second, spec).withColumn(SLICE, F.explode(needed_in))
+    placed = placed.repartition(*keys).sortWithinPartitions(*keys, SECOND)
+
+    def roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in frames.whole_groups(batches, keys):
+            second = table.column(SECOND).to_numpy()
+            found = frames.columns_of(table, group, second, wanted)
+            own = pa.array(table.column(SLICE).to_numpy() == second // width)
+            rows = pa.Table.from_arrays(
+                [table.column(spec.machine), table.column(SECOND), *found.values()], names=[spec.machine, SECOND, *found]
+            )
+            yield from rows.filter(own).to_batches()
+
+    kinds = {name: "long" if stat == "count" else "double" for name, (_, _, stat) in wanted.items()}
+    known = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+    machine = placed.schema[spec.machine].dataType.simpleString()
+    rolled = placed.mapInArrow(roll, f"`{spec.machine}` {machine}, {SECOND} long, {known}")
+    sensor = {name: with_second.schema[s].dataType for name, (s, _, stat) in wanted.items() if stat in ("min", "max")}
+    return rolled.withColumns({name: F.col(name).cast(kind) for name, kind in sensor.items()})
 
 
 def rolling_features(df: DataFrame, spec: RollingSpec = RollingSpec()) -> DataFrame:
     """Statistics over the seconds up to and including each reading's second."""
     with_second = df.withColumn(SECOND, epoch_seconds(F.col(spec.time)))
-    frames = _frames_per_second(with_second, spec)
-    return with_second.join(frames, [spec.machine, SECOND], "left").drop(SECOND)
+    rolled = _frames_per_second(with_second, spec)
+    return with_second.join(rolled, [spec.machine, SECOND], "left").drop(SECOND)
 
 
-def machine_features(df: DataFrame, spec: RollingSpec = RollingSpec(), slices: int | Column | None = None) -> DataFrame:
+def machine_features(df: DataFrame, spec: RollingSpec = RollingSpec(), slices: int | None = None) -> DataFrame:
     """Lags, change, rolling statistics and counts together.
 
     The wide readings are shuffled and sorted once; see :func:`_lags_in_slices`.
     """
-    if slices is None:
-        slices = slice_seconds(df, spec.machine, spec.time)
-    length = F.lit(slices) if isinstance(slices, int) else slices
-    sliced = cut_slices(df, spec, slices)
-    frames = _frames_per_second(sliced, spec).withColumn(SLICE, F.floor(F.col(SECOND) / length))
-    return _with_change(_lags_in_slices(sliced, spec, frames), spec).drop(SECOND, SLICE)
+    lengths = slices or slice_lengths(df, spec)
+    sliced = cut_slices(df, spec, lengths)
+    rolled = _add_slices(_frames_per_second(sliced, spec), spec, lengths).drop(LENGTH)
+    return _with_change(_lags_in_slices(sliced, spec, rolled), spec).drop(SECOND, SLICE, LENGTH)
 
 
 def failure_within(
@@ -314,24 +255,21 @@ def failure_within(
     is_failure: Column,
     horizon: int = 4 * HOUR,
     name: str = "will_fail_in_4hrs",
-    slices: int | Column | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Whether the machine fails after a reading's second and within the horizon.
 
     A slice sees its own failure seconds and, of every later slice within reach, the first
     one; the next failure is then a running minimum from the end of the slice.
     """
-    if slices is None:
-        slices = slice_seconds(df, spec.machine, spec.time)
-    length = F.lit(slices) if isinstance(slices, int) else slices
-    sliced = cut_slices(df, spec, slices)
-    own = sliced.filter(is_failure).select(spec.machine, SLICE, SECOND).distinct()
-    earlier = F.sequence(F.floor((F.col(SECOND) - horizon) / length), F.col(SLICE) - 1)
+    sliced = cut_slices(df, spec, slices or slice_lengths(df, spec))
+    own = sliced.filter(is_failure).select(spec.machine, SLICE, SECOND, LENGTH).distinct()
+    reach = F.floor((F.col(SECOND) - horizon) / F.col(LENGTH))
     ahead = (
-        own.groupBy(spec.machine, SLICE)
+        own.groupBy(spec.machine, SLICE, LENGTH)
         .agg(F.min(SECOND).alias(SECOND))
-        .filter(F.floor((F.col(SECOND) - horizon) / length) < F.col(SLICE))
-        .withColumn(SLICE, F.explode(earlier))
+        .filter(reach < F.col(SLICE))
+        .withColumn(SLICE, F.explode(F.sequence(reach, F.col(SLICE) - 1)))
     )
     failures = own.unionByName(ahead).withColumn("__failure", F.col(SECOND))
     marked = sliced.withColumn("__reading", F.lit(True)).unionByName(failures, allowMissingColumns=True)
@@ -342,4 +280,4 @@ def failure_within(
     )
     found = marked.withColumn("__next", F.min("__failure").over(later)).filter(F.col("__reading"))
     in_time = is_true(F.col("__next") - F.col(SECOND) <= horizon)
-    return found.withColumn(name, in_time).drop(SECOND, SLICE, "__failure", "__reading", "__next")
+    return found.withColumn(name, in_time).drop(SECOND, SLICE, LENGTH, "__failure", "__reading", "__next")

@@ -1,13 +1,15 @@
 import datetime as dt
 import statistics
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from smeltery.operators import rolling
+from smeltery.operators import frames, rolling
 
 START = dt.datetime(2024, 1, 1)
 COLUMNS = "machine_id string, timestamp timestamp, reading_id int, x double, is_anomaly boolean, failed boolean"
@@ -126,11 +128,40 @@ def test_history_crosses_empty_slices(spark):
     assert out[5] == (4.0, 2.0) and out[1] == (0.0, None)
 
 
-def test_busy_machine_is_cut(spark):
-    """A busy machine gets short slices; an empty table gets one slice."""
-    rows = spark.range(7200).selectExpr("'hot' AS machine_id", "timestamp_seconds(id) AS timestamp")
-    assert spark.range(1).select(rolling.slice_seconds(rows, "machine_id", "timestamp", rows=600)).first()[0] == 600
-    assert spark.range(1).select(rolling.slice_seconds(rows.limit(0), "machine_id", "timestamp")).first()[0] > 10**9
+def fleet(spark, busy=7200, others=300):
+    """One machine with a reading per second, and many with a reading per day."""
+    hot = spark.range(busy).selectExpr("'hot' AS machine_id", "timestamp_seconds(id) AS timestamp", "id AS reading_id")
+    rest = spark.range(others * 20).selectExpr(
+        f"'m' || id % {others} AS machine_id", f"timestamp_seconds(86400 * (id div {others})) AS timestamp", "-1 - id AS reading_id"
+    )
+    rows = hot.unionByName(rest).unionByName(hot.limit(3).selectExpr("CAST(NULL AS STRING) AS machine_id", "timestamp", "reading_id + 9000 AS reading_id"))
+    return rows.selectExpr("*", "CAST(hash(reading_id) % 100 AS DOUBLE) AS x", "false AS is_anomaly")
+
+
+def test_only_busy_machines_are_cut(spark):
+    """Each by its own readings; an empty table has none."""
+    rows = fleet(spark)
+    assert [tuple(r) for r in rolling.slice_lengths(rows, SPEC, rows=600).collect()] == [("hot", 600)]
+    assert rolling.slice_lengths(rows.limit(0), SPEC).count() == 0
+    sliced = rolling.cut_slices(rows, SPEC, rolling.slice_lengths(rows, SPEC, rows=600))
+    per_slice = {r[0]: (r[1], r[2]) for r in sliced.groupBy("machine_id").agg(F.countDistinct("__slice"), F.count("*")).collect()}
+    assert per_slice["hot"] == (12, 7200) and {v for k, v in per_slice.items() if k not in ("hot", None)} == {(1, 20)}
+    assert per_slice[None] == (1, 3)
+    assert rolling._history_rows(sliced, SPEC).count() == 11 * max(SPEC.lags)
+
+
+def test_uneven_machines_have_the_lags_of_one_window(spark, monkeypatch):
+    monkeypatch.setattr(rolling.slice_lengths, "__defaults__", (600, 60))
+    rows = fleet(spark)
+    window = Window.partitionBy("machine_id").orderBy("timestamp", "reading_id")
+    plain = rows.select("reading_id", *[F.lag("x", n).over(window).alias(f"x_lag{n}") for n in SPEC.lags])
+    got = rolling.lag_features(rows, SPEC).select(*plain.columns)
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    full = rolling.machine_features(rows, SPEC)
+    frame = Window.partitionBy("machine_id").orderBy(F.unix_timestamp("timestamp")).rangeBetween(-300, 0)
+    counted = rows.select("reading_id", F.round(F.avg("x").over(frame), 6).alias("m"), F.max("x").over(frame).alias("h"))
+    both = full.select("reading_id", F.round("x_mean_5m", 6).alias("m"), F.col("x_max_5m").alias("h"))
+    assert both.exceptAll(counted).count() == 0
 
 
 @SLOW
@@ -149,3 +180,36 @@ def test_readings_are_shuffled_once(spark):
     plan = rolling.machine_features(frame(spark, rows), SPEC, 600)._jdf.queryExecution().executedPlan().toString()
     top = plan.split("Union")[0]
     assert top.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("rows", [1, 50, 10**6])
+def test_frames_do_not_depend_on_how_rows_arrive(rows):
+    """Batches of any size, groups longer than a batch, blocks of one second and of all."""
+    rng = np.random.default_rng(3)
+    group = np.sort(rng.integers(0, 5, 400))
+    second = np.concatenate([np.sort(rng.choice(3000, (group == g).sum(), False)) for g in range(5)]) - 1000
+    value, weight = rng.normal(1e6, 1, 400), rng.integers(0, 3, 400)
+    names = {"machine": group, "slice": group // 2, "second": second, "__n_x": weight, "__mean_x": value, "__dev_x": 0.0 * value}
+    extreme = np.where(weight == 0, np.nan, value)
+    table = pa.table({k: pa.array(v) for k, v in (names | {"__min_x": extreme, "__max_x": extreme}).items()})
+    for length in (0, 1, 300, 10**5):
+        wanted = {stat: ("x", length, stat) for stat in ("count", "mean", "std", "min", "max")}
+        found = []
+        for part, number in frames.whole_groups(iter(table.to_batches(max_chunksize=37)), ["machine", "slice"], rows):
+            found += zip(*[c.to_pylist() for c in frames.columns_of(part, number, part.column("second").to_numpy(), wanted).values()])
+        for i, got in enumerate(found):
+            mine = (group == group[i]) & (second <= second[i]) & (second >= second[i] - length)
+            values = np.repeat(value[mine], weight[mine])
+            want = (len(values), *[f(values) if len(values) else None for f in (np.mean, np.std, np.min, np.max)])
+            want = (*want[:2], np.std(values, ddof=1) if len(values) > 1 else None, *want[3:])
+            assert list(got) == [x if x is None else pytest.approx(x, rel=1e-9, abs=1e-9) for x in want], (i, length)
+
+
+def test_a_far_value_leaves_no_trace():
+    """Frames after a spike are as exact as if it had never been."""
+    n = 400
+    value = np.full(n, 0.25)
+    value[100] = 1e15
+    table = {"n": np.ones(n, np.int64), "mean": value, "dev": np.zeros(n), "min": value, "max": value}
+    found = frames.frame_summaries(table, np.zeros(n, np.int64), np.arange(n), 20)
+    assert set(frames.statistic(found, "std").to_pylist()[121:]) == {0.0}
