@@ -14,7 +14,7 @@ from smeltery.operators.intervals import flag_event_days
 from smeltery.operators.lookup import add_dimension
 from smeltery.operators.monthly import MonthlySpec, monthly_features
 from smeltery.operators.quality import first_per_key, keep_required, reject_missing, trim_columns
-from smeltery.sources import readers, schemas, writers
+from smeltery.sources import commits, readers, schemas, writers
 from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages, rejected_messages
 
 # Topic, lineage label and column lists.
@@ -121,6 +121,16 @@ def start_silver(
     )
 
 
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """What the silver stream has committed."""
+    return commits.read_table(spark, path)
+
+
+def compact_silver(spark: SparkSession, path: str) -> int | None:
+    """Bring the small files of past batches together, month by month, beside the running stream."""
+    return commits.compact(spark, path, PARTITIONS)
+
+
 def gold(silver_rows: DataFrame, calendar_lags: bool = False) -> DataFrame:
     features = monthly_features(silver_rows, MonthlySpec(attributes=ATTRIBUTES), calendar_lags)
     return features.withColumn("gold_processed_at", F.current_timestamp())
@@ -143,5 +153,4 @@ def refresh_gold(silver_rows: DataFrame, path: str, first_month: str, last_month
     reach = max(MonthlySpec().lags)
     source = silver_rows.filter(index.between(first - reach, last + reach))
     changed = gold(source, calendar_lags=True).filter(index.between(first, last + reach))
-    months = [f"year={(m - 1) // 12}/month={(m - 1) % 12 + 1}" for m in range(first, last + reach + 1)]
-    return writers.overwrite_partitions(changed, path, PARTITIONS, months)
+    return writers.overwrite_partitions(changed, path, PARTITIONS, index.between(first, last + reach))

@@ -12,7 +12,7 @@ from smeltery.functions.rules import above_limit_flags, any_of, is_true, outside
 from smeltery.operators.lookup import add_dimension
 from smeltery.operators.quality import first_per_key, keep_required, reject_missing, trim_columns
 from smeltery.operators.rolling import RollingSpec, machine_features
-from smeltery.sources import readers, schemas, writers
+from smeltery.sources import commits, readers, schemas, writers
 from smeltery.streaming.ingest import bronze_rows, drop_repeats, parse_messages, rejected_messages
 
 # Topic, lineage label, column lists and the limit of each flag.
@@ -119,6 +119,16 @@ def start_silver(
     )
 
 
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """What the silver stream has committed."""
+    return commits.read_table(spark, path)
+
+
+def compact_silver(spark: SparkSession, path: str) -> int | None:
+    """Bring the small files of past batches together, month by month, beside the running stream."""
+    return commits.compact(spark, path, PARTITIONS)
+
+
 def gold(silver_rows: DataFrame, spec: RollingSpec = RollingSpec(), slices: int | None = None) -> DataFrame:
     features = machine_features(silver_rows, spec, slices)
     return features.withColumns(

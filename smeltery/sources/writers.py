@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-BATCH_ID = "batch_id"
+from smeltery.sources.commits import write_batch
 
 
 def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -35,41 +38,6 @@ def append_stream(
     return with_trigger(writer, every).start()
 
 
-def _written(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, Observation]:
-    """The rows, and what is seen of them while they are written: their number and partitions."""
-    seen = Observation()
-    values = F.struct(*[F.col(name).cast("string").alias(name) for name in partition_by])
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(values).alias("partitions")), seen
-
-
-def _drop_partitions(df: DataFrame, path: str, pattern: str, written: set[str]) -> None:
-    """Remove the partition folders below ``path`` that match and were not written."""
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    root = files.makeQualified(folder).toString().rstrip("/")
-    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")) or ():
-        if status.getPath().toString().removeprefix(f"{root}/") not in written:
-            files.delete(status.getPath(), True)
-
-
-def _folders(seen: Observation, partition_by: Sequence[str]) -> set[str]:
-    return {"/".join(f"{name}={row[name]}" for name in partition_by) for row in seen.get["partitions"] or ()}
-
-
-def write_batch_once(df: DataFrame, batch_id: int, path: str, partition_by: Sequence[str]) -> None:
-    """Write one micro-batch so that a replay of the batch replaces what it wrote before.
-
-    The batch id is the last partition level. Only the partitions present in the batch are
-    overwritten; those that an earlier try of the same batch wrote, and this one did not, are
-    removed. Other batches are never touched.
-    """
-    levels = [*partition_by, BATCH_ID]
-    rows, seen = _written(df.withColumn(BATCH_ID, F.lit(batch_id)), levels)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
-    _drop_partitions(df, path, "/".join(["*=*"] * len(partition_by) + [f"{BATCH_ID}={batch_id}"]), _folders(seen, levels))
-
-
 def transform_stream(
     df: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -78,10 +46,13 @@ def transform_stream(
     partition_by: Sequence[str],
     every: str | None = "60 seconds",
 ) -> StreamingQuery:
-    """Run a batch transformation on every micro-batch and write its result once."""
+    """Run a batch transformation on every micro-batch and commit its result once.
+
+    The table is read by ``commits.read_table``.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch_once(transform(batch), batch_id, path, partition_by)
+        write_batch(transform(batch), batch_id, path, partition_by)
 
     writer = df.writeStream.foreachBatch(handle).outputMode("append").option("checkpointLocation", checkpoint)
     return with_trigger(writer, every).start()
@@ -105,34 +76,37 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> di
     return {"rows": seen.get["rows"], "columns": len(df.columns)}
 
 
+def _files_of(df: DataFrame, path: str, condition: Column) -> set[str]:
+    """The files below ``path`` with rows, shaped like ``df``, that meet a condition."""
+    try:
+        table = df.sparkSession.read.schema(df.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {row[0] for row in table.where(condition).select("_metadata.file_path").distinct().collect()}
+
+
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], replaced: Sequence[str] | None = None
+    df: DataFrame, path: str, partition_by: Sequence[str], replaced: Column | None = None
 ) -> dict[str, int]:
     """Replace only the partitions that occur in ``df`` and report rows and columns.
 
-    ``replaced`` names partition folders that the rows stand for; those of them that got no row
-    are removed.
+    ``replaced`` is a condition on the partition columns; the rows stand for all partitions that
+    meet it, and those of them that got no row become empty: the folders in which a file from
+    before the write is still there. Files are compared, not values or folder names.
     """
-    rows, seen = _written(df, partition_by)
+    before = set() if replaced is None else _files_of(df, path, replaced)
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     _partitioned(rows, partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
-    written = _folders(seen, partition_by)
-    for folder in set(replaced or ()) - written:
-        _drop_partitions(df, path, folder, written)
+    if before:
+        inside = T.StructType([f for f in df.schema if f.name not in partition_by])
+        for folder in {unquote(file.rsplit("/", 1)[0]) for file in before & _files_of(df, path, replaced)}:
+            df.sparkSession.createDataFrame([], inside).coalesce(1).write.mode("overwrite").parquet(folder)
     return {"rows": seen.get["rows"], "columns": len(df.columns)}
 
 
-def compact_batches(rows: DataFrame, path: str, partition_by: Sequence[str]) -> dict[str, int]:
-    """Write a table of many small batches anew as one set of files per partition, elsewhere.
-
-    ``rows`` is the table as read; ``path`` is a new folder, so a failed run leaves the table as
-    it is and can be repeated. Readers move to the new folder when it is complete; the stream
-    goes on writing its batches to the old one, which is compacted again with ``rows`` limited to
-    the batches after the last one compacted.
-    """
-    whole = rows.drop(BATCH_ID).repartition(*partition_by, F.pmod(F.xxhash64(*rows.columns), F.lit(8)))
-    return overwrite_table(whole, path, partition_by)
-
-
 def keyed_messages(df: DataFrame, key: str) -> DataFrame:
     """Rows as messages: the key column as text and the whole row as JSON."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from smeltery.operators.rolling import RollingSpec, lag_features
-from smeltery.sources.writers import with_trigger, write_batch_once
+from smeltery.sources.commits import write_batch
+from smeltery.sources.writers import with_trigger
 
 
 class LagProcessor(StatefulProcessor):
@@ -93,7 +94,7 @@ def start_lag_batches(
             recent = spark.read.schema(schema).parquet(f"{recent_path}/batch_id={batch_id - 1}")
         rows = batch.withColumn("__new", F.lit(True)).unionByName(recent, allowMissingColumns=True)
         lagged = lag_features(rows, spec, slices).filter("__new").drop("__new")
-        write_batch_once(lagged, batch_id, path, [])
+        write_batch(lagged, batch_id, path)
         newest = Window.partitionBy(spec.machine).orderBy(F.desc(spec.time), F.desc(spec.row_id))
         last = rows.select(*columns, F.row_number().over(newest).alias("__back")).filter(F.col("__back") <= depth)
         last.drop("__back").write.mode("overwrite").parquet(f"{recent_path}/batch_id={batch_id}")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltery.plans import demand, machine
-from smeltery.sources import readers, schemas, writers
+from smeltery.sources import commits, readers, schemas, writers
 
 NOW = dt.datetime(2024, 5, 1, 12)
 
@@ -95,7 +95,7 @@ def test_demand(spark, raw, tmp_path):
 
     dims = demand.read_dimensions(spark, str(raw))
     run_silver(spark, demand, schemas.SALES_BRONZE, dims, tmp_path)
-    silver = spark.read.parquet(str(tmp_path / "silver"))
+    silver = commits.read_table(spark, str(tmp_path / "silver"))
     rows = {r.transaction_id: r for r in silver.collect()}
     assert set(rows) == {"t1", "t2", "t6"} and silver.count() == 3
     one, other = rows["t1"], rows["t6"]
@@ -103,7 +103,7 @@ def test_demand(spark, raw, tmp_path):
     assert (other.cold_chain_required, other.shelf_life_months, other.num_clinics) == (True, None, 7)
     assert (one.drug_name, one.region_name, one.is_event_day) == ("Name", "City", True)
     assert (one.high_return_flag, other.high_return_flag) == (False, True)
-    assert len(silver.columns) == 35 + 1  # and the batch id
+    assert len(silver.columns) == 35
     table = demand.silver(bronze, dims).filter("transaction_id <> 't2'")
     assert same(table, silver.filter("transaction_id <> 't2'"), ["silver_processed_at"])
 
@@ -119,17 +119,10 @@ def test_a_second_run_adds_only_new_messages(spark, raw, tmp_path):
         run_bronze(spark, demand, tmp_path)
         for _ in range(2):
             run_silver(spark, demand, schemas.SALES_BRONZE, dims, tmp_path)
-    silver = spark.read.parquet(str(tmp_path / "silver"))
+    silver = commits.read_table(spark, str(tmp_path / "silver"))
     assert sorted(r.transaction_id for r in silver.collect()) == ["t1", "t2", "t3"]
 
 
-def test_replayed_batch_replaces_itself(spark, tmp_path):
-    df = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "id int, year int, month int")
-    for batch in (0, 1, 1):
-        writers.write_batch_once(df, batch, str(tmp_path / "t"), ["year", "month"])
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
-
-
 def test_refresh_equals_full_gold(spark, tmp_path):
     rows = [(n, d, r, dt.date(2022 + m // 12, m % 12 + 1, 5), 5 + (n * m) % 7) for n, (d, r) in enumerate((("D1", "R1"), ("D2", "R1")), 1) for m in range(30)]
     base = spark.createDataFrame(rows, "n int, drug_id string, region_id string, transaction_date date, quantity_sold int").withColumns(
@@ -168,19 +161,6 @@ def test_refresh_removes_a_month_that_became_empty(spark, tmp_path):
     assert same(spark.read.parquet(path), spark.read.parquet(str(tmp_path / "full")), ["gold_processed_at"])
 
 
-def test_replay_with_fewer_partitions_leaves_nothing_behind(spark, tmp_path):
-    df = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "id int, year int, month int")
-    path = str(tmp_path / "t")
-    writers.write_batch_once(df, 0, path, ["year", "month"])
-    writers.write_batch_once(df, 1, path, ["year", "month"])
-    writers.write_batch_once(df.filter("id = 1"), 1, path, ["year", "month"])
-    assert sorted((r.id, r.batch_id) for r in spark.read.parquet(path).collect()) == [(1, 0), (1, 1), (2, 0)]
-    writers.write_batch_once(df.filter("id = 0"), 1, path, ["year", "month"])
-    assert sorted((r.id, r.batch_id) for r in spark.read.parquet(path).collect()) == [(1, 0), (2, 0)]
-    assert writers.compact_batches(spark.read.parquet(path), str(tmp_path / "whole"), ["year", "month"])["rows"] == 2
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "whole")).collect()) == [1, 2]
-
-
 def test_silver_rejects_are_written(spark, tmp_path):
     put(tmp_path / "in", "1.json", SALES)
     run_bronze(spark, demand, tmp_path)
@@ -202,7 +182,7 @@ def test_machine(spark, raw, tmp_path):
 
     master = machine.read_master(spark, str(raw))
     run_silver(spark, machine, schemas.SENSOR_BRONZE, master, tmp_path)
-    silver = spark.read.parquet(str(tmp_path / "silver")).drop("batch_id")
+    silver = commits.read_table(spark, str(tmp_path / "silver"))
     rows = {r.reading_id: r for r in silver.collect()}
     assert set(rows) == {"r1", "r2", "r4", "r5", "r6"} and silver.count() == 5
     assert [rows[k].is_anomaly for k in ("r1", "r2", "r4", "r5", "r6")] == [False, True, False, False, True]
