@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Readings of a session are merged in their input partition, before they move.
+    LOCAL_SESSIONS: "true",
     "spark.ui.enabled": "false",
 }
 
@@ -30,6 +36,17 @@ def build_session(app: str = "smeltery", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -60,5 +60,9 @@ def sessions(
     gap: str = "30 minutes",
     delay: str = "10 minutes",
 ) -> DataFrame:
-    """Stretches of readings without a pause as long as ``gap``; the pauses are outages."""
+    """Stretches of readings without a pause as long as ``gap``; the pauses are outages.
+
+    With the session's setting ``LOCAL_SESSIONS`` a stream's readings are merged to sessions in
+    their input partition first, so that a busy machine sends a row per session and partition.
+    """
     return _by_window(_watermarked(df, time, delay), F.session_window(time, gap), keys, sensors)

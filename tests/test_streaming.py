@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltery.operators import rolling
-from smeltery.session import ROCKSDB
-from smeltery.sources import readers, writers
+from smeltery.session import LOCAL_SESSIONS, ROCKSDB
+from smeltery.sources import commits, readers, writers
 from smeltery.sources.schemas import schema_of
-from smeltery.streaming import horizon, ingest, stateful, windows
+from smeltery.streaming import horizon, ingest, latewindows, stateful, windows
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = schema_of("machine_id string, timestamp timestamp, reading_id bigint, x double")
@@ -97,7 +97,7 @@ def test_lag_batches_equal_batch(spark, tmp_path, slices):
     for rows in batches():
         put(spark, tmp_path, rows)
         stateful.start_lag_batches(source(spark, tmp_path), SPEC, *paths, every=None, slices=slices).awaitTermination()
-    out = spark.read.parquet(paths[0])
+    out = commits.read_table(spark, paths[0])
     wanted = expected(spark, tmp_path)
     assert out.count() == 7 and out.select(wanted.columns).exceptAll(wanted).count() == 0
 
@@ -107,3 +107,74 @@ def test_failures_ahead_of_a_table(spark):
     df = spark.createDataFrame([("a", at(0), 1, 0.0), ("a", at(240), 2, 1.0), ("a", at(241), 3, 1.0), ("b", at(5), 4, 1.0)], SCHEMA)
     ahead = horizon.failures_ahead(df, df.filter("x = 1"), "machine_id", "timestamp", "reading_id")
     assert sorted(r.reading_id for r in ahead.collect()) == [1, 2]
+
+
+def late_run(spark, tmp_path, step=None, checkpoint="late-check"):
+    latewindows.start_windows(
+        source(spark, tmp_path), "timestamp", ["machine_id"], ["x"], str(tmp_path / "late"), str(tmp_path / checkpoint),
+        "10 minutes", step, "10 minutes", every=None,
+    ).awaitTermination()
+
+
+LATE = (
+    [("a", 0, 1, 1.0), ("a", 25, 2, 2.0), ("b", 1, 3, None)],
+    [("a", 1, 4, 50.0), ("a", 21, 5, 4.0), ("b", 4, 6, 7.0), ("b", 16, 7, 8.0)],
+    [("a", 90, 8, 0.0)],
+    [("a", 26, 9, 9.0), ("c", 80, 10, 3.0), ("c", 200, 11, 3.0)],
+)
+
+
+@pytest.mark.parametrize("step", [None, "5 minutes"])
+def test_every_row_is_in_a_window_or_among_the_late(spark, tmp_path, step):
+    for rows in LATE:
+        put(spark, tmp_path, rows)
+        late_run(spark, tmp_path, step)
+    width, hop = 10, 5 if step else 10
+    expected, late, newest = {}, [], None
+    for rows in LATE:
+        for m, t, i, v in rows:
+            for start in range(t // hop * hop - width + hop, t + 1, hop):
+                if newest is not None and start + width <= newest - 10:
+                    late.append((i, start))
+                else:
+                    expected.setdefault((m, start), []).append(v)
+        newest = max([newest or 0] + [t for _, t, _, _ in rows])
+    minutes = lambda ts: int((ts - START).total_seconds()) // 60
+    found = latewindows.read_windows(spark, str(tmp_path / "late"), ["machine_id"], ["x"]).collect()
+    assert {(r.machine_id, minutes(r.window_start)): (r.readings, r.x_max) for r in found} == {
+        k: (len(v), max((x for x in v if x is not None), default=None)) for k, v in expected.items()
+    }
+    set_aside = latewindows.late_rows(spark, str(tmp_path / "late")).collect()
+    assert sorted((r.reading_id, minutes(r.window_start)) for r in set_aside) == sorted(late) and late
+    assert latewindows.late_counts(spark, str(tmp_path / "late")).agg(F.sum("rows")).first()[0] == len(late)
+    closed = latewindows.read_windows(spark, str(tmp_path / "late"), ["machine_id"], ["x"], "10 minutes")
+    assert closed.count() == sum(start + width <= newest - 10 for _, start in expected)
+
+
+def test_a_replay_of_all_batches_changes_nothing(spark, tmp_path):
+    """A lost checkpoint makes the stream write every batch again."""
+    for rows in LATE:
+        put(spark, tmp_path, rows)
+    found = []
+    for name in ("first", "second"):
+        late_run(spark, tmp_path, checkpoint=name)
+        windows_now = latewindows.read_windows(spark, str(tmp_path / "late"), ["machine_id"], ["x"]).collect()
+        found.append((sorted(map(str, windows_now)), latewindows.late_rows(spark, str(tmp_path / "late")).count()))
+    assert found[0] == found[1]
+    latewindows.compact(spark, str(tmp_path / "late"))
+    after = latewindows.read_windows(spark, str(tmp_path / "late"), ["machine_id"], ["x"]).collect()
+    assert sorted(map(str, after)) == found[0][0]
+
+
+def test_sessions_are_merged_before_they_move(spark, tmp_path):
+    """One machine has nearly all rows: each input partition sends a row per session."""
+    put(spark, tmp_path, [("busy", i / 10, i, float(i)) for i in range(3000)] + [("other", 0, -1, 1.0)])
+    put(spark, tmp_path, [("busy", 10_000, 9999, 0.0)])
+    assert spark.conf.get(LOCAL_SESSIONS) == "true"
+    grouped = windows.sessions(source(spark, tmp_path), "timestamp", ["machine_id"], ["x"], "30 minutes", "1 minute")
+    query = grouped.writeStream.format("memory").queryName("sessions").outputMode("append")
+    query = query.option("checkpointLocation", str(tmp_path / "sessions")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.readings for r in spark.table("sessions").collect()) == [1, 3000]
+    plan = query._jsq.explainInternal(False)
+    assert "MergingSessions" in plan.split("Exchange hashpartitioning")[-1]
