@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smeltery.functions.rules import is_true
+from smeltery.operators import quantiles
 from smeltery.operators.evaluation import binary_metrics, class_balance, class_report
 from smeltery.operators.reports import add_risk
+from smeltery.session import scratch_dir
 
 # Columns that are no features, and the categorical ones.
 NOT_FEATURES = (
@@ -88,86 +90,89 @@ def mark_training_rows(
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
-    """Alphabetical codes of a categorical column, from 0: one row per value, none for NULL.
+    """``value, code``: alphabetical codes of a categorical column from 0, none for NULL.
 
-    Distinct values are counted per first characters; a code is the number of values with
-    smaller first characters plus the place among those that share them. Only the counts, one
-    row per pair of first characters, are ordered in one task.
+    Distinct values are sorted by range over all tasks and written, each with the number of its
+    range; a code is the number of values in earlier ranges plus the place in its own. What is
+    ordered in one task are the counts, one per range, whatever the values have in common.
     """
-    values = df.select(F.col(column).cast("string").alias(column)).distinct().na.drop()
-    placed = values.withColumn("__head", F.substring(column, 1, 2))
-    counted = placed.groupBy("__head").agg(F.count(F.lit(1)).alias("__values"))
-    earlier = F.sum("__values").over(Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counted.select("__head", F.coalesce(earlier, F.lit(0)).alias("__start"))
-    own = F.row_number().over(Window.partitionBy("__head").orderBy(column)) - 1
-    return placed.withColumn("__own", own).join(starts, "__head").select(column, (F.col("__start") + F.col("__own")).alias("code"))
+    values = df.select(F.col(f"`{column}`").cast("string").alias("value")).distinct().na.drop()
+    path = scratch_dir(df.sparkSession, "category-values")
+    values.repartitionByRange("value").withColumn("__range", F.spark_partition_id()).write.parquet(path)
+    placed = df.sparkSession.read.schema("value string, __range int").parquet(path)
+    counted = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__values"))
+    earlier = F.sum("__values").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counted.select("__range", F.coalesce(earlier, F.lit(0)).alias("__start"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy("value")) - 1
+    return placed.withColumn("__own", own).join(starts, "__range").select("value", (F.col("__start") + F.col("__own")).alias("code"))
+
+
+def with_codes(df: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
+    """A further column with the code of a categorical one; NULL where there is none."""
+    named = codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+    joined = df.join(named, F.col(f"`{column}`").cast("string") == F.col("__value"), "left")
+    return joined.withColumn(name, F.col("__code")).drop("__value", "__code")
 
 
 def encode_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Categorical columns replaced by their alphabetical codes."""
     for column in columns:
-        codes = category_codes(df, column).withColumnRenamed("code", "__code")
-        df = (
-            df.withColumn(column, F.col(column).cast("string"))
-            .join(codes, column, "left")
-            .withColumn(column, F.col("__code"))
-            .drop("__code")
-        )
+        df = with_codes(df, column, category_codes(df, column), column)
     return df
 
 
-def usable_numeric(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The columns that hold at least one value; the others cannot be filled."""
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    return [c for c in columns if counts[c] > 0]
-
-
-def build_stages(spec: TrainingSpec, numeric: Sequence[str]) -> Pipeline:
-    """Encoder, median fill, assembly and trees as one unit, so scoring repeats training.
+@dataclass(frozen=True)
+class Model:
+    """What scoring repeats of training: medians of the numbers, codes of the categories, the trees.
 
-    Codes enter the trees as ordinary numbers: the plain copy has no list of categories
-    attached, so their number is not limited by the bins of a tree.
+    A category that training has not seen, and NULL, has the code after the last.
     """
-    indexed = [f"{c}__index" for c in spec.categorical]
-    ordinal = [f"{c}__code" for c in spec.categorical]
-    filled = [f"{c}__filled" for c in numeric]
-    stages = []
-    if indexed:
-        stages.append(
-            StringIndexer(
-                inputCols=list(spec.categorical),
-                outputCols=indexed,
-                stringOrderType="alphabetAsc",
-                handleInvalid="keep",
-            )
-        )
-        copies = ", ".join(f"`{a}` + 0.0D AS `{b}`" for a, b in zip(indexed, ordinal))
-        stages.append(SQLTransformer(statement=f"SELECT *, {copies} FROM __THIS__"))
-    if filled:
-        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=filled))
-    stages.append(VectorAssembler(inputCols=filled + ordinal, outputCol="features"))
-    stages.append(
-        GBTClassifier(
-            labelCol=spec.label,
-            featuresCol="features",
-            weightCol="__weight",
-            maxIter=spec.trees,
-            maxDepth=spec.depth,
-            stepSize=spec.rate,
-            subsamplingRate=spec.row_share,
-            featureSubsetStrategy=str(spec.feature_share),
-            seed=spec.seed,
-            **spec.extra,
-        )
+
+    medians: Mapping[str, float]
+    codes: Mapping[str, DataFrame]
+    unknown: Mapping[str, int]
+    trees: PipelineModel
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """The rows with the inputs of the trees; works on a stream."""
+        for column, codes in self.codes.items():
+            df = with_codes(df, column, codes, f"{column}__code")
+        ready = {f"{c}__code": F.coalesce(f"{c}__code", F.lit(n)).cast("double") for c, n in self.unknown.items()}
+        return df.withColumns(ready | {f"{c}__filled": quantiles.filled(c, m) for c, m in self.medians.items()})
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.trees.transform(self.prepare(df))
+
+
+def boosted_trees(spec: TrainingSpec, inputs: Sequence[str]) -> Pipeline:
+    """Codes enter the trees as ordinary numbers, so the bins of a tree do not limit their number."""
+    trees = GBTClassifier(
+        labelCol=spec.label,
+        featuresCol="features",
+        weightCol="__weight",
+        maxIter=spec.trees,
+        maxDepth=spec.depth,
+        stepSize=spec.rate,
+        subsamplingRate=spec.row_share,
+        featureSubsetStrategy=str(spec.feature_share),
+        seed=spec.seed,
+        **spec.extra,
     )
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="features"), trees])
 
 
-def _as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+def fit(rows: DataFrame, spec: TrainingSpec) -> Model:
+    """Medians, codes and trees of training rows, which have a ``__weight``."""
+    found = quantiles.medians(rows, spec.numeric)
+    if len(found) < len(spec.numeric):
+        warnings.warn(f"no values in {sorted(set(spec.numeric) - set(found))}", stacklevel=3)
+    codes = {c: category_codes(rows, c) for c in spec.categorical}
+    prepared = Model(found, codes, {c: table.count() for c, table in codes.items()}, PipelineModel([]))
+    inputs = [f"{c}__filled" for c in found] + [f"{c}__code" for c in spec.categorical]
+    return replace(prepared, trees=boosted_trees(spec, inputs).fit(prepared.prepare(rows)))
 
 
-def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) -> tuple[PipelineModel, dict[str, float]]:
+def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) -> tuple[Model, dict[str, float]]:
     """Fit on the training share and measure on the rest, as a whole and per class.
 
     A numeric column without any value cannot be filled; it is left out with a warning.
@@ -180,16 +185,13 @@ def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) ->
         marked = mark_training_rows(df, spec.row_id, spec.label, spec.train_share, spec.seed)
     else:
         marked = df.withColumn("is_training", is_true(training))
-    marked = _as_numbers(labelled(marked.select(*wanted, "is_training"), spec.label), spec.numeric)
+    marked = labelled(marked.select(*wanted, "is_training"), spec.label)
     training, held_out = marked.filter("is_training"), marked.filter(~F.col("is_training"))
-    numeric = usable_numeric(training, spec.numeric)
-    if len(numeric) < len(spec.numeric):
-        warnings.warn(f"no values in {sorted(set(spec.numeric) - set(numeric))}", stacklevel=2)
     weight = class_balance(marked, spec.label).first()["positive_weight"]
     if not weight:
         raise ValueError(f"{spec.label} needs rows of both classes")
     weighted = training.withColumn("__weight", F.when(F.col(spec.label) == 1.0, float(weight)).otherwise(1.0))
-    model = build_stages(spec, numeric).fit(weighted)
+    model = fit(weighted, spec)
     scored = positive_probability(model.transform(held_out), "__score")
     metrics = binary_metrics(scored, spec.label, "__score").first().asDict()
     for row in class_report(scored, spec.label, "prediction").collect():
@@ -201,9 +203,9 @@ def positive_probability(predictions: DataFrame, name: str) -> DataFrame:
     return predictions.withColumn(name, vector_to_array("probability")[1])
 
 
-def score(df: DataFrame, model: PipelineModel, keep: Sequence[str], numeric: Sequence[str] = ()) -> DataFrame:
+def score(df: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:
     """Probability, tier and advice for each reading, of a table or of a stream."""
-    predicted = positive_probability(model.transform(_as_numbers(df, numeric)), "__score")
+    predicted = positive_probability(model.transform(df), "__score")
     return add_risk(predicted, F.col("__score")).select(
         *keep, "failure_probability", "risk_level", "recommendation"
     )
@@ -216,10 +218,10 @@ def fill_scoring_defaults(df: DataFrame, defaults: Mapping[str, object] = SCORIN
     return df.withColumns({**present, **added})
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, top: int = 10) -> DataFrame:
+def feature_importance(spark: SparkSession, model: Model, top: int = 10) -> DataFrame:
     """The features the trees used most, by name."""
-    names = [name.removesuffix("__filled").removesuffix("__code") for name in model.stages[-2].getInputCols()]
-    weights = model.stages[-1].featureImportances.toArray()
+    names = [name.removesuffix("__filled").removesuffix("__code") for name in model.trees.stages[-2].getInputCols()]
+    weights = model.trees.stages[-1].featureImportances.toArray()
     table = spark.createDataFrame(
         [(name, float(weight)) for name, weight in zip(names, weights)], "feature string, importance double"
     )
@@ -233,9 +235,27 @@ def log_run(spark: SparkSession, path: str, spec: TrainingSpec, metrics: Mapping
     row.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model: Model, path: str) -> None:
+    """The trees, a table of medians and unknown codes, and a table of the known ones."""
+    model.trees.write().overwrite().save(f"{path}/trees")
+    spark = SparkSession.getActiveSession()
+    fills = [(c, m, None) for c, m in model.medians.items()] + [(c, None, n) for c, n in model.unknown.items()]
+    table = spark.createDataFrame(fills, "feature string, median double, unknown long")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/fills")
+    codes = spark.createDataFrame([], "feature string, value string, code long")
+    for column, known in model.codes.items():
+        codes = codes.unionByName(known.select(F.lit(column).alias("feature"), "value", "code"))
+    codes.write.mode("overwrite").parquet(f"{path}/codes")
+
+
+def load_model(path: str) -> Model:
+    spark = SparkSession.getActiveSession()
+    fills = spark.read.parquet(f"{path}/fills").collect()
+    codes = spark.read.schema("feature string, value string, code long").parquet(f"{path}/codes")
+    unknown = {r["feature"]: r["unknown"] for r in fills if r["unknown"] is not None}
+    return Model(
+        {r["feature"]: r["median"] for r in fills if r["unknown"] is None},
+        {c: codes.where(F.col("feature") == c).select("value", "code") for c in unknown},
+        unknown,
+        PipelineModel.load(f"{path}/trees"),
+    )

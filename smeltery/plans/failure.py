@@ -41,4 +41,4 @@ def score_readings(
     filled = learning.fill_scoring_defaults(readings)
     absent = {name: "double" for name in spec.numeric} | {name: "string" for name in spec.categorical}
     filled = filled.selectExpr("*", *[f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in absent.items() if name not in filled.columns])
-    return learning.score(filled, model, keep, spec.numeric)
+    return learning.score(filled, model, keep)

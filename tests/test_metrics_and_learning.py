@@ -12,7 +12,7 @@ def test_medians(spark):
     rng = random.Random(3)
     rows = [(rng.choice([None, rng.random(), 5.0]), float("nan") if i % 9 == 0 else rng.gauss(0, 9), None) for i in range(501)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    out = {r.column: r.median for r in quantiles.medians(df, ["a", "b", "c"]).collect()}
+    out = quantiles.medians(df, ["a", "b", "c"])
     want_a = statistics.median(r[0] for r in rows if r[0] is not None)
     want_b = statistics.median(r[1] for r in rows if r[1] == r[1])
     assert out == {"a": pytest.approx(want_a), "b": pytest.approx(want_b)}
@@ -23,7 +23,7 @@ def test_medians(spark):
 @pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [2.0, 2.0, 2.0, 9.0], [1.0, 1.0, 2.0, 2.0]])
 def test_small_medians(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "a double")
-    assert quantiles.medians(df, ["a"]).first().median == statistics.median(values)
+    assert quantiles.medians(df, ["a"])["a"] == statistics.median(values)
 
 
 def test_class_balance(spark):
@@ -55,7 +55,7 @@ def test_area_of_scores_that_differ_by_very_little(spark):
 
 def test_category_codes_are_alphabetical_and_complete(spark):
     words = ["b", "a", "", "ab", "aa", "aaz", "é", "zz", None, "b"]
-    codes = {r.c: r.code for r in learning.category_codes(spark.createDataFrame([(w,) for w in words], "c string"), "c").collect()}
+    codes = {r.value: r.code for r in learning.category_codes(spark.createDataFrame([(w,) for w in words], "c string"), "c").collect()}
     assert codes == {w: i for i, w in enumerate(sorted({w for w in words if w is not None}, key=str.encode))}
 
 
@@ -124,7 +124,7 @@ def test_training_separates_and_repeats(spark, data, fitted, tmp_path):
     assert learning.train(data, spec)[1] == metrics
     learning.save_model(model, str(tmp_path / "model"))
     loaded = learning.load_model(str(tmp_path / "model"))
-    first, second = (learning.score(data, m, ["reading_id"], ("x", "empty")) for m in (model, loaded))
+    first, second = (learning.score(data, m, ["reading_id"]) for m in (model, loaded))
     assert first.exceptAll(second).count() == 0
     top = learning.feature_importance(spark, model)
     assert top.first().feature == "x" and top.count() == 2
@@ -139,7 +139,7 @@ def test_split_by_a_condition(data):
 def test_scoring_takes_an_unseen_category_and_missing_values(spark, fitted):
     _, model, _ = fitted
     rows = spark.createDataFrame([(1, 95.0, None, "new"), (2, None, None, None)], "reading_id int, x double, empty double, kind string")
-    out = {r.reading_id: r for r in learning.score(rows, model, ["reading_id"], ("x", "empty")).collect()}
+    out = {r.reading_id: r for r in learning.score(rows, model, ["reading_id"]).collect()}
     assert len(out) == 2 and out[1].failure_probability > out[2].failure_probability
     assert out[1].risk_level in ("HIGH", "CRITICAL", "MEDIUM")
 
@@ -155,6 +155,47 @@ def test_run_log_and_defaults(spark, fitted, tmp_path):
     assert [r.hour for r in filled] == [12, 3] and filled[0].day_of_week == 1 and filled[0].is_anomaly is False
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties", "two", "one", "tails"])
+@pytest.mark.parametrize("few", [1, 50])
+def test_ranks_are_exact_however_the_values_lie(spark, monkeypatch, kind, few):
+    """Brackets close in on a rank from both sides, through ties and far tails."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "SKETCH", 20)
+    rng = random.Random(kind)
+    values = {
+        "spread": [rng.gauss(0, 1) for _ in range(700)],
+        "ties": [float(rng.randint(0, 6)) for _ in range(700)],
+        "two": [0.0] * 350 + [1.0] * 350,
+        "one": [5.0] * 301,
+        "tails": [1e300 * rng.random() ** 40 for _ in range(600)] + [float("inf"), float("-inf")],
+    }[kind]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(v, None) for v in values] + [(None, None), (float("nan"), None)], "a double, `b.c` double")
+    ranks = [1, 2, len(values) // 2, len(values) - 1, len(values)]
+    found = quantiles.ranked_values(df, {"a": ranks, "b.c": [1]})
+    assert found == {("a", r): sorted(values)[r - 1] for r in ranks}
+    assert quantiles.medians(df, ["a", "b.c"]) == {"a": statistics.median(values)}
+
+
+def test_a_median_moves_no_values(spark):
+    df = spark.range(50_000).select((F.col("id") * 7919 % 50_000).cast("double").alias("x"))
+    with_counts = quantiles.medians(df, ["x"])
+    assert with_counts == {"x": 24_999.5}
+
+
+def test_codes_of_values_that_share_their_start(spark):
+    """Many values with the same first characters are numbered by several tasks."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values = [f"M{i:04d}" for i in range(500)] + ["", "é", "Z"]
+        codes = learning.category_codes(spark.createDataFrame([(v,) for v in values * 2] + [(None,)], "c string"), "c")
+        found = {r.value: r.code for r in codes.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert found == {v: i for i, v in enumerate(sorted(values))}
+
+
 def test_drop_and_label(spark):
     df = spark.createDataFrame([(1, "a", True), (2, "b", None)], "reading_id int, kind string, y boolean")
     assert learning.drop_columns(df).columns == ["kind", "y"]
