@@ -7,19 +7,22 @@ are rounded to six digits.
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.functions import calendar, parsing, rules
+from smeltery.operators import forecast as forecasting
 from smeltery.operators import (
     evaluation, intervals, learning, lookup, monthly, quality, quantiles, reports, rolling,
 )
-from smeltery.session import ROCKSDB, scratch_dir
-from smeltery.plans import failure
-from smeltery.sources import readers, schemas, writers
-from smeltery.streaming import horizon, ingest, stateful, windows
+from smeltery.session import LOCAL_SESSIONS, ROCKSDB, scratch_dir, setting
+from smeltery.plans import failure, forecast
+from smeltery.sources import commits, readers, schemas, writers
+from smeltery.streaming import horizon, ingest, latewindows, stateful, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,6 +211,50 @@ def monthly_calendar_lag(spark, d):
     return rounded(monthly.calendar_history(kept), ["rolling_avg_3m", "rolling_avg_6m"])
 
 
+FORECAST = forecasting.ForecastSpec(trees=5, depth=3)
+
+
+def month_gold(spark, d) -> DataFrame:
+    flagged = sales(spark, d).withColumn("is_event_day", F.lit(False))
+    totals = monthly.monthly_totals(flagged, monthly_spec(attributes=()))
+    return monthly.calendar_history(totals.select("drug_id", "region_id", "year", "month", "total_units_sold"))
+
+
+@query
+def forecast_targets(spark, d):
+    """What each month would be judged by, one to three months ahead, and the naive forecasts."""
+    rows = forecasting.with_target_month(forecasting.forecast_rows(month_gold(spark, d), FORECAST))
+    return rows.select(
+        "drug_id", "region_id", "year", "month", "horizon", "target_year", "target_month", "target", "seasonal", "naive"
+    )
+
+
+@query
+def forecast_naive_errors(spark, d):
+    """Errors of the seasonal-naive forecast from the last three origins."""
+    rows = forecasting.forecast_rows(month_gold(spark, d), FORECAST)
+    held_out = [forecasting.origin_rows(rows, origin)[1] for origin in forecasting.origins(rows, FORECAST)]
+    found = forecasting.errors(functools.reduce(DataFrame.unionByName, held_out), ["naive"])
+    return rounded(found, ["naive_mae", "naive_rmse", "naive_wape"])
+
+
+@query
+def forecast_backtest(spark, d):
+    """Errors of the model and of the naive forecast, by rolling origin."""
+    spec = dataclasses.replace(FORECAST, folds=1)
+    return forecast.evaluate(month_gold(spark, d), spec)
+
+
+@query
+def demand_forecast(spark, d):
+    """Models trained and saved by the training job, applied to the last month of gold."""
+    folder = scratch_dir(spark, "forecast")
+    month_gold(spark, d).write.parquet(f"{folder}/gold")
+    gold = spark.read.parquet(f"{folder}/gold")
+    forecast.train_forecast(gold, dataclasses.replace(FORECAST, folds=1), f"{folder}/models", f"{folder}/runs")
+    return forecast.forecast_demand(gold, FORECAST, f"{folder}/models")
+
+
 @query
 def channel_breakdown(spark, d):
     spec = monthly_spec()
@@ -310,6 +357,45 @@ def gold_write_and_read(spark, d):
     return readers.parquet_table(spark, path)
 
 
+def order_batches(spark, d) -> tuple[DataFrame, list[DataFrame]]:
+    """Orders with texts that a folder name cannot hold, in three batches."""
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    orders = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.when(priority == "1-URGENT", F.lit(None)).when(priority == "2-HIGH", "").when(priority == "3-MEDIUM", "b:c")
+        .when(priority == "5-LOW", "d/e=%f {g}").otherwise(priority).alias("region"),
+        F.when(status != "P", F.year("o_orderdate")).alias("year"),
+    )
+    return orders, [orders.where(F.col("o_orderkey") % 3 == i) for i in range(3)]
+
+
+@query
+def batch_replay(spark, d):
+    """Batches partitioned by any text, one of them first written with other rows and partitions."""
+    orders, batches = order_batches(spark, d)
+    path = f"{scratch_dir(spark, 'replay')}/orders"
+    commits.write_batch(batches[0], 0, path, ["region", "year"])
+    commits.write_batch(orders.withColumn("region", F.lit("gone:")), 1, path, ["region", "year"])
+    commits.write_batch(batches[1], 1, path, ["region", "year"])
+    for _ in range(2):
+        commits.write_batch(batches[2], 2, path, ["region", "year"])
+    return commits.read_table(spark, path)
+
+
+@query
+def batch_compaction(spark, d):
+    """Batches compacted, a late replay of one of them, and a batch after that."""
+    _, batches = order_batches(spark, d)
+    path = f"{scratch_dir(spark, 'compaction')}/orders"
+    for number in (0, 1):
+        commits.write_batch(batches[number], number, path, ["year"])
+    commits.compact(spark, path, ["year"])
+    for number in (0, 1, 2):
+        commits.write_batch(batches[number], number, path, ["year"])
+    commits.compact(spark, path, ["year"])
+    return commits.read_table(spark, path)
+
+
 # ---- messages -----------------------------------------------------------------------------
 
 
@@ -588,14 +674,19 @@ def trained(spark, d):
     return rows, spec, model, metrics
 
 
-@query
-def gbt_train_score(spark, d):
+def trained_model(spark, d) -> tuple[str, learning.TrainingSpec]:
+    """A folder with a written gold table, the model trained on it and the run."""
     ready, spec = training_data(spark, d)
     folder = scratch_dir(spark, "training")
     ready.write.parquet(f"{folder}/gold")
-    rows = spark.read.parquet(f"{folder}/gold")
-    failure.train_model(rows, spec, f"{folder}/model", f"{folder}/runs")
-    return failure.score_readings(rows, spec, f"{folder}/model")
+    failure.train_model(spark.read.parquet(f"{folder}/gold"), spec, f"{folder}/model", f"{folder}/runs")
+    return folder, spec
+
+
+@query
+def gbt_train_score(spark, d):
+    folder, spec = trained_model(spark, d)
+    return failure.score_readings(spark.read.parquet(f"{folder}/gold"), spec, f"{folder}/model")
 
 
 def with_hot(df: DataFrame) -> DataFrame:
@@ -610,7 +701,7 @@ def stump(spark, d):
 
 @query
 def stump_scores(spark, d):
-    return learning.score(with_hot(readings(spark, d)), stump(spark, d), ["reading_id", "machine_id"], ["hot"])
+    return learning.score(with_hot(readings(spark, d)), stump(spark, d), ["reading_id", "machine_id"])
 
 
 @query
@@ -672,7 +763,7 @@ def stream_silver(spark, d):
     writers.transform_stream(
         distinct, enrich, f"{folder}/rows", f"{folder}/checkpoint", ["year", "month"], every=None
     ).awaitTermination()
-    return spark.read.parquet(f"{folder}/rows").select(*FLAG_COLUMNS)
+    return commits.read_table(spark, f"{folder}/rows").select(*FLAG_COLUMNS)
 
 
 @query
@@ -718,7 +809,25 @@ def stream_windows_sliding(spark, d):
 @query
 def stream_windows_session(spark, d):
     rows = reading_stream(spark, d)
-    return _window_table(windows.sessions(rows, "timestamp", ["machine_id"], SENSORS, "6 hours", DELAY), "session")
+    with setting(spark, LOCAL_SESSIONS, "true"):
+        return _window_table(windows.sessions(rows, "timestamp", ["machine_id"], SENSORS, "6 hours", DELAY), "session")
+
+
+@query
+def stream_windows_late(spark, d):
+    """Rows with even ids come first, the others after them, in another batch and long too late."""
+    folder, events = scratch_dir(spark, "late-windows"), table(spark, d, "events")
+    for odd in (0, 1):
+        events.where(F.col("event_id") % 2 == odd).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    rows = as_readings(readers.parquet_stream(spark, f"{folder}/in", events.schema, max_files_per_trigger=1))
+    latewindows.start_windows(
+        rows, "timestamp", ["machine_id"], SENSORS, f"{folder}/out", f"{folder}/checkpoint", "6 hours", None, DELAY, every=None
+    ).awaitTermination()
+    done = latewindows.read_windows(spark, f"{folder}/out", ["machine_id"], SENSORS)
+    late = latewindows.late_rows(spark, f"{folder}/out").groupBy("window_start", "machine_id").agg(F.count("*").alias("late"))
+    whole = done.join(late, ["window_start", "machine_id"], "full")
+    bounds = {"window_start": F.unix_timestamp("window_start"), "late": F.coalesce("late", F.lit(0))}
+    return rounded(whole.drop("window_end").withColumns(bounds), [f"{s}_mean" for s in SENSORS]).fillna(0, ["readings"])
 
 
 @query
@@ -730,14 +839,9 @@ def stream_failure_horizon(spark, d):
 
 @query
 def stream_stateful_lag(spark, d):
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, ROCKSDB)
-    try:
+    with setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
         lagged = stateful.stream_lags(reading_stream(spark, d), "machine_id", "timestamp", "reading_id", SENSORS)
         return run_to_table(lagged, "lags").drop("timestamp", "event_type")
-    finally:
-        spark.conf.set(setting, before)
 
 
 @query
@@ -748,11 +852,13 @@ def stream_lag_by_batch(spark, d):
         reading_stream(spark, d), spec, f"{folder}/rows", f"{folder}/recent", f"{folder}/checkpoint", every=None
     ).awaitTermination()
     lags = [f"{s}_lag{n}" for s in SENSORS for n in spec.lags]
-    return spark.read.parquet(f"{folder}/rows").select("reading_id", "machine_id", *SENSORS, *lags)
+    return commits.read_table(spark, f"{folder}/rows").select("reading_id", "machine_id", *SENSORS, *lags)
 
 
 @query
 def stream_scoring(spark, d):
-    model = stump(spark, d)
-    scored = learning.score(with_hot(reading_stream(spark, d)), model, ["reading_id", "machine_id"], ["hot"])
-    return run_to_table(scored, "scoring")
+    """Gold rows that arrive as a stream, scored by the saved model of the training job."""
+    folder, spec = trained_model(spark, d)
+    rows = spark.read.parquet(f"{folder}/gold")
+    arriving = readers.parquet_stream(spark, f"{folder}/gold", rows.schema)
+    return run_to_table(failure.score_readings(arriving, spec, f"{folder}/model"), "scoring")

@@ -141,7 +141,44 @@ def _trend(minutes: int, step: int) -> str:
         round(avg(vibration), 6) AS vibration FROM recent GROUP BY 1, 2"""
 
 
+# Orders with a NULL, an empty and some awkward texts.
+_ORDERS = """SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN '' WHEN '3-MEDIUM' THEN 'b:c'
+        WHEN '5-LOW' THEN 'd/e=%f {g}' ELSE o_orderpriority END AS region,
+    CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INT) END AS year FROM orders"""
+
+# Monthly units per series, each month with the months one to three ahead.
+_AHEAD = f"""{SALES}, m AS (
+        SELECT drug_id, region_id, year(transaction_date) AS year, month(transaction_date) AS month,
+            year(transaction_date) * 12 + month(transaction_date) AS n, CAST(sum(quantity_sold) AS BIGINT) AS units
+        FROM sales GROUP BY ALL),
+    ahead AS (
+        SELECT m.drug_id, m.region_id, m.year, m.month, m.n, horizon, t.units AS target, s.units AS seasonal,
+            coalesce(s.units, m.units) AS naive
+        FROM m CROSS JOIN (VALUES (1), (2), (3)) AS h(horizon)
+        LEFT JOIN m AS t ON t.drug_id = m.drug_id AND t.region_id = m.region_id AND t.n = m.n + horizon
+        LEFT JOIN m AS s ON s.drug_id = m.drug_id AND s.region_id = m.region_id AND s.n = m.n + horizon - 12)"""
+
 SQL: dict[str, str] = {
+    "stream_windows_late": f"""WITH {READINGS}, w AS (
+            SELECT *, s - s % 21600 AS window_start, reading_id % 2 = 1
+                AND to_timestamp(s - s % 21600 + 21600 + 600) <= (SELECT max(ts) FROM r WHERE reading_id % 2 = 0) AS late FROM r)
+        SELECT window_start, machine_id, count(*) FILTER (NOT late) AS readings, count(*) FILTER (late) AS late,
+            round(avg(temperature) FILTER (NOT late), 6) AS temperature_mean, min(temperature) FILTER (NOT late) AS temperature_min,
+            max(temperature) FILTER (NOT late) AS temperature_max, round(avg(vibration) FILTER (NOT late), 6) AS vibration_mean,
+            min(vibration) FILTER (NOT late) AS vibration_min, max(vibration) FILTER (NOT late) AS vibration_max
+        FROM w GROUP BY window_start, machine_id""",
+    "forecast_targets": f"""WITH {_AHEAD}
+        SELECT drug_id, region_id, year, month, CAST(horizon AS INT) AS horizon,
+            CAST(year(make_date(year, month, 1) + to_months(horizon)) AS INT) AS target_year,
+            CAST(month(make_date(year, month, 1) + to_months(horizon)) AS INT) AS target_month, target, seasonal, naive FROM ahead""",
+    "forecast_naive_errors": f"""WITH {_AHEAD}
+        SELECT CAST(horizon AS INT) AS horizon, count(*) AS forecasts, round(avg(abs(naive - target)), 6) AS naive_mae,
+            round(sqrt(avg((naive - target) * (naive - target))), 6) AS naive_rmse,
+            round(CAST(sum(abs(naive - target)) AS DOUBLE) / CAST(sum(target) AS DOUBLE), 6) AS naive_wape
+        FROM ahead WHERE target IS NOT NULL AND n BETWEEN (SELECT max(n) FROM m) - 5 AND (SELECT max(n) FROM m) - 3
+        GROUP BY horizon""",
+    "batch_replay": _ORDERS,
+    "batch_compaction": _ORDERS,
     "monthly_demand_features": f"""WITH {EVENTS}, {SALES}, flagged AS (
             SELECT *, EXISTS (SELECT 1 FROM ev WHERE transaction_date BETWEEN a AND b) AS on_event FROM sales),
         m AS (SELECT drug_id, region_id, max(zone) AS zone, year(transaction_date) AS year, month(transaction_date) AS month,
@@ -270,7 +307,6 @@ SQL: dict[str, str] = {
     "stratified_split": f"""WITH {_SPLIT}
         SELECT failed, coalesce(b <= cut, FALSE) AS is_training, count(*) AS rows FROM x JOIN k USING (failed) GROUP BY ALL""",
     "stump_scores": _STUMP,
-    "stream_scoring": _STUMP,
     "classification_report": """WITH x AS (SELECT toxic AS label, CAST(quality = 0 AS INT) AS prediction FROM labels),
         c AS (SELECT DISTINCT label AS k FROM x UNION SELECT DISTINCT prediction FROM x),
         n AS (SELECT k, (SELECT count(*) FROM x WHERE label = k AND prediction = k) AS hits,
