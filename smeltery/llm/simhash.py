@@ -11,6 +11,7 @@ bits, and a shard returns a spanning forest of its links, never its pairs.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm.common import connected, popcount, slices, stored, with_columns_of, word_list
@@ -161,13 +162,17 @@ def _spanning(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _units(
     prints: DataFrame, segments: tuple[tuple[int, int], ...], within: int, columns: tuple[str, ...] = ("fp",)
-) -> DataFrame:
-    """The rows of ``prints`` with ``tree, shard, unit``.
+) -> tuple[DataFrame, list[int]]:
+    """The rows of ``prints`` with ``shard, unit``, and the first shard of each tree.
 
     There is a tree for each segment of each of the ``columns``. Two rows that differ in ``within``
     bits at most in a segment meet in at least one unit of its tree. Shards that hold more than
     ``UNIT`` rows (equal or close segments) are cut into parts, and every two parts meet in one
     unit; units are dealt to tasks one by one.
+
+    Rows are routed twice, once to count the shards and once to send them, because routing is
+    cheaper than keeping what it gives. The counts are broadcast: a tree has SAMPLE / 8 shards at
+    most.
     """
     spark = prints.sparkSession
     n = prints.count()
@@ -176,32 +181,40 @@ def _units(
     names = prints.columns
     seen = prints.where(F.pmod(F.xxhash64(*names), F.lit(scale)) < int(share * scale)).select(*columns).toPandas()
     leaf = max(8, int(LEAF * share))
-    trees, shards = [], 0
+    trees, firsts = [], [0]
     for column in columns:
         sample = seen[column].to_numpy(np.int64).view(np.uint64)
         for shift, width in segments:
-            trees.append((column, grow_tree(sample, shift, width, leaf, shards)))
-            shards = int(trees[-1][1].shard.max()) + 1
+            trees.append((column, grow_tree(sample, shift, width, leaf, firsts[-1])))
+            firsts.append(int(trees[-1][1].shard.max()) + 1)
     shared = spark.sparkContext.broadcast(trees)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, (column, tree) in enumerate(shared.value):
+            for column, tree in shared.value:
                 values = batch.column(column).to_numpy(zero_copy_only=False)
                 rows, shard = tree.route(values.view(np.uint64), within)
-                own = batch.take(pa.array(rows))
-                yield with_columns_of(own, names, tree=pa.array(np.full(len(rows), number, np.int32)), shard=pa.array(shard))
+                yield with_columns_of(batch.take(pa.array(rows)), names, shard=pa.array(shard))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(firsts[-1], np.int64)
+        for batch in batches:
+            for column, tree in shared.value:
+                values = batch.column(column).to_numpy(zero_copy_only=False)
+                held += np.bincount(tree.route(values.view(np.uint64), within)[1], minlength=len(held))
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["shard", "held"])
 
-    schema = ", ".join([*(f"{name} long" for name in names), "tree int", "shard long"])
-    routed = stored(prints.mapInArrow(route, schema), "simhash-shards")
-    parts = routed.groupBy("shard").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"))
+    routed = prints.mapInArrow(route, ", ".join([*(f"{name} long" for name in names), "shard long"]))
+    held = prints.mapInArrow(counted, "shard long, held long").groupBy("shard").agg(F.sum("held").alias("held"))
+    parts = stored(held.select("shard", F.ceil(F.col("held") / UNIT).cast("int").alias("parts")), "simhash-parts")
     part = F.pmod(F.xxhash64(*names), F.col("parts")).cast("int")
     unit = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda other: F.least(other, F.col("part")) * F.col("parts") + F.greatest(other, F.col("part")),
     )
-    work = routed.join(parts, "shard").withColumn("part", part).select("tree", "shard", *names, F.explode(unit).alias("unit"))
-    return work.repartition("shard", "unit")
+    work = routed.join(F.broadcast(parts), "shard").withColumn("part", part)
+    return work.select("shard", *names, F.explode(unit).alias("unit")).repartition("shard", "unit"), firsts
 
 
 def _compared(units: DataFrame, compare) -> DataFrame:
@@ -218,7 +231,7 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
     Every link between two different fingerprints is found: the links returned connect the same
     components as all pairs would.
     """
-    units = _units(prints.select("fp"), SEGMENTS, radius // len(SEGMENTS))
+    units, _ = _units(prints.select("fp"), SEGMENTS, radius // len(SEGMENTS))
     return _compared(units, lambda values: _spanning(values, radius))
 
 
@@ -237,7 +250,8 @@ def candidates(prints: DataFrame, beyond: int, radius: int) -> DataFrame:
         at = np.concatenate(found)
         return values[at[:, 0]], values[at[:, 1]]
 
-    pairs = _compared(_units(prints.select("fp"), WIDE_SEGMENTS, radius // len(WIDE_SEGMENTS)), between)
+    units, _ = _units(prints.select("fp"), WIDE_SEGMENTS, radius // len(WIDE_SEGMENTS))
+    pairs = _compared(units, between)
     return pairs.where("a < b").distinct()
 
 
@@ -283,19 +297,23 @@ def _owned(p: np.ndarray, q: np.ndarray, rows: slice, tree: int, similar: Simila
     return near
 
 
-def _hopeful(group: pd.DataFrame, similar: Similar) -> pd.DataFrame:
+def _tree_of(group: pd.DataFrame, firsts: list[int]) -> int:
+    return bisect(firsts, int(group["shard"].iloc[0])) - 1
+
+
+def _hopeful(group: pd.DataFrame, similar: Similar, firsts: list[int]) -> pd.DataFrame:
     """The rows of a unit that have a row of another component to be compared with."""
     group = group.drop_duplicates(["p", "q", "root"], ignore_index=True)
     p, q = (group[c].to_numpy(np.int64).view(np.uint64) for c in ("p", "q"))
     root = group["root"].to_numpy(np.int64)
     hopeful = np.zeros(len(group), bool)
     for rows in slices(len(group), 256):
-        near = _owned(p, q, rows, int(group["tree"].iloc[0]), similar)
+        near = _owned(p, q, rows, _tree_of(group, firsts), similar)
         hopeful[rows] = (near & (root[rows, None] != root[None, :])).any(axis=1)
     return group[hopeful]
 
 
-def _alike(group: pd.DataFrame, similar: Similar) -> pd.DataFrame:
+def _alike(group: pd.DataFrame, similar: Similar, firsts: list[int]) -> pd.DataFrame:
     """A spanning forest of the roots in a unit whose texts share enough shingles.
 
     Every pair to be compared is, unless earlier links have joined it.
@@ -310,7 +328,7 @@ def _alike(group: pd.DataFrame, similar: Similar) -> pd.DataFrame:
     mark = np.zeros(len(numbers), bool)
     left, right = [], []
     for rows in slices(len(group), 256):
-        near = _owned(p, q, rows, int(group["tree"].iloc[0]), similar)
+        near = _owned(p, q, rows, _tree_of(group, firsts), similar)
         for i in range(rows.start, rows.stop):
             others = np.flatnonzero(near[i - rows.start, i + 1 :]) + i + 1
             least, most = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
@@ -330,10 +348,32 @@ def _alike(group: pd.DataFrame, similar: Similar) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
 
 
-def similar_links(texts: DataFrame, docs: DataFrame, text: Column, similar: Similar) -> DataFrame:
+def chosen_rows(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One of the rows ``id, text_key, ...`` for each of ``chosen``, which says how many there are.
+
+    ``chosen`` has ``id, text_key, n``. Rows that are the only ones of their id and text stay where
+    they are or move once, to meet ``chosen``; only repeated rows are grouped, and of those the
+    first by the JSON of their other columns is taken.
+    """
+    others = F.to_json(F.struct(*[F.col(c) for c in rows.columns if c not in ("id", "text_key")]))
+    first = F.row_number().over(Window.partitionBy("id", "text_key").orderBy(others))
+
+    def among(some: DataFrame) -> DataFrame:
+        named = some.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"))
+        same = F.col("id").eqNullSafe(F.col("_id")) & F.col("text_key").eqNullSafe(F.col("_key"))
+        return rows.join(named, same, "left_semi")
+
+    repeated = among(chosen.where("n > 1")).withColumn("_place", first).where("_place = 1").drop("_place")
+    return among(chosen.where("n = 1")).union(repeated)
+
+
+def similar_links(
+    texts: DataFrame, docs: DataFrame, text: Column, similar: Similar, carriers: DataFrame | None = None
+) -> DataFrame:
     """Links ``(a, b)`` between the roots of texts that share enough of their shingles.
 
-    ``texts`` has ``text_key, root, p, q`` of every distinct text. The links returned connect the
+    ``texts`` has ``text_key, root, p, q`` of every distinct text; ``carriers`` says which rows of
+    ``docs`` stand for them, by their ``id``, so that copies need not be brought together. The links returned connect the
     same roots as all pairs that :class:`Similar` compares would. Shingles are sent only to the
     units where a text has a partner; pairs are made and checked inside the unit.
     """
@@ -343,16 +383,28 @@ def similar_links(texts: DataFrame, docs: DataFrame, text: Column, similar: Simi
             sets = [shingle_hashes(x.as_py(), similar.shingle).view(np.int64) for x in batch.column("text")]
             yield with_columns_of(batch, ["text_key"], hashes=pa.array(sets, pa.list_(pa.int64())))
 
-    units = _units(texts.select("p", "q", "root").distinct(), WIDE_SEGMENTS, similar.within, ("p", "q"))
-    hopeful = units.groupBy("shard", "unit").applyInPandas(lambda group: _hopeful(group, similar), units.schema)
+    units, firsts = _units(texts.select("p", "q", "root").distinct(), WIDE_SEGMENTS, similar.within, ("p", "q"))
+    hopeful = units.groupBy("shard", "unit").applyInPandas(lambda group: _hopeful(group, similar, firsts), units.schema)
     hopeful = stored(hopeful, "simhash-candidates")
     wanted = texts.join(hopeful.select("p", "q", "root").distinct(), ["p", "q", "root"], "left_semi")
     wanted = stored(wanted.select("text_key", "p", "q", "root"), "simhash-wanted")
-    sets = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(wanted, "text_key", "left_semi")
-    sets = sets.dropDuplicates(["text_key"]).mapInArrow(hashed, "text_key long, hashes array<long>")
+    whole = docs.withColumns({"text_key": F.xxhash64(text), "text": text})
+    if carriers is None:
+        sets = whole.select("text_key", "text").join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"])
+    else:
+        carrying = stored(carriers.join(wanted, "text_key", "left_semi"), "simhash-carriers")
+        sets = chosen_rows(whole.select("id", "text_key", "text"), carrying).select("text_key", "text")
+    sets = sets.mapInArrow(hashed, "text_key long, hashes array<long>")
     sets = stored(wanted.join(sets, "text_key").select("p", "q", "root", "hashes"), "simhash-shingles")
     members = hopeful.join(sets, ["p", "q", "root"]).repartition("shard", "unit")
-    return members.groupBy("shard", "unit").applyInPandas(lambda group: _alike(group, similar), "a long, b long")
+    return members.groupBy("shard", "unit").applyInPandas(lambda group: _alike(group, similar, firsts), "a long, b long")
+
+
+def _carriers(marked: DataFrame) -> DataFrame:
+    """``id, text_key, n``: for each text its smallest id, NULL if it has no other, and that id's rows."""
+    copies = marked.groupBy("text_key", "id").agg(F.count("*").alias("n"))
+    first = copies.groupBy("text_key").agg(F.min_by("n", "id").alias("n"), F.min("id").alias("id"), F.max("n").alias("nameless"))
+    return first.select("id", "text_key", F.coalesce("n", "nameless").alias("n"))
 
 
 def _classified(
@@ -387,7 +439,7 @@ def _classified(
         classes = stored(classes, "simhash-rooted")
         texts = marked.select("text_key", "fp", "p", "q").distinct().join(classes.select("fp", "root"), "fp")
         texts = stored(texts.select("text_key", "root", "p", "q"), "simhash-texts")
-        found = similar_links(texts, docs, text, similar)
+        found = similar_links(texts, ids, F.col("text"), similar, _carriers(marked))
         classes = rooted(classes, found, "root").drop("root").withColumnRenamed("_root", "root")
     smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = classes.join(smallest, "root").select("fp", "root", "component_id")
@@ -426,11 +478,10 @@ def keep_one(
     component that has NULL ids only keeps one document, that with the smallest hash of its text.
     """
     found = stored(_classified(docs, id_column, text_column, shingle, radius, similar), "simhash-components")
-    named = found.where("id = component_id").groupBy("root").agg(F.min("component_id").alias("_id"), F.min("text_key").alias("_key"))
-    nameless = found.where("component_id is null").groupBy("root").agg(F.min("text_key").alias("text_key"))
-    key = F.xxhash64(F.col(text_column).cast("string"))
-    kept = docs.join(named.select("_id", "_key"), (docs[id_column] == F.col("_id")) & (key == F.col("_key")), "left_semi")
-    kept = kept.dropDuplicates([id_column, text_column])
-    rest = docs.where(F.col(id_column).isNull())
-    rest = rest.join(nameless, key == nameless.text_key, "left_semi").dropDuplicates([text_column])
-    return kept.union(rest)
+    copies = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root", "id", "text_key").agg(F.count("*").alias("n"))
+    chosen = copies.groupBy("root", "id").agg(F.min("text_key").alias("text_key"), F.min_by("n", "text_key").alias("n"))
+    chosen = stored(chosen.select("id", "text_key", "n"), "simhash-chosen")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    key = F.xxhash64(F.col(f"`{text_column}`").cast("string")).alias("text_key")
+    rows = docs.select(F.col(f"`{id_column}`").alias("id"), key, whole)
+    return chosen_rows(rows, chosen).select(*[F.col(f"row.`{c}`") for c in docs.columns])
