@@ -8,6 +8,7 @@ are rounded to six digits.
 from __future__ import annotations
 
 import dataclasses
+import datetime
 import functools
 from collections.abc import Callable
 
@@ -22,7 +23,7 @@ from smeltery.operators import (
 from smeltery.session import LOCAL_SESSIONS, ROCKSDB, scratch_dir, setting
 from smeltery.plans import failure, forecast
 from smeltery.sources import commits, readers, schemas, writers
-from smeltery.streaming import horizon, ingest, latewindows, stateful, windows
+from smeltery.streaming import horizon, ingest, latewindows, orderedlags, stateful, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -855,6 +856,24 @@ def stream_lag_by_batch(spark, d):
     return commits.read_table(spark, f"{folder}/rows").select("reading_id", "machine_id", *SENSORS, *lags)
 
 
+@query
+def stream_ordered_lag(spark, d):
+    """Readings with odd ids come a quarter of the time line later than those with even ids."""
+    folder, spec = scratch_dir(spark, "ordered-lags"), sensor_spec({})
+    events = table(spark, d, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    quarter = (last - first) / 4 + datetime.timedelta(seconds=1)
+    number = F.floor((F.unix_timestamp("ts") - F.unix_timestamp(F.lit(first))) / quarter.total_seconds())
+    for k in range(5):
+        events.where(number + F.col("event_id") % 2 == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    rows = as_readings(readers.parquet_stream(spark, f"{folder}/in", events.schema, max_files_per_trigger=1))
+    delay = f"{int(2 * quarter.total_seconds())} seconds"
+    orderedlags.start_ordered_lags(rows, spec, f"{folder}/out", f"{folder}/checkpoint", delay, every=None).awaitTermination()
+    lags = [f"{s}_lag{n}" for s in SENSORS for n in spec.lags]
+    done = orderedlags.read_ordered_lags(spark, f"{folder}/out", spec, finish=True)
+    return done.select("reading_id", "machine_id", *SENSORS, *lags)
+
+
 @query
 def stream_scoring(spark, d):
     """Gold rows that arrive as a stream, scored by the saved model of the training job."""

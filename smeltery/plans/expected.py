@@ -342,4 +342,5 @@ SQL: dict[str, str] = {
         WHERE f.event_type = 'error' AND f.machine_id = r.machine_id AND f.ts > r.ts AND f.ts <= r.ts + INTERVAL 4 HOUR)""",
     "stream_stateful_lag": _LAG_ONLY,
     "stream_lag_by_batch": _LAG_ONLY,
+    "stream_ordered_lag": _LAG_ONLY,
 }

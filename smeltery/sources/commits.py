@@ -116,6 +116,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return _rows_of(spark, path, live)
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The rows of one batch that is not compacted yet; none, in the given shape, if there is no such batch."""
+    tries = commits(spark, path).where(F.col("batch") == batch_id).orderBy(F.desc("try")).limit(1).collect()
+    return _rows_of(spark, path, tries) if tries else spark.createDataFrame([], schema)
+
+
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), files_per_partition: int = 8) -> int | None:
     """Write all batches but the last anew, with few files per partition, as one commit.
 

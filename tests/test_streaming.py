@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from smeltery.operators import rolling
 from smeltery.session import LOCAL_SESSIONS, ROCKSDB
 from smeltery.sources import commits, readers, writers
 from smeltery.sources.schemas import schema_of
-from smeltery.streaming import horizon, ingest, latewindows, stateful, windows
+from smeltery.streaming import horizon, ingest, latewindows, orderedlags, stateful, windows
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = schema_of("machine_id string, timestamp timestamp, reading_id bigint, x double")
@@ -178,3 +179,41 @@ def test_sessions_are_merged_before_they_move(spark, tmp_path):
     assert sorted(r.readings for r in spark.table("sessions").collect()) == [1, 3000]
     plan = query._jsq.explainInternal(False)
     assert "MergingSessions" in plan.split("Exchange hashpartitioning")[-1]
+
+
+def ordered(spark, tmp_path, checkpoint="ordered-check", slices=None):
+    orderedlags.start_ordered_lags(
+        source(spark, tmp_path), SPEC, str(tmp_path / "ordered"), str(tmp_path / checkpoint), "20 minutes", every=None, slices=slices
+    ).awaitTermination()
+
+
+@pytest.mark.parametrize("slices", [None, 120])
+def test_lags_of_readings_out_of_order(spark, tmp_path, slices):
+    """Readings up to the delay late are put in their place; later ones are set aside."""
+    rng = random.Random(7)
+    rows = [(rng.choice("aaaab"), t + rng.random(), i, None if i % 9 == 0 else float(i)) for i, t in enumerate(range(90))]
+    rows += [("a", rows[3][1], 200, 1.0), ("a", rows[3][1], 199, 2.0)]
+    arrival = sorted(rows, key=lambda r: r[1] + rng.uniform(0, 18))
+    for start in range(0, len(arrival), 24):
+        put(spark, tmp_path, arrival[start : start + 24])
+        ordered(spark, tmp_path, slices=slices)
+    wanted = expected(spark, tmp_path)
+    ready = orderedlags.read_ordered_lags(spark, str(tmp_path / "ordered"), SPEC).select(wanted.columns)
+    newest = max(r[1] for r in rows)
+    assert ready.count() == sum(r[1] <= newest - 20 for r in rows) and ready.exceptAll(wanted).count() == 0
+    whole = orderedlags.read_ordered_lags(spark, str(tmp_path / "ordered"), SPEC, finish=True, slices=slices).select(wanted.columns)
+    assert whole.count() == len(rows) and whole.exceptAll(wanted).count() == 0
+    assert orderedlags.late_readings(spark, str(tmp_path / "ordered")).count() == 0
+    put(spark, tmp_path, [("a", 1, 300, 0.0)])
+    ordered(spark, tmp_path, slices=slices)
+    assert [r.reading_id for r in orderedlags.late_readings(spark, str(tmp_path / "ordered")).collect()] == [300]
+
+
+def test_ordered_lags_replayed(spark, tmp_path):
+    for minutes in ((0, 30, 5), (31, 12, 60), (45, 90)):
+        put(spark, tmp_path, [("a", t, t, float(t)) for t in minutes])
+    found = []
+    for name in ("one", "two"):
+        ordered(spark, tmp_path, checkpoint=name)
+        found.append(sorted(map(str, orderedlags.read_ordered_lags(spark, str(tmp_path / "ordered"), SPEC, finish=True).collect())))
+    assert found[0] == found[1] and len(found[0]) == 8
