@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from smeltery.functions import calendar, parsing, rules
 from smeltery.operators import forecast as forecasting
 from smeltery.operators import (
-    evaluation, intervals, learning, lookup, monthly, quality, quantiles, reports, rolling,
+    boosting, evaluation, intervals, learning, lookup, monthly, quality, quantiles, reports, rolling,
 )
 from smeltery.session import LOCAL_SESSIONS, ROCKSDB, scratch_dir, setting
 from smeltery.plans import failure, forecast
@@ -705,6 +705,37 @@ def stump_scores(spark, d):
     return learning.score(with_hot(readings(spark, d)), stump(spark, d), ["reading_id", "machine_id"])
 
 
+BOOSTED = ("hour", "day_of_week", "is_night_shift")
+
+
+def boosted(spark, d, **settings) -> boosting.BoostedModel:
+    rows = labelled_readings(spark, d).withColumns(calendar.shift_columns(F.col("timestamp")))
+    return boosting.fit(rows, boosting.BoostingSpec(BOOSTED, "failed", **settings))
+
+
+@query
+def boosting_first_tree(spark, d):
+    """Splits, gains and leaf weights of one round of depth 2."""
+    model = boosted(spark, d, trees=1, depth=2, rate=1.0)
+    return rounded(model.nodes(spark).drop("tree"), ["cut", "gain", "value"])
+
+
+@query
+def boosting_importance(spark, d):
+    return rounded(boosting.importance(spark, boosted(spark, d, trees=1, depth=2, rate=1.0)), ["gain"])
+
+
+@query
+def boosting_scores(spark, d):
+    """Several rounds on all sensors' features, scored."""
+    ready, spec = training_data(spark, d)
+    path = scratch_dir(spark, "boosting-gold")
+    ready.withColumn("failing", F.col("will_fail_in_4hrs").cast("int")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    model = boosting.fit(rows, boosting.BoostingSpec(spec.numeric, "failing", trees=4, depth=3, rate=0.3, write_every=2))
+    return boosting.predict(rows, model).select("reading_id", F.round("probability", 6).alias("probability"))
+
+
 @query
 def feature_importance_top10(spark, d):
     _, _, model, _ = trained(spark, d)

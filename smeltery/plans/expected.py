@@ -158,7 +158,40 @@ _AHEAD = f"""{SALES}, m AS (
         LEFT JOIN m AS t ON t.drug_id = m.drug_id AND t.region_id = m.region_id AND t.n = m.n + horizon
         LEFT JOIN m AS s ON s.drug_id = m.drug_id AND s.region_id = m.region_id AND s.n = m.n + horizon - 12)"""
 
+# One round of depth 2: the best split of a node by gain of gradients and curvatures, penalty 1.
+_FEATURES = ("hour", "day_of_week", "is_night_shift")
+
+
+def _boosted_split(node: int) -> str:
+    cells = " UNION ALL ".join(f"SELECT {i} AS f, {name} AS v, g, h FROM n{node}" for i, name in enumerate(_FEATURES))
+    return f"""b{node} AS (SELECT f, v, sum(g) AS g, sum(h) AS h FROM ({cells}) GROUP BY f, v),
+        c{node} AS (SELECT f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY f) AS gt,
+                sum(h) OVER (PARTITION BY f) AS ht FROM b{node} WINDOW w AS (PARTITION BY f ORDER BY v)),
+        s{node} AS (SELECT f, v, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) AS gain
+            FROM c{node} WHERE hl >= 1 AND ht - hl >= 1 AND gain > 0 ORDER BY gain DESC, f, v LIMIT 1)"""
+
+
+def _boosted_side(node: int) -> str:
+    above, side = (node - 1) // 2, "<=" if node % 2 else ">"
+    value = " ".join(f"WHEN {i} THEN {name}" for i, name in enumerate(_FEATURES))
+    return f"n{node} AS (SELECT n{above}.* FROM n{above}, s{above} WHERE CASE s{above}.f {value} END {side} s{above}.v)"
+
+
+_BOOSTED = f"""WITH n0 AS (
+        SELECT {SHIFT}, CAST(0.5 AS DOUBLE) - CAST(event_type = 'error' AS INT) AS g, CAST(0.25 AS DOUBLE) AS h FROM events),
+    {", ".join([_boosted_split(0)] + [f"{_boosted_side(n)}, {_boosted_split(n)}" for n in (1, 2)] + [_boosted_side(n) for n in (3, 4, 5, 6)])},
+    names AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{name}')" for i, name in enumerate(_FEATURES))}) AS t(f, feature))"""
+
 SQL: dict[str, str] = {
+    "boosting_first_tree": _BOOSTED + " UNION ALL ".join(
+        f""" SELECT CAST({node} AS INT) AS node, feature, CAST(v AS DOUBLE) AS cut, round(coalesce(gain, 0), 6) AS gain, round(value, 6) AS value
+        FROM (SELECT -sum(g) / (sum(h) + 1) AS value, count(*) AS rows FROM n{node})
+        LEFT JOIN ({f"SELECT * FROM s{node} JOIN names USING (f)" if node < 3
+                   else "SELECT NULL AS feature, NULL AS v, NULL AS gain WHERE false"}) ON true WHERE rows > 0"""
+        for node in range(7)
+    ),
+    "boosting_importance": _BOOSTED + """ SELECT feature, round(coalesce(sum(gain), 0), 6) AS gain
+        FROM names LEFT JOIN (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2) USING (f) GROUP BY feature""",
     "stream_windows_late": f"""WITH {READINGS}, w AS (
             SELECT *, s - s % 21600 AS window_start, reading_id % 2 = 1
                 AND to_timestamp(s - s % 21600 + 21600 + 600) <= (SELECT max(ts) FROM r WHERE reading_id % 2 = 0) AS late FROM r)
