@@ -3,7 +3,8 @@
 A forecast made in month o for h months ahead is a row of its own: what is known in month o, the
 calendar of month o + h, and, where it is known already, the demand of month o + h. One model is
 trained per horizon over all series. Series differ in size, so demand and history are taken relative
-to the seasonal-naive forecast; what the trees learn is by how much it will be off.
+to the seasonal-naive forecast; what the trees learn is by how much it will be off. A series that
+has no value a season before the target has no such yardstick and is forecast by its last value.
 
 Forecasts are judged by rolling origin: for each of the last months a model sees only targets up to
 that month and forecasts from it. The yardstick is the seasonal-naive forecast.
@@ -72,7 +73,7 @@ def forecast_rows(gold: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataF
 def _inputs(rows: DataFrame, spec: ForecastSpec) -> tuple[DataFrame, list[str]]:
     """Feature columns: relative history, plain features, month of the target; -1 for none."""
     base = F.greatest(F.col("naive").cast("double"), F.lit(1.0))
-    parts = {name: F.col(name) / base for name in (spec.value, *spec.history, "seasonal")}
+    parts = {name: F.col(name) / base for name in (spec.value, *spec.history)}
     parts |= {name: F.col(name).cast("double") for name in spec.features}
     parts["target_month"] = ((F.col(MONTH_INDEX) + F.col("horizon")) % 12).cast("double")
     named = {f"__in_{name}": F.coalesce(value, F.lit(-1.0)) for name, value in parts.items()}
@@ -80,8 +81,8 @@ def _inputs(rows: DataFrame, spec: ForecastSpec) -> tuple[DataFrame, list[str]]:
 
 
 def fit(rows: DataFrame, spec: ForecastSpec = ForecastSpec()) -> dict[int, PipelineModel]:
-    """One model per horizon that has rows with a target. Give it a written table."""
-    inputs, names = _inputs(rows.where("target IS NOT NULL"), spec)
+    """One model per horizon that has rows with a target and a seasonal value. Give it a written table."""
+    inputs, names = _inputs(rows.where("target IS NOT NULL AND seasonal IS NOT NULL"), spec)
     ready = inputs.withColumn(RATIO, F.col("target") / F.col(BASE)).select("horizon", RATIO, *names)
     known = {row[0] for row in ready.select("horizon").distinct().collect()}
     models = {}
@@ -102,13 +103,18 @@ def fit(rows: DataFrame, spec: ForecastSpec = ForecastSpec()) -> dict[int, Pipel
 
 
 def predict(rows: DataFrame, models: dict[int, PipelineModel], spec: ForecastSpec = ForecastSpec()) -> DataFrame:
-    """The rows with ``forecast`` in units, never below 0; horizons without a model get the naive one."""
+    """The rows with ``forecast`` in units, never below 0.
+
+    Horizons without a model and rows without a seasonal value get the naive forecast.
+    """
     inputs, names = _inputs(rows, spec)
     parts = []
     for h in spec.horizons:
         mine = inputs.where(F.col("horizon") == h)
         if h in models:
-            mine = models[h].transform(mine).withColumn("forecast", F.greatest(F.col("__predicted") * F.col(BASE), F.lit(0.0)))
+            corrected = F.greatest(F.col("__predicted") * F.col(BASE), F.lit(0.0))
+            forecast = F.when(F.col("seasonal").isNotNull(), corrected).otherwise(F.col("naive").cast("double"))
+            mine = models[h].transform(mine).withColumn("forecast", forecast)
         else:
             mine = mine.withColumn("forecast", F.col("naive").cast("double"))
         parts.append(mine.select(*rows.columns, "forecast"))
