@@ -1,9 +1,12 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from corpus import documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from smeltery.llm import alignment, queries
@@ -96,6 +99,27 @@ def test_bytes_of_ids_rebuild_texts(tools):
     assert 50256 not in tools.encode([TEXTS[4]])[0][0]
 
 
+LATIN = st.text(st.one_of(st.sampled_from(" \t\n\r'sStTrRvVeEmMlLdD0129½²ª\xad×ßÿĀɏ.,-_<|>"), st.characters(max_codepoint=0x300)), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(LATIN)
+def test_words_looked_up_are_words_encoded(tools, text):
+    assert tools.encode_a(text) == tools.a.encode(text, add_special_tokens=False).ids
+
+
+def test_documents_encode_as_by_the_library(tools):
+    rows = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    assert all(tools.encode_a(" " + t) == tools.a.encode(" " + t, add_special_tokens=False).ids for (t,) in rows)
+
+
+def test_words_held_are_bounded(tools, monkeypatch):
+    monkeypatch.setattr(alignment, "WORDS_HELD", 5)
+    for i in range(20):
+        tools.encode_a(f"word{i} other{i} {'x' * 100}")
+    assert len(tools.words) < 20 and all(len(w) <= alignment.LONGEST_WORD for w in tools.words)
+
+
 def test_coalescing_joins_chains_of_overlaps():
     starts, ends = np.array([0, 4, 6, 0, 2, 6]), np.array([4, 6, 9, 2, 6, 9])
     order, group = alignment.coalesce(starts, ends, np.array([0, 0, 0, 1, 1, 1]))
