@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -202,32 +203,53 @@ def _compress(kept: DataFrame, values: Sequence[str]) -> DataFrame:
     )
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Comma-joined ids of each node, from rows in order of node and id; a node's ids per batch are a piece."""
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in (*KEY, "conv_id")]
+        pieces: list[tuple] = []
+        for key, group in groupby(zip(*columns), key=lambda row: row[:2]):
+            ids = [row[2] for row in group]
+            pieces.append((*key, ids[0], ",".join(map(str, ids))))
+        yield _batch(pieces, {"a": pa.int64(), "b": pa.int64(), "first": pa.int64(), "ids": pa.string()})
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of the comma-joined ids of each node, from rows in order of node and id.
+    """SHA-256 of the pieces of each node, from rows in order of node and first id.
 
-    A node's ids flow through its hash and are never held together.
+    Pieces flow through a node's hash one by one and are never held together.
     """
+    kinds = {"a": pa.int64(), "b": pa.int64(), "ends_sha256": pa.string()}
     key, digest = None, None
-    done: list[tuple] = []
-
-    def rows() -> pa.RecordBatch:
-        columns = list(zip(*done)) or [(), (), ()]
-        types = (pa.int64(), pa.int64(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "ends_sha256"])
-
     for batch in batches:
-        for a, b, conv in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "conv_id"))):
+        done = []
+        for a, b, ids in zip(*(batch.column(c).to_pylist() for c in (*KEY, "ids"))):
             if key != (a, b):
                 if digest:
                     done.append((*key, digest.hexdigest()))
-                key, digest = (a, b), hashlib.sha256(str(conv).encode())
+                key, digest = (a, b), hashlib.sha256(ids.encode())
             else:
-                digest.update(f",{conv}".encode())
-        yield rows()
-        done.clear()
+                digest.update(f",{ids}".encode())
+        yield _batch(done, kinds)
     if digest:
-        done.append((*key, digest.hexdigest()))
-        yield rows()
+        yield _batch([(*key, digest.hexdigest())], kinds)
+
+
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
+
+
+def _end_digests(ends: DataFrame) -> DataFrame:
+    """``a, b, ends_sha256`` from the ids that end in each node.
+
+    Ids are sorted by range, so those of one node are written out by many tasks; what the one task
+    that a node's hash needs, SHA-256 being a chain, reads is a row per batch of ids.
+    """
+    spread = ends.repartitionByRange(*KEY, "conv_id").sortWithinPartitions(*KEY, "conv_id")
+    pieces = spread.mapInArrow(_pieces, "a long, b long, first long, ids string")
+    in_order = pieces.repartition(*KEY).sortWithinPartitions(*KEY, "first")
+    return in_order.mapInArrow(_digests, "a long, b long, ends_sha256 string")
 
 
 def prefix_trie(conversations: DataFrame) -> DataFrame:
@@ -243,8 +265,8 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     their hashes and sizes travel. Other columns are not looked at, whatever their names. An
     empty table has no node, not even a root.
 
-    All ids that end in one node pass through one task, in order, because SHA-256 is a chain;
-    they are streamed.
+    The ids that end in one node are sorted and joined by many tasks and hashed by one, because
+    SHA-256 is a chain; they are streamed.
     """
     turns = stored(numbered_turns(conversations), "trie-places")
     convs, rows = rebuilt(turns)
@@ -279,7 +301,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
 
     ends = path.join(convs, "conv_id").where(F.col("depth") == F.col("length")).select(*KEY, "conv_id")
     ends = ends.unionByName(convs.where("length = 0").select(*at_root, "conv_id"))
-    digests = ends.repartition(*KEY).sortWithinPartitions(*KEY, "conv_id").mapInArrow(_digests, "a long, b long, ends_sha256 string")
+    digests = _end_digests(ends)
     above = nodes.select(*[F.col(k).alias(p) for k, p in zip(KEY, PARENT)], F.col("conv_id").alias("parent_conv_id"))
     return (
         counted.join(totals, list(KEY))
