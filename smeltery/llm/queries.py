@@ -156,29 +156,6 @@ def _rule_case(index: int) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
-def _url_level(level: int) -> str:
-    """One level of the template tree: tree{level} to tree{level + 1}."""
-    return f"""
-        own{level} AS (SELECT *, coalesce(segments[{level + 1}], '') AS own FROM tree{level}),
-        kids{level} AS (
-            SELECT host, template, own, sum(pages) AS pages, sum(labels) AS labels, sum(blocked) AS blocked
-            FROM own{level} GROUP BY ALL),
-        nodes{level} AS (
-            SELECT host, template, count(*) AS kids, sum(pages) AS p, CAST(sum(blocked) AS DOUBLE) / nullif(sum(labels), 0) AS usual
-            FROM kids{level} GROUP BY ALL),
-        steps{level} AS (
-            SELECT host, template, own, CASE WHEN own = '' THEN ''
-                WHEN kids > {urls.KIDS} AND p < {urls.THIN} * kids THEN '/*'
-                WHEN labels >= {urls.LABELS} AND (CAST(blocked AS DOUBLE) / labels - usual) * (CAST(blocked AS DOUBLE) / labels - usual)
-                    * labels <= {urls.DEVIATIONS}::DOUBLE * greatest(usual * (1 - usual), {urls.VARIANCE}::DOUBLE) THEN '/+'
-                ELSE '/' || own END AS step
-            FROM kids{level} JOIN nodes{level} USING (host, template)),
-        tree{level + 1} AS (
-            SELECT host, segments, pages, labels, blocked, template || step AS template
-            FROM own{level} JOIN steps{level} USING (host, template, own)),
-    """
-
-
 #: CRC-32 of an id in decimal, bit by bit.
 _CRC32 = """xor(list_reduce(
     list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
@@ -223,7 +200,7 @@ SQL: dict[str, str] = {
         WHERE rank <= 20
     """,
     "op8_url_filters": rf"""
-        WITH rest AS (
+        WITH RECURSIVE rest AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
         hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM rest),
         parsed AS (
@@ -232,19 +209,32 @@ SQL: dict[str, str] = {
         ruled AS (
             SELECT *, {_rule_case(1)} AS rule, {_rule_case(0)} AS action,
                 list_transform(
-                    list_filter(string_split(path, '/'), lambda x: x <> '')[1:{urls.DEPTH}],
+                    list_filter(string_split(path, '/'), lambda x: x <> ''),
                     lambda x: CASE WHEN length(x) > {urls.LITERAL} THEN '*' ELSE regexp_replace(x, '[0-9]+', '{{n}}', 'g') END
                 ) AS segments FROM parsed),
-        tree0 AS (
-            SELECT host, segments, '' AS template, count(*) AS pages, count(action) AS labels,
+        tree AS (
+            SELECT 0 AS level, host, segments, '' AS template, count(*) AS pages, count(action) AS labels,
                 count(*) FILTER (action = 'block') AS blocked
-            FROM ruled GROUP BY host, segments),
-        {"".join(_url_level(level) for level in range(urls.DEPTH))}
+            FROM ruled GROUP BY host, segments
+            UNION ALL
+            SELECT level + 1, host, segments, template || CASE WHEN own = '' THEN ''
+                    WHEN kids > {urls.KIDS} AND p < {urls.THIN} * kids THEN '/*'
+                    WHEN l >= {urls.LABELS} AND (b / l - usual) * (b / l - usual) * l
+                        <= {urls.DEVIATIONS}::DOUBLE * greatest(usual * (1 - usual), {urls.VARIANCE}::DOUBLE) THEN '/+'
+                    ELSE '/' || own END, pages, labels, blocked
+            FROM (
+                SELECT *, count(DISTINCT own) OVER node AS kids, sum(pages) OVER node AS p, sum(labels) OVER child AS l,
+                    CAST(sum(blocked) OVER child AS DOUBLE) AS b,
+                    CAST(sum(blocked) OVER node AS DOUBLE) / nullif(sum(labels) OVER node, 0) AS usual
+                FROM (SELECT *, coalesce(segments[level + 1], '') AS own FROM tree)
+                WINDOW node AS (PARTITION BY host, template), child AS (PARTITION BY host, template, own))
+            WHERE level < (SELECT max(len(segments)) FROM ruled)),
+        leaves AS (SELECT * FROM tree WHERE level = (SELECT max(len(segments)) FROM ruled)),
         judged AS (
             SELECT host, template, CASE WHEN (sum(blocked) + {urls.PRIOR * urls.PRIOR_WEIGHT}::DOUBLE)
                 / (sum(labels) + {urls.PRIOR_WEIGHT}::DOUBLE) >= {urls.PURE}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict
-            FROM tree{urls.DEPTH} GROUP BY ALL),
-        known AS (SELECT t.host, t.segments, j.verdict FROM tree{urls.DEPTH} AS t JOIN judged AS j USING (host, template))
+            FROM leaves GROUP BY ALL),
+        known AS (SELECT t.host, t.segments, j.verdict FROM leaves AS t JOIN judged AS j USING (host, template))
         SELECT page_id, r.host, path, rule, coalesce(action, k.verdict) AS verdict
         FROM ruled AS r JOIN known AS k ON r.host = k.host AND r.segments = k.segments
     """,

@@ -6,23 +6,26 @@ wildcard child, and labelled branches whose share of blocked pages does not diff
 node's get one common branch. The pages that a rule decides are the labels. A template is
 blocked when its smoothed share of blocked labels reaches ``PURE``.
 
-The tree is built on counts per host and raw template, never on pages.
+The tree is built on counts per host and raw template, never on pages. Each level is stored, and
+the next works on what has further segments and is not alone at its node: the steps of a single
+raw template depend on its own counts only and are taken at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.common import ascii_lower
+from smeltery.llm.common import ascii_lower, stored
 
 #: Action, host and path of each rule.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Levels of the tree; longest literal segment; children of a node beyond which they are one
-#: wildcard when a child has fewer than ``THIN`` pages on average.
-DEPTH, LITERAL, KIDS, THIN = 3, 32, 32, 4
+#: Longest literal segment; children of a node beyond which they are one wildcard when a child has
+#: fewer than ``THIN`` pages on average.
+LITERAL, KIDS, THIN = 32, 32, 4
 #: Labels a branch needs to be merged, squared deviations allowed, smallest variance assumed.
 LABELS, DEVIATIONS, VARIANCE = 5, 4.0, 0.01
 #: Blocked share assumed before any label, its weight in labels, and the share that blocks.
@@ -47,34 +50,48 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def raw_segments(path: Column) -> Column:
-    """The first ``DEPTH`` segments, digits and long segments already wildcards."""
-    segments = F.slice(F.filter(F.split(path, "/", -1), lambda x: x != ""), 1, DEPTH)
+    """All segments, digits and long segments already wildcards."""
     return F.transform(
-        segments, lambda x: F.when(F.length(x) > LITERAL, "*").otherwise(F.regexp_replace(x, "[0-9]+", "{n}"))
+        F.filter(F.split(path, "/", -1), lambda x: x != ""),
+        lambda x: F.when(F.length(x) > LITERAL, "*").otherwise(F.regexp_replace(x, "[0-9]+", "{n}")),
     )
 
 
 def templates(labelled: DataFrame) -> DataFrame:
-    """``host, raw, template, pages, labels, blocked`` from pages with ``host, segments, action``."""
-    sums = [F.sum(c).alias(c) for c in ("pages", "labels", "blocked")]
+    """``host, segments, template, pages, labels, blocked`` from pages with ``host, segments, action``."""
+    measures = ["pages", "labels", "blocked"]
     tree = labelled.groupBy("host", "segments").agg(
         F.count("*").alias("pages"), F.count("action").alias("labels"), F.count_if(F.col("action") == "block").alias("blocked")
     ).withColumn("template", F.lit(""))
-    for level in range(DEPTH):
+    columns, parts, level = tree.columns, [], 0
+    tree = stored(tree, "url-level")
+    while not tree.isEmpty():
         tree = tree.withColumn("own", F.coalesce(F.get("segments", F.lit(level)), F.lit("")))
-        children = tree.groupBy("host", "template", "own").agg(*sums)
+        sums = [F.sum(c).alias(c) for c in (*measures, "raw")]
+        children = tree.withColumn("raw", F.lit(1)).groupBy("host", "template", "own").agg(*sums)
         nodes = children.groupBy("host", "template").agg(F.count("*").alias("kids"), *sums)
-        nodes = nodes.select("host", "template", "kids", *[F.col(c).alias(f"all_{c}") for c in ("pages", "labels", "blocked")])
+        nodes = nodes.select("host", "template", "kids", *[F.col(c).alias(f"all_{c}") for c in (*measures, "raw")])
         share, usual = F.try_divide("blocked", "labels"), F.try_divide("all_blocked", "all_labels")
         alike = (F.col("labels") >= LABELS) & (
             (share - usual) * (share - usual) * F.col("labels") <= DEVIATIONS * F.greatest(usual * (1 - usual), F.lit(VARIANCE))
         )
         many = (F.col("kids") > KIDS) & (F.col("all_pages") < THIN * F.col("kids"))
         step = F.when(F.col("own") == "", "").when(many, "/*").when(alike, "/+").otherwise(F.concat(F.lit("/"), "own"))
-        named = children.join(nodes, ["host", "template"]).select("host", "template", "own", step.alias("step"))
-        tree = tree.join(named, ["host", "template", "own"]).withColumn("template", F.concat("template", "step"))
-        tree = tree.select("host", "segments", "pages", "labels", "blocked", "template")
-    return tree
+        named = children.join(nodes, ["host", "template"]).select(
+            "host", "template", "own", step.alias("step"), (F.col("all_raw") == 1).alias("alone")
+        )
+        alone, rest = F.col("alone"), F.slice("segments", level + 1, F.greatest(F.size("segments"), F.lit(1)))
+        of_one = F.transform(rest, lambda x: F.when(F.col("labels") >= LABELS, "/+").otherwise(F.concat(F.lit("/"), x)))
+        further = F.when(alone, F.array_join(of_one, "")).otherwise(F.col("step"))
+        done = alone | (F.col("own") == "")
+        walked = tree.join(named, ["host", "template", "own"]).select(
+            "host", "segments", *measures, F.concat("template", further).alias("template"), done.alias("done")
+        )
+        walked = stored(walked, "url-level")
+        parts.append(walked.where("done").select(*columns))
+        tree = walked.where(~F.col("done")).select(*columns)
+        level += 1
+    return reduce(DataFrame.union, parts) if parts else tree
 
 
 def judge(
@@ -82,21 +99,22 @@ def judge(
 ) -> DataFrame:
     """All rows and columns of ``pages`` with ``host, path, rule, template`` and ``verdict``.
 
-    NULL urls and urls without ``://`` have empty host and path and are judged like any other.
-    The verdict is the longest fitting rule's, else ``block`` for pure enough templates and
-    ``allow`` for all others; a template without labels is allowed. Repeated rows stay and count
-    each time; input columns with the names of the result are replaced; an empty table gives an
-    empty result.
+    NULL urls and urls without ``://`` have empty host and path and are judged like any other;
+    paths are read whole, however many segments they have. The verdict is the longest fitting
+    rule's, else ``block`` for pure enough templates and ``allow`` for all others; a template
+    without labels is allowed. Repeated rows stay and count each time; other columns may have any
+    name, and those with the names of the result are replaced; an empty table gives an empty result.
     """
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "template", "verdict")]
-    host, path = host_and_path(F.col(url_column).cast("string"))
-    parsed = pages.select(*kept, host.alias("host"), path.alias("path"))
+    result = ("host", "path", "rule", "template", "verdict")
+    kept = [c for c in pages.columns if c not in result]
+    host, path = host_and_path(F.col(f"`{url_column}`").cast("string"))
+    parsed = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), host.alias("host"), path.alias("path"))
     name, action = rule_of(F.col("host"), F.col("path"), rules)
-    parsed = parsed.select("*", name.alias("rule"), action.alias("_action"), raw_segments(F.col("path")).alias("_segments"))
-    tree = templates(parsed.select("host", F.col("_segments").alias("segments"), F.col("_action").alias("action")))
+    parsed = parsed.select("*", name.alias("rule"), action.alias("action"), raw_segments(F.col("path")).alias("segments"))
+    tree = templates(parsed.select("host", "segments", "action"))
     purity = (F.sum("blocked") + PRIOR * PRIOR_WEIGHT) / (F.sum("labels") + PRIOR_WEIGHT)
-    judged = tree.groupBy("host", "template").agg(F.when(purity >= PURE, "block").otherwise("allow").alias("_verdict"))
-    known = tree.select("host", F.col("segments").alias("_segments"), "template").join(judged, ["host", "template"])
-    return parsed.join(known, ["host", "_segments"]).select(
-        *kept, "host", "path", "rule", "template", F.coalesce("_action", "_verdict").alias("verdict")
+    judged = tree.groupBy("host", "template").agg(F.when(purity >= PURE, "block").otherwise("allow").alias("judged"))
+    known = tree.select("host", "segments", "template").join(judged, ["host", "template"])
+    return parsed.join(known, ["host", "segments"]).select(
+        *[F.col(f"row.`{c}`") for c in kept], *result[:-1], F.coalesce("action", "judged").alias("verdict")
     )

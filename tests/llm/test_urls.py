@@ -1,6 +1,11 @@
+import importlib
+import random
+
+import duckdb
+from compare import difference
 from pyspark.sql import functions as F
 
-from smeltery.llm import urls
+from smeltery.llm import queries, urls
 
 ODD = [
     None, "", "no scheme", "http://", "https://Sub.Example.NET/en/x?q=/de/", "x://example.com", "x://example.com#/de/",
@@ -68,6 +73,44 @@ def test_alike_branches_merge(spark):
     assert both[0].template == both[39].template == "/+/+"
 
 
+def test_deep_siblings_are_told_apart(spark):
+    """Pages below a fifth level blocked by a rule do not take their siblings along."""
+    rules = [("block", "h.test", f"/x/y/z/v/spam/{i}") for i in range(40)] + [("allow", "h.test", "/x/y/z/v/news/0")]
+    deep = [f"http://h.test/x/y/z/v/spam/{i}/p" for i in range(50)]
+    rest = ["http://h.test/x/y/z/v/news/story", "http://h.test/x/y/z/v/about", "http://h.test/x/y", "http://h.test/x/y/z/v/"]
+    rows = judged(spark, deep + rest, rules=rules)
+    assert {rows[i].verdict for i in range(50)} == {"block"}
+    assert {rows[50 + i].verdict for i in range(len(rest))} == {"allow"}
+
+
+def test_sql_gives_the_same_verdicts_at_any_depth(spark, monkeypatch, request):
+    """Random trees in which merging, wildcards and pure templates all happen."""
+    rng = random.Random(6)
+    paths = ["/".join(rng.choice(["de", "en", "fr", "a1", "b", "c", "x" * 40]) for _ in range(rng.randint(0, 7))) for _ in range(600)]
+    paths += [f"en/user/{chr(97 + i % 26)}{chr(97 + i // 26)}/de/{i % 3}" for i in range(120)] + ["en", "en/", "en/user"] * 3
+    hosts = ["example.com", "example.net", "other.net", "h.test", "org"]
+    pages = [(i, f"http://{rng.choice(hosts)}/{path}") for i, path in enumerate(paths)]
+    for name, value in (("KIDS", 5), ("LABELS", 2), ("PURE", 0.5)):
+        monkeypatch.setattr(urls, name, value)
+    sql = importlib.reload(queries).SQL["op8_url_filters"]
+    request.addfinalizer(lambda: (monkeypatch.undo(), importlib.reload(queries)))
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    con = duckdb.connect()
+    con.register("pages", frame.toPandas())
+    found = urls.judge(frame)
+    assert difference(found.select("page_id", "host", "path", "rule", "verdict"), con, sql) == ""
+    by_template = found.groupBy("verdict").agg(F.countDistinct("template").alias("n")).collect()
+    assert {r.verdict for r in by_template} == {"allow", "block"}
+    assert found.where("template LIKE '%/+%'").count() and found.where("template LIKE '%/*%'").count()
+
+
+def test_any_column_name(spark):
+    names = "row host path rule verdict segments action own a.b labels pages judged _action _segments".split()
+    pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id int, url string").withColumns({n: F.lit(f"own {n}") for n in names})
+    row = urls.judge(pages).first().asDict()
+    assert row["a.b"] == "own a.b" and row["_action"] == "own _action" and row["own"] == "own own" and row["host"] == "a.net"
+
+
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], "page_id int, url string")).count() == 0
 
