@@ -39,22 +39,24 @@ def drop_boilerplate(
     Adds ``n_lines`` and ``n_dropped``, counting repeated lines each time. Lines end at a line
     feed and are compared whole; blank lines are never dropped. A NULL text stays NULL with no
     lines; an empty text is one blank line; NULL hosts are one host. Repeated rows stay and count
-    each time. Input columns named like the result's are replaced; an empty table gives an empty
-    result.
+    each time. Other columns may have any name, and those named like the result's are replaced; an
+    empty table gives an empty result.
     """
     kept = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    lines = F.split(F.col(text_column).cast("string"), "\n", -1)
-    found = boilerplate(pages, F.col(host_column), lines, ratio, least)
+    packed = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
+    text, host = F.col(f"row.`{text_column}`").cast("string"), F.col(f"row.`{host_column}`")
+    lines = F.split(text, "\n", -1)
+    found = boilerplate(packed, host, lines, ratio, least)
     parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
-    part = F.pmod(F.xxhash64(F.col(text_column).cast("string")), F.lit(PARTS)).cast("int")
-    same = F.col(host_column).eqNullSafe(F.col("_host")) & (F.col("_part") == F.col("_of_part"))
-    joined = pages.select(*kept, part.alias("_of_part")).join(found.withColumn("_part", parts), same, "left")
+    part = F.pmod(F.xxhash64(text), F.lit(PARTS)).cast("int")
+    same = host.eqNullSafe(F.col("_host")) & (F.col("_part") == F.col("_of_part"))
+    joined = packed.withColumn("_of_part", part).join(found.withColumn("_part", parts), same, "left")
     stay = F.when(F.col("_dropped").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.array_contains(F.col("_dropped"), _key(x)))
     )
-    cut = joined.select(*kept, lines.alias("_lines"), stay.alias("_stay"))
+    cut = joined.select("row", lines.alias("_lines"), stay.alias("_stay"))
     return cut.select(
-        *[F.array_join("_stay", "\n").alias(c) if c == text_column else F.col(f"`{c}`") for c in kept],
+        *[F.array_join("_stay", "\n").alias(c) if c == text_column else F.col(f"row.`{c}`") for c in kept],
         F.greatest(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.greatest(F.size("_lines") - F.size("_stay"), F.lit(0)).cast("long").alias("n_dropped"),
     )

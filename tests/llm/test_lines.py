@@ -43,3 +43,12 @@ def test_equals_brute_force(spark, ratio, least):
 
 def test_empty_table(spark):
     assert lines.drop_boilerplate(clashing(spark, cases()).limit(0)).count() == 0
+
+
+def test_any_column_name(spark):
+    names = "row _host _dropped _part _of_part _lines _stay line total count a.b n_lines".split()
+    docs = spark.createDataFrame([(1, "one\ntwo", "h"), (2, None, None)], "doc_id int, text string, source string")
+    rows = lines.drop_boilerplate(docs.withColumns({n: F.lit(f"own {n}") for n in names})).orderBy("doc_id").collect()
+    assert [(r["a.b"], r["_host"], r["row"], r["text"], r["n_lines"]) for r in rows] == [
+        ("own a.b", "own _host", "own row", "one\ntwo", 2), ("own a.b", "own _host", "own row", None, 0)
+    ]
