@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +11,10 @@ from smeltery.session import scratch_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +88,20 @@ def connected(edges: DataFrame) -> DataFrame:
         before = tuple(row)
 
 
+def packed(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns as one struct ``row``, in which any name is safe."""
+    return df.select(F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"))
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    return [F.col(f"row.`{name}`") for name in names]
+
+
+def texts_of(batch: pa.RecordBatch, names: list[str], text_column: str) -> pa.Array:
+    """The texts in the ``row`` column of a batch, as strings."""
+    return batch.column("row").field(names.index(text_column)).cast(pa.string())
+
+
 def slices(n: int, size: int):
     """Slices that cover ``range(n)``, ``size`` long at most."""
     return (slice(i, min(i + size, n)) for i in range(0, n, size))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.common import LETTER, slices, with_columns_of
+from smeltery.llm.common import has_letter, packed, slices, texts_of, unpacked, with_columns_of
 
 GRAM = 4
 #: An n-gram is typical if it makes up this share of a language's n-grams, which bounds the
@@ -147,8 +147,9 @@ def predict(docs: DataFrame, filters: Filters, text_column: str = "text") -> Dat
 
     The score is the corrected share of the text's n-grams that are typical of the language.
     Equal shares go to the first language in code-point order. ``und`` with score 0 stands for
-    NULL texts, texts without a letter, and anything when no language was learned. Input columns
-    named ``lang_pred`` or ``score`` are replaced.
+    NULL texts, texts without a letter, and anything when no language was learned. Texts are read
+    whole; repeated rows are judged each; other columns may have any name, and those named
+    ``lang_pred`` or ``score`` are replaced. An empty table gives an empty result.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(filters)
@@ -157,9 +158,9 @@ def predict(docs: DataFrame, filters: Filters, text_column: str = "text") -> Dat
         model = shared.value
         for batch in batches:
             names, scores = [], []
-            for value in batch.column("_read"):
+            for value in texts_of(batch, kept, text_column):
                 text = value.as_py()
-                if text is None or not model.languages or not LETTER.search(text):
+                if text is None or not model.languages or not has_letter(text):
                     names.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
@@ -167,10 +168,11 @@ def predict(docs: DataFrame, filters: Filters, text_column: str = "text") -> Dat
                 best = int(shares.argmax())
                 names.append(model.languages[best])
                 scores.append(float(shares[best]))
-            yield with_columns_of(batch, kept, lang_pred=pa.array(names, pa.string()), score=pa.array(scores, pa.float64()))
+            yield with_columns_of(batch, ["row"], lang_pred=pa.array(names, pa.string()), score=pa.array(scores, pa.float64()))
 
-    out = docs.select(*kept).withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
-    return docs.select(*kept, F.col(text_column).cast("string").alias("_read")).mapInArrow(label, out)
+    rows = packed(docs, kept)
+    out = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    return rows.mapInArrow(label, out).select(*unpacked(kept), "lang_pred", "score")
 
 
 def recognised(docs: DataFrame, filters: Filters, text_column: str = "text") -> DataFrame:

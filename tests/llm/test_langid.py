@@ -77,3 +77,18 @@ def test_many_languages_need_wider_masks(spark):
     assert filters.masks.dtype == np.uint64
     found = langid.predict(docs, filters).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert found > 0.9
+
+
+def test_marks_that_are_no_letters_are_undetermined(spark):
+    filters = langid.learn(spark.createDataFrame(documents(), DOCS))
+    texts = ["½ ² ③", "٣ 12", "_", "½ ² ③ the and of that", "ª"]
+    found = langid.predict(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string"), filters)
+    assert [r.lang_pred == "und" for r in found.orderBy("doc_id").collect()] == [True, True, True, False, False]
+
+
+def test_any_column_name(spark):
+    filters = langid.learn(spark.createDataFrame(documents(), DOCS))
+    names = "row text2 _read a.b score lang_pred _row".split()
+    docs = spark.createDataFrame([(1, "the and of that")], "doc_id int, text string").withColumns({n: F.lit(f"own {n}") for n in names})
+    row = langid.predict(docs, filters).first().asDict()
+    assert row["a.b"] == "own a.b" and row["row"] == "own row" and row["_read"] == "own _read" and row["lang_pred"] == "en"
