@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.common import with_columns_of
+from smeltery.llm.common import packed, texts_of, unpacked, with_columns_of
 
 #: Words between ASCII characters other than letters and digits.
 GAPS = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+#: The same words as a pattern.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Words of one shard's text, unless a single document has more; test words searched in one pass.
 SHARD_WORDS, TEST_WORDS = 1 << 19, 1 << 20
 RANK_STEP, POSITION_STEP = 64, 8
@@ -246,21 +248,21 @@ def contamination(
     """
     added = ("n_words", "spans", "items")
     kept = [c for c in docs.columns if c not in added]
-    result = docs.select(
-        *kept,
+    result = packed(docs, kept).select(
+        "row",
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
     tests = benchmark.select(F.col(item_column).alias("id"), F.col(item_text_column).cast("string").alias("text"))
-    n_words = tests.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    n_words = tests.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
     blocks = 1 + int(n_words) // TEST_WORDS
     block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     for number in range(blocks):
         rows = tests.where(block == number).collect() if blocks > 1 else tests.collect()
         windows = windows_of([(row.id, words_of(row.text)) for row in rows], width)
         result = _searched(result, kept, text_column, docs.sparkSession.sparkContext.broadcast(windows))
-    return result
+    return result.select(*unpacked(kept), *added)
 
 
 def _searched(docs: DataFrame, kept: list[str], text_column: str, shared) -> DataFrame:
@@ -286,7 +288,7 @@ def _searched(docs: DataFrame, kept: list[str], text_column: str, shared) -> Dat
                     items.append(sorted({names[x] for x in numbers if names[x] is not None} | set(old_items)))
 
             shard, held = [], 0
-            for text in batch.column(text_column):
+            for text in texts_of(batch, kept, text_column):
                 words = words_of(text.as_py())
                 if shard and held + len(words) > SHARD_WORDS:
                     close(shard)
@@ -296,7 +298,7 @@ def _searched(docs: DataFrame, kept: list[str], text_column: str, shared) -> Dat
             close(shard)
             yield with_columns_of(
                 batch,
-                kept,
+                ["row"],
                 n_words=pa.array(sizes, pa.int64()),
                 spans=pa.array(spans, span_type),
                 items=pa.array(items, pa.list_(pa.string())),

@@ -10,6 +10,20 @@ from smeltery.llm import decontaminate
 ITEMS = "item_id long, text string, spans string"
 
 
+def test_blocks_go_by_real_words(spark):
+    """Words parted by line feeds, tabs, hyphens or dots count as words."""
+    texts = ["one\ntwo\tthree-four.five", "Ünï ÇA b3 3c __ x", "", None, "..."]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    counted = frame.select(F.coalesce(F.regexp_count("text", F.lit(decontaminate.WORD)), F.lit(0)).alias("n")).collect()
+    assert [r.n for r in counted] == [len(decontaminate.words_of(t)) for t in texts]
+
+
+def test_any_column_name(spark):
+    docs = spark.createDataFrame([(1, "a b c", "own")], "doc_id int, text string, `x.y` string")
+    tests = spark.createDataFrame([(1, "a b c")], "item_id int, text string")
+    assert decontaminate.contamination(docs, tests).first()["x.y"] == "own"
+
+
 def plain(text, items, width=10):
     """Words, hit words and items of one text, by comparing every window."""
     words = decontaminate.words_of(text)
