@@ -1,29 +1,34 @@
 """Language-model scores from a hashed maximum-entropy model with class-factored softmax.
 
-P(word | context) = P(group | context) * P(class | group, context) * P(word | class). Classes of
+P(word | context) = P(group | context) * P(class | group, context) * P(word | class, context). Classes of
 words form groups of eight; group and class are predicted from hashed n-gram and skip features
 of the two words before, so each softmax has few terms; the weights are one table of fixed size, trained by distributed gradient updates: tasks descend on their share of all training
-texts, and the tables are averaged, each row weighted by how often a task saw its feature. The
-word factor is the smoothed share of the word in its class, the maximum-entropy solution for
-unigram features. The most frequent words are classes of their own, the end of the text is one,
+texts, and the tables are averaged, each row weighted by how often a task saw its feature. The most frequent words are classes of their own, the end of the text is one,
 and all other words share classes by the hash of their last two bytes.
 
+With ``fit(..., word_context=True)`` context predicts the word inside its class as well: the words
+of a class are leaves of a Huffman tree of eight branches, and each step down it is a softmax of
+hashed features, trained like the other two. Words that are not among the frequent ones are leaves
+by hash cell; inside a cell each has its smoothed share. Without it, every word has its share of
+the class, the maximum-entropy solution for unigram features.
+
 Word counts cover all training texts. A bounded number of frequent words goes to every task;
 the counts of all other words are joined.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm.common import slices, stored, with_columns_of, word_list
@@ -39,6 +44,9 @@ HASH_BITS, BLOCK, HEAD_WORDS, HEAD_BYTES = 14, 128, 1 << 17, 64
 #: The end of the text, as a token; no word is empty.
 END = b""
 BATCH, COUNTER_KEYS = 8192, 1 << 18
+#: Bits of the least and largest number of cells of rare words per shared class, and of rows for steps
+#: down the trees of words; between them, both grow with the vocabulary.
+CELL_BITS, STEP_BITS = (2, 10), (12, 17)
 ADDED = 0.1
 _FEATURES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 #: Logits are held within these bounds, so their exponentials are finite.
@@ -59,9 +67,84 @@ def features_of(hashes: np.ndarray) -> np.ndarray:
     return mixed
 
 
+@dataclass
+class Trees:
+    """The trees of words in their classes: paths of leaves, log shares, and the table of weights.
+
+    Leaves are the frequent words and the end by number, then the cells of rare words. Leaf ``i``
+    has the steps ``first[i]`` to ``first[i + 1]``, each a node and the branch taken there.
+    """
+
+    first: np.ndarray
+    nodes: np.ndarray
+    branches: np.ndarray
+    bias: np.ndarray
+    cell_totals: np.ndarray
+    weights: np.ndarray
+
+    @property
+    def cells(self) -> int:
+        """Cells of rare words per shared class."""
+        return len(self.cell_totals) // SHARED
+
+    def steps(self, leaves: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each step down to each token's leaf: the token, rows of weights, node and branch."""
+        begin = self.first[leaves]
+        lengths = self.first[leaves + 1] - begin
+        token = np.repeat(np.arange(len(leaves)), lengths)
+        at = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths - begin, lengths)
+        nodes = self.nodes[at]
+        rows = (keys[token] ^ (nodes.astype(np.uint32) * np.uint32(0x9E3779B1))[:, None]) * np.uint32(0x2C1B3C6D)
+        rows >>= np.uint32(32 - int(len(self.weights)).bit_length() + 1)
+        return token, rows.astype(np.int32), nodes, self.branches[at]
+
+
+def trees_of(leaves_of: list[list[int]], weights_of: np.ndarray, bits: int) -> Trees:
+    """Huffman trees of eight branches, one for each list of leaves."""
+    above = np.full(len(weights_of), -1, np.int64)
+    branch = np.zeros(len(weights_of), np.int64)
+    parents, places, shares = [], [], []
+    for leaves in leaves_of:
+        heap = [(float(weights_of[leaf]), i, leaf, True) for i, leaf in enumerate(leaves)]
+        heapq.heapify(heap)
+        size, count = (len(heap) - 2) % (GROUP - 1) + 2, len(heap)
+        while len(heap) > 1:
+            taken = [heapq.heappop(heap) for _ in range(min(size, len(heap)))]
+            size, node = GROUP, len(parents)
+            total = sum(x[0] for x in taken)
+            parents.append(-1)
+            places.append(0)
+            shares.append([math.log(x[0] / total) for x in taken] + [-float(LARGEST)] * (GROUP - len(taken)))
+            for place, (_, _, which, is_leaf) in enumerate(taken):
+                if is_leaf:
+                    above[which], branch[which] = node, place
+                else:
+                    parents[which], places[which] = node, place
+            heapq.heappush(heap, (total, count, node, False))
+            count += 1
+    upwards, place_of = np.array([*parents, -1], np.int64), np.array([*places, 0], np.int64)
+    leaf, node, at = np.flatnonzero(above >= 0), above[above >= 0], branch[above >= 0]
+    owners, nodes, taken = [], [], []
+    while len(leaf):
+        owners.append(leaf)
+        nodes.append(node)
+        taken.append(at)
+        at, node = place_of[node], upwards[node]
+        leaf, at, node = leaf[node >= 0], at[node >= 0], node[node >= 0]
+    owner = np.concatenate([*owners, np.zeros(0, np.int64)])
+    order = np.argsort(owner, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(weights_of)))])
+    every = [np.concatenate([*x, np.zeros(0, np.int64)])[order].astype(np.int32) for x in (nodes, taken)]
+    bias = np.array(shares, np.float32).reshape(-1, GROUP)
+    return Trees(first, *every, bias, np.zeros(0), np.zeros((1 << bits, GROUP), np.float32))
+
+
 @dataclass
 class Model:
-    """Frequent words with counts and classes, class totals, and the weight table."""
+    """Frequent words with counts and classes, class totals, and the weight table.
+
+    ``trees`` chooses the word in its class by context; without it words have their shares.
+    """
 
     words: dict[bytes, int]
     hashes: np.ndarray
@@ -71,6 +154,7 @@ class Model:
     tokens: int
     vocabulary: int
     weights: np.ndarray
+    trees: Trees | None = None
 
     @property
     def bias(self) -> np.ndarray:
@@ -78,22 +162,38 @@ class Model:
         by_group = self.totals.reshape(GROUPS, GROUP)
         return np.log(np.concatenate([[by_group.sum(axis=1)], by_group])).astype(np.float32)
 
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Features, class and number (-1: not a frequent word) of each token, the end included."""
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Features, class, number (-1: not a frequent word), leaf and keys of steps of each token, the end included."""
         numbers = np.fromiter(map(self.words.get, words, repeat(-1)), np.int32, len(words))
         hashes, classes = self.hashes[numbers], self.classes[numbers]
         rare = np.flatnonzero(numbers < 0)
         unseen = [words[i] for i in rare.tolist()]
         hashes[rare] = np.fromiter(map(crc32, unseen), np.uint32, len(rare))
         classes[rare] = np.fromiter(map(shared_class, unseen), np.int32, len(rare))
-        numbers = np.append(numbers, np.int32(self.words[END]))
-        return features_of(hashes).astype(np.int32), np.append(classes, np.int32(END_CLASS)), numbers
+        leaves = numbers.copy()
+        if self.trees:
+            leaves[rare] = len(self.words) + cells_of(classes[rare], hashes[rare], self.trees.cells)
+        end = np.int32(self.words[END])
+        features, classes = features_of(hashes).astype(np.int32), np.append(classes, np.int32(END_CLASS))
+        return features, classes, np.append(numbers, end), np.append(leaves, end), step_keys(hashes)
 
 
 def shared_class(word: bytes) -> int:
     return SINGLES + 1 + crc32(word[-2:]) % SHARED
 
 
+def cells_of(classes: np.ndarray, hashes: np.ndarray, cells: int) -> np.ndarray:
+    """Cells of rare words, by class and the upper bits of the word's hash."""
+    return (classes - SINGLES - 1) * cells + (hashes.astype(np.int64) >> 16) % cells
+
+
+def step_keys(hashes: np.ndarray) -> np.ndarray:
+    """For every token and the end, what the rows of its steps start from: the word before, and the two before."""
+    padded = np.concatenate([np.zeros(2, np.uint32), hashes.astype(np.uint32)])
+    first, second = padded[1:], padded[:-1]
+    return np.column_stack([first * np.uint32(0x85EBCA77), (first * np.uint32(31) + second + np.uint32(1)) * np.uint32(0xC2B2AE3D)])
+
+
 def _rows(features: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the weight table that hold each token's group weights and class weights."""
     base = features * (GROUPS + 1)
@@ -101,9 +201,9 @@ def _rows(features: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _softmax(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    logits = bias + weights[rows[:, 0]]
+    logits = bias + weights.take(rows[:, 0], 0)
     for i in range(1, rows.shape[1]):
-        logits += weights[rows[:, i]]
+        logits += weights.take(rows[:, i], 0)
     chance = np.exp(np.clip(logits, -LARGEST, LARGEST, out=logits), out=logits)
     chance /= (chance @ np.ones(GROUP, np.float32))[:, None]
     return chance
@@ -114,10 +214,17 @@ def _log_probability(features: np.ndarray, classes: np.ndarray, weights: np.ndar
     of_group, of_class = _rows(features, classes)
     group, place = classes // GROUP, np.arange(len(classes))
     outer = _softmax(of_group, weights, bias[0])[place, group]
-    inner = _softmax(of_class, weights, bias[1 + group])[place, classes % GROUP]
+    inner = _softmax(of_class, weights, bias.take(1 + group, 0))[place, classes % GROUP]
     return np.log(outer.astype(np.float64)) + np.log(inner.astype(np.float64))
 
 
+def _log_steps(trees: Trees, leaves: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Natural logarithm of P(leaf | class, context) of each token; 0 where the class is one word."""
+    token, rows, nodes, branches = trees.steps(leaves, keys)
+    chance = _softmax(rows, trees.weights, trees.bias.take(nodes, 0))[np.arange(len(rows)), branches]
+    return np.bincount(token, np.log(chance.astype(np.float64)), len(leaves))
+
+
 def _word_counts(texts: DataFrame) -> DataFrame:
     """``token, n`` over all texts; combined within tasks before the shuffle."""
 
@@ -160,8 +267,42 @@ def _frequent(counts: DataFrame) -> list:
     return sorted(((bytes(row.token), row.n) for row in rows), key=lambda x: (-x[1], x[0]))
 
 
-def fit(texts: DataFrame, text_column: str = "text", rounds: int = 1, rate: float = 0.4) -> tuple[Model, DataFrame]:
-    """The model and its table of all word counts ``(token, n)``, learned from every row."""
+def _word_trees(counts: DataFrame, kind: Column, model: Model) -> Trees:
+    """Trees of the classes that words share: frequent words, and cells with the counts of the others."""
+    bits = model.vocabulary.bit_length()
+    of_cells, of_steps = (min(max(bits - less, least), most) for less, (least, most) in ((8, CELL_BITS), (0, STEP_BITS)))
+    size = 1 << of_cells
+    cell = (F.col("kind") - (SINGLES + 1)) * size + F.shiftright(F.crc32("token"), 16) % size
+    found = (
+        counts.select("token", "n", kind.cast("int").alias("kind"))
+        .where(F.col("kind") > END_CLASS)
+        .groupBy(cell.alias("cell"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+        .collect()
+    )
+    cells = np.zeros((2, SHARED * size), np.int64)
+    for row in found:
+        cells[:, row.cell] = row.n, row.words
+    shared = np.flatnonzero(model.classes > END_CLASS)
+    own = cells_of(model.classes[shared], model.hashes[shared], size)
+    np.subtract.at(cells[0], own, model.counts[shared])
+    np.subtract.at(cells[1], own, 1)
+    totals = cells[0] + ADDED * (cells[1] + 1)
+    leaves: list[list[int]] = [[] for _ in range(SHARED)]
+    for leaf in shared.tolist():
+        leaves[model.classes[leaf] - SINGLES - 1].append(leaf)
+    for i, of_class in enumerate(leaves):
+        of_class.extend(range(len(model.words) + i * size, len(model.words) + (i + 1) * size))
+    return replace(trees_of(leaves, np.concatenate([model.counts + ADDED, totals]), of_steps), cell_totals=totals)
+
+
+def fit(
+    texts: DataFrame, text_column: str = "text", rounds: int = 1, rate: float = 0.4, word_context: bool = False
+) -> tuple[Model, DataFrame]:
+    """The model and its table of all word counts ``(token, n)``, learned from every row.
+
+    With ``word_context`` context predicts words inside their classes, too.
+    """
     texts = texts.select(F.col(text_column).cast("string").alias("text"))
     counts = stored(_word_counts(texts), "lm-counts")
     head = _frequent(counts)
@@ -186,40 +327,53 @@ def fit(texts: DataFrame, text_column: str = "text", rounds: int = 1, rate: floa
     numbers = np.array([n for _, n in head] + [ends.n if ends else 0], np.int64)
     weights = np.zeros(((GROUPS + 1) << HASH_BITS, GROUP), np.float32)
     model = Model(words, hashes, numbers, np.array(classes, np.int32), totals, tokens, vocabulary, weights)
+    if word_context:
+        model.trees = _word_trees(counts, kind, model)
     for number in range(rounds):
-        model.weights = _averaged(texts, model, rate / (1 + number))
+        learned = _averaged(texts, model, rate / (1 + number))
+        model.weights = learned[: len(weights)]
+        if model.trees:
+            model.trees.weights = learned[len(weights) :]
     return model, counts
 
 
 def _averaged(texts: DataFrame, model: Model, rate: float) -> np.ndarray:
-    """One round of gradient updates over all texts."""
+    """One round of gradient updates over all texts: weights of groups and classes, then of steps."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
+
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = shared.value
-        weights, bias = start.weights.copy(), start.bias
+        start, bias = shared.value, shared.value.bias
+        weights, trees, classes_end = _table(start), start.trees, len(start.weights)
         squares = np.full(len(weights), 1e-2, np.float32)
         seen = np.zeros(len(weights), np.float32)
-
-        def update(rows: np.ndarray, gradient: np.ndarray) -> None:
-            for i in range(rows.shape[1]):
-                order = np.argsort(rows[:, i])
-                ordered = rows[order, i]
-                first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                at = ordered[first]
-                total = np.add.reduceat(gradient[order], first, axis=0)
-                spread = squares[at] + np.einsum("ij,ij->i", total, total) / GROUP
-                squares[at] = spread
-                total *= (rate / np.sqrt(spread))[:, None]
-                weights[at] -= total
-                seen[at] += np.diff(first, append=len(order))
-
-        for features, classes in _batches(batches, start):
+        sums, touched = np.zeros_like(weights), np.zeros(len(weights), bool)
+        branch = np.arange(GROUP)
+
+        def update(rows: np.ndarray, wanted: np.ndarray, own_bias: np.ndarray) -> None:
+            gradient = _softmax(rows, weights, own_bias)
+            gradient[np.arange(len(rows)), wanted] -= 1
+            every = rows.astype(np.int64).ravel(order="F")
+            for column in rows.T:
+                place = column.astype(np.int64)[:, None] * GROUP + branch
+                np.add.at(sums.reshape(-1), place.ravel(), gradient.ravel())
+            touched[every] = True
+            at = np.flatnonzero(touched)
+            total = sums.take(at, 0)
+            sums[at], touched[at] = 0, False
+            spread = squares.take(at) + np.einsum("ij,ij->i", total, total) / GROUP
+            squares[at] = spread
+            total *= (rate / np.sqrt(spread))[:, None]
+            weights[at] = weights.take(at, 0) - total
+            np.add.at(seen, every, np.float32(1))
+
+        for features, classes, leaves, keys in _batches(batches, start):
             of_group, of_class = _rows(features, classes)
-            group, place = classes // GROUP, np.arange(len(classes))
-            for rows, wanted, own_bias in ((of_group, group, bias[0]), (of_class, classes % GROUP, bias[1 + group])):
-                gradient = _softmax(rows, weights, own_bias)
-                gradient[place, wanted] -= 1
-                update(rows, gradient)
+            group = classes // GROUP
+            update(of_group, group, bias[0])
+            update(of_class, classes % GROUP, bias.take(1 + group, 0))
+            if trees:
+                _, rows, nodes, branches = trees.steps(leaves, keys)
+                update(rows + np.int32(classes_end), branches, trees.bias.take(nodes, 0))
         for block in range(len(weights) // BLOCK):
             rows = slice(block * BLOCK, (block + 1) * BLOCK)
             if seen[rows].any():
@@ -241,7 +395,7 @@ def _averaged(texts: DataFrame, model: Model, rate: float) -> np.ndarray:
             )
 
     messages = texts.mapInArrow(descend, "block int, message binary")
-    weights = model.weights.copy()
+    weights = _table(model)
     for row in messages.repartition("block").mapInArrow(add, "block int, message binary").collect():
         values = np.frombuffer(row.message, np.float64)
         table, seen = values[:-BLOCK].reshape(BLOCK, GROUP), values[-BLOCK:]
@@ -250,20 +404,25 @@ def _averaged(texts: DataFrame, model: Model, rate: float) -> np.ndarray:
     return weights
 
 
-def _batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    features, classes, held = [], [], 0
+def _table(model: Model) -> np.ndarray:
+    """A copy of all weights: of groups and classes, then of steps."""
+    return np.concatenate([model.weights, model.trees.weights]) if model.trees else model.weights.copy()
+
+
+def _batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[list[np.ndarray]]:
+    """Features, classes, leaves and keys of some thousand tokens at a time."""
+    parts, held = [], 0
     for batch in batches:
         for text in batch.column(0):
-            own_features, own_classes, _ = model.read(word_list(text.as_py()))
-            for part in slices(len(own_classes), BATCH):
-                features.append(own_features[part])
-                classes.append(own_classes[part])
+            features, classes, _, leaves, keys = model.read(word_list(text.as_py()))
+            for part in slices(len(classes), BATCH):
+                parts.append([x[part] for x in (features, classes, leaves, keys)])
                 held += part.stop - part.start
                 if held >= BATCH:
-                    yield np.concatenate(features), np.concatenate(classes)
-                    features, classes, held = [], [], 0
+                    yield [np.concatenate(x) for x in zip(*parts)]
+                    parts, held = [], 0
     if held:
-        yield np.concatenate(features), np.concatenate(classes)
+        yield [np.concatenate(x) for x in zip(*parts)]
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, text_column: str = "text") -> DataFrame:
@@ -283,20 +442,32 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text_column: str = "
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         log_counts, log_totals = np.log10(model.counts + ADDED), np.log10(model.totals)
-        bias = model.bias
+        bias, trees = model.bias, model.trees
+        log_cells = np.log10(trees.cell_totals) if trees else None
         for batch in batches:
             sizes, known, logs, scores = [], [], [], np.zeros(batch.num_rows)
             tokens, times, ends = [], [], [0]
             pending, held = [], 0
 
             def close() -> None:
-                features, classes, owners = (np.concatenate(x) for x in zip(*pending))
-                found = _log_probability(features, classes, model.weights, bias) / math.log(10) - log_totals[classes]
-                np.add.at(scores, owners, found)
+                features, classes, numbers, leaves, keys, owners = (np.concatenate(x) for x in zip(*pending))
+                found = _log_probability(features, classes, model.weights, bias)
+                if trees:
+                    found += _log_steps(trees, leaves, keys)
+                found /= math.log(10)
+                if trees:
+                    # The counts are in the sum already: of a frequent word its own, of a rare one its share of a cell.
+                    alone = classes <= END_CLASS
+                    found -= np.where(alone, log_totals[classes], np.where(numbers >= 0, log_counts[numbers], 0))
+                    rare = numbers < 0
+                    found[rare] -= log_cells[leaves[rare] - len(model.words)]
+                else:
+                    found -= log_totals[classes]
+                scores[:] += np.bincount(owners, found, len(scores))
 
             for at, value in enumerate(batch.column("_read")):
                 words = word_list(value.as_py())
-                features, classes, numbers = model.read(words)
+                features, classes, numbers, leaves, keys = model.read(words)
                 frequent = numbers[numbers >= 0]
                 rare = Counter(words[i] for i in np.flatnonzero(numbers < 0).tolist())
                 sizes.append(len(numbers))
@@ -306,7 +477,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text_column: str = "
                 times += rare.values()
                 ends.append(len(tokens))
                 for part in slices(len(numbers), BATCH):
-                    pending.append((features[part], classes[part], np.full(part.stop - part.start, at)))
+                    own = [x[part] for x in (features, classes, numbers, leaves, keys)]
+                    pending.append((*own, np.full(part.stop - part.start, at)))
                     held += part.stop - part.start
                     if held >= BATCH:
                         close()

@@ -80,3 +80,73 @@ def test_nothing_to_learn_and_nothing_to_score(spark):
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score(docs, model, counts).collect())
     model, counts = lm.fit(docs)
     assert lm.score(docs.limit(0), model, counts).count() == 0
+
+
+def chance_of_leaf(trees, leaf, keys):
+    """The way down to a leaf, one step after the other."""
+    chance = 1.0
+    for at in range(trees.first[leaf], trees.first[leaf + 1]):
+        rows = [(int(key) ^ (int(trees.nodes[at]) * 0x9E3779B1 % 2**32)) * 0x2C1B3C6D % 2**32 for key in keys]
+        size = len(trees.weights).bit_length() - 1
+        logits = trees.bias[trees.nodes[at]] + trees.weights[[row >> (32 - size) for row in rows]].sum(axis=0)
+        part = np.exp(np.clip(logits.astype(float), -60, 60))
+        chance *= part[trees.branches[at]] / part.sum()
+    return chance
+
+
+@pytest.mark.parametrize("head", [1 << 17, 60, 0])
+def test_context_predicts_words_inside_their_classes(spark, monkeypatch, head):
+    """Scores equal a walk down the trees; in every class the words' probabilities sum to one."""
+    monkeypatch.setattr(lm, "HEAD_WORDS", head)
+    docs = spark.createDataFrame(documents(), DOCS)
+    plain, counts = lm.fit(docs.where("doc_id % 3 <> 0"))
+    model, counts = lm.fit(docs.where("doc_id % 3 <> 0"), word_context=True)
+    numbers = {bytes(r.token): r.n for r in counts.collect()}
+    trees, bias = model.trees, model.bias
+    assert trees.weights.any()
+
+    def log_word(word, row, keys):
+        kind = int(model.classes[model.words[word]]) if word in model.words else lm.shared_class(word)
+        group, found = kind // lm.GROUP, 0.0
+        base = row * (lm.GROUPS + 1)
+        for at, wanted, own in ((base, group, bias[0]), (base + 1 + group, kind % lm.GROUP, bias[1 + group])):
+            logits = own + model.weights[at].sum(axis=0)
+            found += logits[wanted] - np.log(np.exp(logits).sum())
+        if word in model.words:
+            return found + math.log(chance_of_leaf(trees, model.words[word], keys)), kind
+        cell = int(lm.cells_of(np.array([kind]), np.array([lm.crc32(word)]), trees.cells)[0])
+        share = (numbers.get(word, 0) + 0.1) / trees.cell_totals[cell]
+        return found + math.log(share * chance_of_leaf(trees, len(model.words) + cell, keys)), kind
+
+    for r in lm.score(docs, model, counts).collect():
+        words = words_of(r.text)
+        if len(words) < 200:
+            hashes = np.array([lm.crc32(w) for w in words[:-1]], np.uint32)
+            rows = zip(words, lm.features_of(hashes).astype(int), lm.step_keys(hashes))
+            assert r.score == pytest.approx(sum(log_word(*x)[0] for x in rows) / math.log(10), rel=1e-4)
+
+    hashes = np.array([lm.crc32(b"the")], np.uint32)
+    features, keys = lm.features_of(hashes).astype(int)[1], lm.step_keys(hashes)[1]
+    for i in range(lm.SHARED):
+        own = [n for n in range(len(model.words)) if model.classes[n] == lm.SINGLES + 1 + i]
+        own += range(len(model.words) + i * trees.cells, len(model.words) + (i + 1) * trees.cells)
+        assert sum(chance_of_leaf(trees, leaf, keys) for leaf in own) == pytest.approx(1, abs=1e-4)
+    seen = [log_word(word, features, keys)[0] for word in numbers]
+    assert sum(map(math.exp, seen)) < 1 + 1e-4
+    rare = np.array([word not in model.words for word in numbers])
+    assert rare.any() == (head < 1 << 17) and plain.trees is None
+
+
+def test_two_words_of_one_class_are_told_apart_by_the_word_before(spark):
+    """Both words are as frequent and end alike, so only context inside the class can tell them apart."""
+    filler = " ".join(f"{a}{b}" for a in "abcdefg" for b in "uvwxyz")
+    rows = [(i, f"{filler} {'red likeness' if i % 2 else 'blue kindness'} {filler}") for i in range(300)]
+    tests = [(1000, "red likeness"), (1001, "red kindness")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gaps = {}
+    for word_context in (False, True):
+        model, counts = lm.fit(docs, word_context=word_context)
+        found = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(tests, docs.schema), model, counts).collect()}
+        gaps[word_context] = found[1000] - found[1001]
+    # What comes after the word is as likely in both.
+    assert gaps[True] > gaps[False] + 0.3
