@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Rows that are worked on at once, if groups end there.
-ROWS = 200_000
+#: Rows that are worked on at once, if groups end there. They bound what a task of frames holds in Python.
+ROWS = 50_000
 Summary = dict[str, np.ndarray]
 
 

@@ -213,3 +213,13 @@ def test_a_far_value_leaves_no_trace():
     table = {"n": np.ones(n, np.int64), "mean": value, "dev": np.zeros(n), "min": value, "max": value}
     found = frames.frame_summaries(table, np.zeros(n, np.int64), np.arange(n), 20)
     assert set(frames.statistic(found, "std").to_pylist()[121:]) == {0.0}
+
+
+def test_a_task_of_frames_holds_few_rows_at_once():
+    """Groups of some rows are worked on in blocks of bounded size, however many rows a task reads."""
+    keys = np.repeat(np.arange(6_000), 50)
+    batches = pa.Table.from_arrays([pa.array(keys)], names=["machine"]).to_batches(max_chunksize=10_000)
+    tables = [table for table, _ in frames.whole_groups(iter(batches), ["machine"])]
+    assert sum(map(len, tables)) == len(keys) and max(map(len, tables)) <= 60_000
+    starts = [table.column(0)[0].as_py() for table in tables]
+    assert len(set(starts)) == len(tables) and all(len(table) % 50 == 0 for table in tables)
