@@ -177,7 +177,8 @@ def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) ->
 
     A numeric column without any value cannot be filled; it is left out with a warning.
 
-    Give it a written table: encoder, fill and trees each read the rows again. ``training``
+    Give it a written table: encoder, fill and trees each read the rows again. The held-out rows are
+    scored once, and their scores written, as the metrics read them several times. ``training``
     is a condition that replaces the split by classes, such as a time before a cut.
     """
     wanted = [spec.row_id, spec.label, *spec.numeric, *spec.categorical]
@@ -192,7 +193,10 @@ def train(df: DataFrame, spec: TrainingSpec, training: Column | None = None) ->
         raise ValueError(f"{spec.label} needs rows of both classes")
     weighted = training.withColumn("__weight", F.when(F.col(spec.label) == 1.0, float(weight)).otherwise(1.0))
     model = fit(weighted, spec)
-    scored = positive_probability(model.transform(held_out), "__score")
+    scores = positive_probability(model.transform(held_out), "__score").select(spec.label, "__score", "prediction")
+    path = scratch_dir(df.sparkSession, "held-out-scores")
+    scores.write.parquet(path)
+    scored = df.sparkSession.read.schema(scores.schema).parquet(path)
     metrics = binary_metrics(scored, spec.label, "__score").first().asDict()
     for row in class_report(scored, spec.label, "prediction").collect():
         metrics |= {f"{name}_class_{int(row['class'])}": float(row[name]) for name in ("precision", "recall", "f1_score", "support")}

@@ -202,3 +202,18 @@ def test_drop_and_label(spark):
     assert [r.y for r in learning.labelled(df, "y").collect()] == [1.0]
     with pytest.raises(ValueError):
         learning.train(df.withColumn("x", F.lit(1.0)), learning.TrainingSpec(("x",), label="y"))
+
+
+def test_held_out_rows_are_scored_once(spark, monkeypatch):
+    """Metrics read written scores; they do not run the model again."""
+    read = []
+    for name in ("binary_metrics", "class_report"):
+        measure = getattr(learning, name)
+        monkeypatch.setattr(learning, name, lambda df, *more, measure=measure: read.append(df) or measure(df, *more))
+    rows = [(i, float(i % 7), int(i % 7 > 3)) for i in range(200)]
+    spec = learning.TrainingSpec(["x"], (), label="y", row_id="id", trees=2, depth=2)
+    learning.train(spark.createDataFrame(rows, "id int, x double, y int"), spec)
+    assert len(read) == 2
+    for df in read:
+        assert df.columns == ["y", "__score", "prediction"]
+        assert all("held-out-scores" in file for file in df.inputFiles()) and df.inputFiles()
