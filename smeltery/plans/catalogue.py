@@ -889,15 +889,20 @@ def stream_lag_by_batch(spark, d):
 
 @query
 def stream_ordered_lag(spark, d):
-    """Readings with odd ids come a quarter of the time line later than those with even ids."""
+    """Readings with odd ids come a quarter of the time line later than those with even ids.
+
+    Each part arrives as one file per core, so that no task writes or reads a part alone. A batch may
+    take files of two parts: no reading is late by then, as the delay is two quarters.
+    """
     folder, spec = scratch_dir(spark, "ordered-lags"), sensor_spec({})
     events = table(spark, d, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     quarter = (last - first) / 4 + datetime.timedelta(seconds=1)
     number = F.floor((F.unix_timestamp("ts") - F.unix_timestamp(F.lit(first))) / quarter.total_seconds())
+    files = spark.sparkContext.defaultParallelism
     for k in range(5):
-        events.where(number + F.col("event_id") % 2 == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    rows = as_readings(readers.parquet_stream(spark, f"{folder}/in", events.schema, max_files_per_trigger=1))
+        events.where(number + F.col("event_id") % 2 == k).repartition(files).write.mode("append").parquet(f"{folder}/in")
+    rows = as_readings(readers.parquet_stream(spark, f"{folder}/in", events.schema, max_files_per_trigger=files))
     delay = f"{int(2 * quarter.total_seconds())} seconds"
     orderedlags.start_ordered_lags(rows, spec, f"{folder}/out", f"{folder}/checkpoint", delay, every=None).awaitTermination()
     lags = [f"{s}_lag{n}" for s in SENSORS for n in spec.lags]
