@@ -40,8 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that each source's words come near its target."""
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    return mixing.take(mixing.mix(sized, size_column="_words"), docs.columns)
+    return mixing.drawn(docs, word_count(F.col("text")))
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm.common import stored
@@ -191,18 +191,9 @@ def mix(
         F.col("_row").getField(source_column).cast("string").alias("_source"),
         F.coalesce(F.col("_row").getField(size_column), F.lit(0)).cast("long").alias("_size"),
     )
-    words = units.select(F.col("_source").alias("_of"), (F.col("_size") * F.col("_rows")).alias("_words"))
-    targets = stored(source_targets(words, "_of", "_words", weights, share, most), "mix-targets")
-    expected = F.col("_rows") * F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    units = units.join(targets, F.col("_source").eqNullSafe(F.col("_of"))).select(
-        "_key", "_check", "_source", "_size", "_rows", "source_size", "target",
-        F.floor(expected + NEAR).alias("_sure"), F.greatest(expected - F.floor(expected + NEAR), F.lit(0.0)).alias("_chance"),
-    )
-    units = stored(units, "mix-units")
-    more = _decide(units.select("_key", "_check", "_source", "_size", "_chance"), seed)
     parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("_rows") - 1) / PART)))
-    taken = units.join(more, ["_key", "_check"]).select(
-        "_key", "_check", "source_size", "target", (F.col("_sure") + F.col("_more")).alias("_taken"), parts.alias("_part")
+    taken = _taken(units, weights, share, most, seed).select(
+        "_key", "_check", "source_size", "target", "_taken", parts.alias("_part")
     )
     dealt = same.join(taken, ["_key", "_check"])
     first = F.col("_part") * PART
@@ -214,6 +205,59 @@ def mix(
     )
 
 
+def _taken(units: DataFrame, weights, share: float, most: float, seed: int) -> DataFrame:
+    """``units`` of equal rows with ``source_size``, ``target`` and how many rows the mix takes, ``_taken``."""
+    words = units.select(F.col("_source").alias("_of"), (F.col("_size") * F.col("_rows")).alias("_words"))
+    targets = stored(source_targets(words, "_of", "_words", weights, share, most), "mix-targets")
+    expected = F.col("_rows") * F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    units = units.join(targets, F.col("_source").eqNullSafe(F.col("_of"))).select(
+        "_key", "_check", "_source", "_size", "_rows", "source_size", "target",
+        F.floor(expected + NEAR).alias("_sure"), F.greatest(expected - F.floor(expected + NEAR), F.lit(0.0)).alias("_chance"),
+    )
+    units = stored(units, "mix-units")
+    more = _decide(units.select("_key", "_check", "_source", "_size", "_chance"), seed)
+    return units.join(more, ["_key", "_check"]).withColumn("_taken", F.col("_sure") + F.col("_more"))
+
+
+def drawn(
+    docs: DataFrame,
+    size: Column,
+    source_column: str = "source",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST,
+    seed: int = 7,
+) -> DataFrame:
+    """The documents of the mix of ``docs`` whose sizes are ``size``, every row as often as it is taken.
+
+    The same as :func:`mix` followed by :func:`take`, but whole rows move once, to meet what was
+    decided on their hashes, and are not stored in between.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    hashes = [F.xxhash64(row).alias("_a"), F.xxhash64(F.lit(seed), row).alias("_b")]
+    sized = docs.select(*hashes, row.alias("_row"), F.col(f"`{source_column}`").cast("string").alias("_source"), size.alias("_words"))
+    whole = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns], "_words")
+    narrow = sized.select(
+        F.xxhash64(whole).alias("_key"),
+        F.xxhash64(F.lit(seed), whole).alias("_check"),
+        "_a",
+        "_b",
+        "_source",
+        F.coalesce("_words", F.lit(0)).cast("long").alias("_size"),
+    )
+    same = narrow.groupBy(*narrow.columns).agg(F.count("*").alias("_rows"))
+    same = stored(same, "mix-rows")
+    taken = _taken(same.drop("_a", "_b"), weights, share, most, seed).where("_taken > 0").select("_key", "_check", "_taken")
+    taken = same.select("_key", "_check", "_a", "_b").join(taken, ["_key", "_check"]).select("_a", "_b", "_taken")
+    texts = docs.select(*hashes, row.alias("_row")).groupBy("_a", "_b").agg(F.first("_row").alias("_row"))
+    # No sequence is longer than PART, however often a row is taken.
+    parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / PART))).alias("_part")
+    often = texts.join(taken, ["_a", "_b"]).select("_row", "_taken", parts)
+    times = F.least(F.col("_taken") - F.col("_part") * PART, F.lit(PART))
+    again = often.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return again.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+
+
 def take(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The documents of the mix: every row as often as it has copies."""
     return mixed.where("copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)

@@ -11,9 +11,9 @@ bits, and a shard returns a spanning forest of its links, never its pairs.
 
 from __future__ import annotations
 
-from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -27,8 +27,11 @@ from smeltery.llm.common import connected, popcount, slices, stored, with_column
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 #: For the wider search of candidates that are then compared by their shingles: of each wide print.
 WIDE_SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-#: Distinct fingerprints a leaf should hold before overlap, and the most one task compares at once.
-LEAF, UNIT = 512, 4096
+#: Parts that the bits of a wide segment are dealt to, and bits of a shard's number that hold its value.
+WIDE_PARTS, WIDE_BITS = 4, 16
+#: Distinct fingerprints a leaf should hold before overlap, and the most one task compares at once:
+#: fingerprints or shingles, and wide prints alone.
+LEAF, UNIT, WIDE_UNIT = 512, 4096, 1 << 15
 #: Most fingerprints the driver sees, to place vantage points; and the share of all it may see.
 SAMPLE, SAMPLE_SHARE = 1 << 17, 0.25
 HASHES_AT_ONCE = 1 << 15
@@ -160,15 +163,28 @@ def _spanning(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return prints[left], prints[right]
 
 
-def _units(
-    prints: DataFrame, segments: tuple[tuple[int, int], ...], within: int, columns: tuple[str, ...] = ("fp",)
-) -> tuple[DataFrame, list[int]]:
-    """The rows of ``prints`` with ``shard, unit``, and the first shard of each tree.
+def _in_parts(routed: DataFrame, held: DataFrame, names: list[str], most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows ``shard, *names`` with their ``unit``; and of each shard the ``parts`` it was cut into.
+
+    Shards that hold more than ``most`` rows are cut into parts, and every two parts meet in one unit.
+    """
+    cut = F.ceil(F.col("held") / most).cast("int").alias("parts")
+    parts = stored(held.select("shard", "held", cut), "simhash-parts")
+    part = F.pmod(F.xxhash64(*names), F.col("parts")).cast("int")
+    unit = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda other: F.least(other, F.col("part")) * F.col("parts") + F.greatest(other, F.col("part")),
+    )
+    work = routed.join(F.broadcast(parts.drop("held")), "shard").withColumn("part", part)
+    return work.select("shard", *names, F.explode(unit).alias("unit")), parts
 
-    There is a tree for each segment of each of the ``columns``. Two rows that differ in ``within``
-    bits at most in a segment meet in at least one unit of its tree. Shards that hold more than
-    ``UNIT`` rows (equal or close segments) are cut into parts, and every two parts meet in one
-    unit; units are dealt to tasks one by one.
+
+def _units(prints: DataFrame, segments: tuple[tuple[int, int], ...], within: int) -> DataFrame:
+    """The rows ``fp`` of ``prints`` with ``shard, unit``, from a tree for each of the segments.
+
+    Two rows that differ in ``within`` bits at most in a segment meet in at least one unit of its
+    tree. Shards that hold more than ``UNIT`` rows (equal or close segments) are cut; units are
+    dealt to tasks one by one.
 
     Rows are routed twice, once to count the shards and once to send them, because routing is
     cheaper than keeping what it gives. The counts are broadcast: a tree has SAMPLE / 8 shards at
@@ -178,43 +194,65 @@ def _units(
     n = prints.count()
     share = min(SAMPLE_SHARE, SAMPLE / max(n, 1))
     scale = 1 << 20
-    names = prints.columns
-    seen = prints.where(F.pmod(F.xxhash64(*names), F.lit(scale)) < int(share * scale)).select(*columns).toPandas()
+    seen = prints.where(F.pmod(F.xxhash64("fp"), F.lit(scale)) < int(share * scale)).select("fp").toPandas()
     leaf = max(8, int(LEAF * share))
-    trees, firsts = [], [0]
-    for column in columns:
-        sample = seen[column].to_numpy(np.int64).view(np.uint64)
-        for shift, width in segments:
-            trees.append((column, grow_tree(sample, shift, width, leaf, firsts[-1])))
-            firsts.append(int(trees[-1][1].shard.max()) + 1)
+    trees, shards = [], 0
+    sample = seen["fp"].to_numpy(np.int64).view(np.uint64)
+    for shift, width in segments:
+        trees.append(grow_tree(sample, shift, width, leaf, shards))
+        shards = int(trees[-1].shard.max()) + 1
     shared = spark.sparkContext.broadcast(trees)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for column, tree in shared.value:
-                values = batch.column(column).to_numpy(zero_copy_only=False)
-                rows, shard = tree.route(values.view(np.uint64), within)
-                yield with_columns_of(batch.take(pa.array(rows)), names, shard=pa.array(shard))
+            values = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            for tree in shared.value:
+                rows, shard = tree.route(values, within)
+                yield with_columns_of(batch.take(pa.array(rows)), ["fp"], shard=pa.array(shard))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(firsts[-1], np.int64)
+        held = np.zeros(shards, np.int64)
         for batch in batches:
-            for column, tree in shared.value:
-                values = batch.column(column).to_numpy(zero_copy_only=False)
-                held += np.bincount(tree.route(values.view(np.uint64), within)[1], minlength=len(held))
+            values = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            for tree in shared.value:
+                held += np.bincount(tree.route(values, within)[1], minlength=len(held))
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["shard", "held"])
 
-    routed = prints.mapInArrow(route, ", ".join([*(f"{name} long" for name in names), "shard long"]))
+    routed = prints.mapInArrow(route, "fp long, shard long")
     held = prints.mapInArrow(counted, "shard long, held long").groupBy("shard").agg(F.sum("held").alias("held"))
-    parts = stored(held.select("shard", F.ceil(F.col("held") / UNIT).cast("int").alias("parts")), "simhash-parts")
-    part = F.pmod(F.xxhash64(*names), F.col("parts")).cast("int")
-    unit = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda other: F.least(other, F.col("part")) * F.col("parts") + F.greatest(other, F.col("part")),
-    )
-    work = routed.join(F.broadcast(parts), "shard").withColumn("part", part)
-    return work.select("shard", *names, F.explode(unit).alias("unit")).repartition("shard", "unit"), firsts
+    return _in_parts(routed, held, ["fp"], UNIT)[0].repartition("shard", "unit")
+
+
+def segment_masks(width: int, within: int) -> list[int]:
+    """Masks of a segment's bits: what differs in ``within`` bits at most lies inside one of them."""
+    parts = [sum(1 << bit for bit in range(first, width, WIDE_PARTS)) for first in range(WIDE_PARTS)]
+    return [sum(some) for some in combinations(parts, min(within, WIDE_PARTS))]
+
+
+def _close(prints: DataFrame, within: int) -> DataFrame:
+    """The rows ``p, q, root`` of ``prints`` once for each shard that they belong to.
+
+    A shard holds the rows that agree in a wide segment but for the bits of one of its masks, so two
+    rows that differ in ``within`` bits at most in a segment meet in one of its shards. A row has
+    one shard per segment and mask, 40 for one bit, however many rows there are.
+    """
+    shards = []
+    for column in ("p", "q"):
+        for shift, width in WIDE_SEGMENTS:
+            for mask in segment_masks(width, within):
+                kept = ((1 << width) - 1) & ~mask
+                value = F.shiftrightunsigned(column, shift).bitwiseAND(F.lit(kept).cast("long"))
+                shards.append(value.bitwiseOR(F.lit(len(shards) << WIDE_BITS).cast("long")))
+    return prints.select("p", "q", "root", F.explode(F.array(*shards)).alias("shard"))
+
+
+def _dealt(routed: DataFrame, most: int) -> DataFrame:
+    """The rows ``p, q, root, shard`` with ``unit``, in ``lot`` of about ``most`` rows: a lot has whole units."""
+    held = routed.groupBy("shard").agg(F.count("*").alias("held"))
+    work, parts = _in_parts(routed, held, ["p", "q", "root"], most)
+    lots = -(-(parts.agg(F.sum(F.col("held") * F.col("parts"))).first()[0] or 1) // most)
+    return work.withColumn("lot", F.pmod(F.xxhash64("shard", "unit"), F.lit(lots)))
 
 
 def _compared(units: DataFrame, compare) -> DataFrame:
@@ -231,7 +269,7 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
     Every link between two different fingerprints is found: the links returned connect the same
     components as all pairs would.
     """
-    units, _ = _units(prints.select("fp"), SEGMENTS, radius // len(SEGMENTS))
+    units = _units(prints.select("fp"), SEGMENTS, radius // len(SEGMENTS))
     return _compared(units, lambda values: _spanning(values, radius))
 
 
@@ -250,7 +288,7 @@ def candidates(prints: DataFrame, beyond: int, radius: int) -> DataFrame:
         at = np.concatenate(found)
         return values[at[:, 0]], values[at[:, 1]]
 
-    units, _ = _units(prints.select("fp"), WIDE_SEGMENTS, radius // len(WIDE_SEGMENTS))
+    units = _units(prints.select("fp"), WIDE_SEGMENTS, radius // len(WIDE_SEGMENTS))
     pairs = _compared(units, between)
     return pairs.where("a < b").distinct()
 
@@ -278,46 +316,74 @@ def wide_prints(hashes: np.ndarray) -> tuple[int, int]:
     return prints[0], prints[1]
 
 
-def _owned(p: np.ndarray, q: np.ndarray, rows: slice, tree: int, similar: Similar) -> np.ndarray:
-    """Which pairs of ``rows`` and all rows are compared in this tree, as a matrix.
+def _owned(p: np.ndarray, q: np.ndarray, rows: slice, shard: int, similar: Similar) -> np.ndarray:
+    """Which pairs of ``rows`` and all rows are compared in this shard, as a matrix.
 
-    Those within reach, where this tree's segment is the first that is close enough: two rows
-    meet in the tree of every such segment, and one comparison will do.
+    Those within reach, where this shard's segment is the first that is close enough and its mask
+    the first that holds what differs there: two rows meet in every such shard, and one comparison
+    will do.
     """
     far = popcount(p[rows, None] ^ p[None, :])
     far += popcount(q[rows, None] ^ q[None, :])
     near = far <= similar.reach
     left, right = np.nonzero(near)
-    first = np.full(len(left), -1)
-    for number in range(tree, -1, -1):
+    if not len(left):
+        return near
+    masks = len(segment_masks(WIDE_SEGMENTS[0][1], similar.within))
+    segment, mask = divmod(shard >> WIDE_BITS, masks)
+    owned = np.ones(len(left), bool)
+    for number in range(segment + 1):
         values, (shift, width) = (p, q)[number // len(WIDE_SEGMENTS)], WIDE_SEGMENTS[number % len(WIDE_SEGMENTS)]
         differ = (values[left + rows.start] ^ values[right]) >> np.uint64(shift) & np.uint64((1 << width) - 1)
-        first[popcount(differ) <= similar.within] = number
-    near[left, right] = first == tree
+        if number < segment:
+            owned &= popcount(differ) > similar.within
+        else:
+            for place, held in enumerate(segment_masks(width, similar.within)[: mask + 1]):
+                owned &= (differ & ~np.uint64(held) == 0) == (place == mask)
+            owned &= popcount(differ) <= similar.within
+    near[left, right] = owned
     return near
 
 
-def _tree_of(group: pd.DataFrame, firsts: list[int]) -> int:
-    return bisect(firsts, int(group["shard"].iloc[0])) - 1
+def _runs(shard: np.ndarray, unit: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Start and end of each unit in a sorted lot."""
+    first = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (unit[1:] != unit[:-1])]))
+    return zip(first.tolist(), [*first[1:].tolist(), len(shard)])
 
 
-def _hopeful(group: pd.DataFrame, similar: Similar, firsts: list[int]) -> pd.DataFrame:
-    """The rows of a unit that have a row of another component to be compared with."""
-    group = group.drop_duplicates(["p", "q", "root"], ignore_index=True)
-    p, q = (group[c].to_numpy(np.int64).view(np.uint64) for c in ("p", "q"))
-    root = group["root"].to_numpy(np.int64)
-    hopeful = np.zeros(len(group), bool)
-    for rows in slices(len(group), 256):
-        near = _owned(p, q, rows, _tree_of(group, firsts), similar)
-        hopeful[rows] = (near & (root[rows, None] != root[None, :])).any(axis=1)
-    return group[hopeful]
+def _rows_at_once(n: int) -> int:
+    """So many rows that their matrix against all has some million entries."""
+    return max(16, min(256, (1 << 21) // n))
+
+
+def _hopeful(lot: pd.DataFrame, similar: Similar) -> pd.DataFrame:
+    """The rows of a lot that have a row of another component to be compared with."""
+    lot = lot.sort_values(["shard", "unit"], kind="stable", ignore_index=True)
+    every_p, every_q = (lot[c].to_numpy(np.int64).view(np.uint64) for c in ("p", "q"))
+    every_root, shard, unit = (lot[c].to_numpy(np.int64) for c in ("root", "shard", "unit"))
+    hopeful = np.zeros(len(lot), bool)
+    for start, end in _runs(shard, unit):
+        p, q, root = every_p[start:end], every_q[start:end], every_root[start:end]
+        for rows in slices(end - start, _rows_at_once(end - start)) if end - start > 1 else ():
+            near = _owned(p, q, rows, int(shard[start]), similar)
+            left, right = np.nonzero(near)
+            hopeful[start + rows.start + left[root[left + rows.start] != root[right]]] = True
+    return lot.loc[hopeful, ["p", "q", "root", "shard"]]
+
+
+def _alike(lot: pd.DataFrame, similar: Similar) -> pd.DataFrame:
+    """Spanning forests of the roots in each unit of a lot whose texts share enough shingles."""
+    lot = lot.sort_values(["shard", "unit"], kind="stable", ignore_index=True)
+    runs = _runs(lot["shard"].to_numpy(), lot["unit"].to_numpy())
+    return pd.concat([_alike_in_unit(lot.iloc[start:end], similar) for start, end in runs], ignore_index=True)
 
 
-def _alike(group: pd.DataFrame, similar: Similar, firsts: list[int]) -> pd.DataFrame:
+def _alike_in_unit(group: pd.DataFrame, similar: Similar) -> pd.DataFrame:
     """A spanning forest of the roots in a unit whose texts share enough shingles.
 
     Every pair to be compared is, unless earlier links have joined it.
     """
+    shard = int(group["shard"].iloc[0])
     p, q = (group[c].to_numpy(np.int64).view(np.uint64) for c in ("p", "q"))
     root, component = np.unique(group["root"].to_numpy(np.int64), return_inverse=True)
     own = component.copy()
@@ -328,7 +394,7 @@ def _alike(group: pd.DataFrame, similar: Similar, firsts: list[int]) -> pd.DataF
     mark = np.zeros(len(numbers), bool)
     left, right = [], []
     for rows in slices(len(group), 256):
-        near = _owned(p, q, rows, _tree_of(group, firsts), similar)
+        near = _owned(p, q, rows, shard, similar)
         for i in range(rows.start, rows.stop):
             others = np.flatnonzero(near[i - rows.start, i + 1 :]) + i + 1
             least, most = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
@@ -383,9 +449,11 @@ def similar_links(
             sets = [shingle_hashes(x.as_py(), similar.shingle).view(np.int64) for x in batch.column("text")]
             yield with_columns_of(batch, ["text_key"], hashes=pa.array(sets, pa.list_(pa.int64())))
 
-    units, firsts = _units(texts.select("p", "q", "root").distinct(), WIDE_SEGMENTS, similar.within, ("p", "q"))
-    hopeful = units.groupBy("shard", "unit").applyInPandas(lambda group: _hopeful(group, similar, firsts), units.schema)
-    hopeful = stored(hopeful, "simhash-candidates")
+    units = _dealt(_close(texts.select("p", "q", "root").distinct(), similar.within), WIDE_UNIT)
+    members = "p long, q long, root long, shard long"
+    hopeful = units.repartition("lot").groupBy("lot").applyInPandas(lambda lot: _hopeful(lot, similar), members)
+    # A row whose shard was cut can be hopeful in several units.
+    hopeful = stored(hopeful.distinct(), "simhash-candidates")
     wanted = texts.join(hopeful.select("p", "q", "root").distinct(), ["p", "q", "root"], "left_semi")
     wanted = stored(wanted.select("text_key", "p", "q", "root"), "simhash-wanted")
     whole = docs.withColumns({"text_key": F.xxhash64(text), "text": text})
@@ -396,8 +464,8 @@ def similar_links(
         sets = chosen_rows(whole.select("id", "text_key", "text"), carrying).select("text_key", "text")
     sets = sets.mapInArrow(hashed, "text_key long, hashes array<long>")
     sets = stored(wanted.join(sets, "text_key").select("p", "q", "root", "hashes"), "simhash-shingles")
-    members = hopeful.join(sets, ["p", "q", "root"]).repartition("shard", "unit")
-    return members.groupBy("shard", "unit").applyInPandas(lambda group: _alike(group, similar, firsts), "a long, b long")
+    members = _dealt(hopeful, UNIT).join(sets, ["p", "q", "root"]).repartition("lot")
+    return members.groupBy("lot").applyInPandas(lambda lot: _alike(lot, similar), "a long, b long")
 
 
 def _carriers(marked: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from corpus import clashing, documents
+from corpus import DOCS, clashing, documents
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from smeltery.llm import mixing
 from smeltery.llm.common import word_count
 
@@ -108,3 +109,28 @@ def test_word_count(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     found = [r.n for r in rows.select("i", word_count(F.col("t")).alias("n")).orderBy("i").collect()]
     assert found == [len((t or "").encode().split()) for t in texts]
+
+
+def test_drawn_is_take_of_mix_and_stores_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART", 4)
+    seen = []
+    stored = mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, purpose: seen.append(df) or stored(df, purpose))
+    docs = spark.createDataFrame(documents(), DOCS)
+    often = docs.where("doc_id = 7").withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(9)))).drop("_n")
+    docs = docs.union(docs.where("doc_id < 5")).union(often)
+    drawn = mixing.drawn(docs, word_count(F.col("text")))
+    assert seen and not any({"_row", "text"} & set(df.columns) for df in seen)
+    taken = mixing.take(mixing.mix(docs.withColumn("_words", word_count(F.col("text"))), size_column="_words"), docs.columns)
+    assert drawn.columns == docs.columns
+    named = clashing(spark)
+    assert mixing.drawn(named, word_count(F.col("text"))).columns == named.columns
+    assert Counter(map(str, drawn.collect())) == Counter(map(str, taken.collect()))
+
+
+def test_the_pipeline_stores_no_texts_while_mixing(spark, monkeypatch):
+    seen = []
+    stored = mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, purpose: seen.append(df.schema.simpleString()) or stored(df, purpose))
+    assert corpus_pipeline.source_mix(spark, spark.createDataFrame(documents(), DOCS), "").count()
+    assert seen and not any("text" in schema for schema in seen)

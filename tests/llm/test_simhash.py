@@ -230,3 +230,25 @@ def test_keep_one_keeps_a_row_of_each_component_when_ids_repeat(spark):
     docs = spark.createDataFrame([(i, text, "en", "s", 1) for i, text in rows], DOCS)
     kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
     assert kept == sorted([(1, a), (1, b), (3, c), (5, d)])
+
+
+def test_wide_prints_have_as_many_shards_however_many_there_are(spark):
+    """40 shards a row at both sizes; whoever is one bit apart in a segment meets, in one shard that owns the pair."""
+    rng = np.random.default_rng(12)
+    for n in (300, 6000):
+        values = rng.integers(-(2**63), 2**63, (n, 2))
+        values[1], values[3] = values[0], values[2] ^ (np.int64(1) << np.arange(2) * 17)
+        prints = spark.createDataFrame([(int(p), int(q), i) for i, (p, q) in enumerate(values)], "p long, q long, root long")
+        rows = simhash._close(prints, 1).toPandas()
+        assert len(rows) == 40 * n and rows["shard"].nunique() <= 10 * (2**9 + 3 * 2**10)
+    for pair in ((0, 1), (2, 3)):
+        p, q = (values[list(pair), i].view(np.uint64) for i in range(2))
+        shards = [set(rows.loc[rows["root"] == i, "shard"]) for i in pair]
+        owned = [s for s in shards[0] & shards[1] if simhash._owned(p, q, slice(0, 2), int(s), simhash.Similar())[0, 1]]
+        assert len(owned) == 1
+
+
+@pytest.mark.parametrize("unit", [16, 64])
+def test_similar_links_join_what_all_pairs_join_in_cut_shards(spark, monkeypatch, unit):
+    monkeypatch.setattr(simhash, "WIDE_UNIT", unit)
+    test_similar_links_join_what_all_pairs_join(spark, monkeypatch)
