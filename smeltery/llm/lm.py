@@ -23,11 +23,11 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +44,8 @@ HASH_BITS, BLOCK, HEAD_WORDS, HEAD_BYTES = 14, 128, 1 << 17, 64
 #: The end of the text, as a token; no word is empty.
 END = b""
 BATCH, COUNTER_KEYS = 8192, 1 << 18
+#: Bytes of text that are cut into words and looked up at once; one text may be longer.
+READ_BYTES = 1 << 22
 #: Bits of the least and largest number of cells of rare words per shared class, and of rows for steps
 #: down the trees of words; between them, both grow with the vocabulary.
 CELL_BITS, STEP_BITS = (2, 10), (12, 17)
@@ -53,11 +55,24 @@ _FEATURES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 LARGEST = np.float32(60)
 
 
-def features_of(hashes: np.ndarray) -> np.ndarray:
-    """Rows of the weight table for every token and the end: the word before, the one before
-    that (skipping a word), and both together. Products wrap at 32 bits."""
+def before(hashes: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The word before and the one before that, for every token and the end of one text.
+
+    With ``starts``, of several texts one after the other, their ends included in ``hashes``.
+    """
     padded = np.concatenate([np.zeros(2, np.uint32), hashes.astype(np.uint32)])
     first, second = padded[1:], padded[:-1]
+    if starts is not None:
+        first, second = first[:-1], second[:-1].copy()
+        first[starts] = second[starts] = 0
+        second[starts[starts + 1 < len(second)] + 1] = 0
+    return first, second
+
+
+def features_of(hashes: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Rows of the weight table for every token and the end: the word before, the one before
+    that (skipping a word), and both together. Products wrap at 32 bits."""
+    first, second = before(hashes, starts)
     mixed = np.empty((len(first), 3), np.uint32)
     for i, key in enumerate((first, second, first * np.uint32(31) + second)):
         column = (key + np.uint32(1)) * _FEATURES[i]
@@ -162,20 +177,62 @@ class Model:
         by_group = self.totals.reshape(GROUPS, GROUP)
         return np.log(np.concatenate([[by_group.sum(axis=1)], by_group])).astype(np.float32)
 
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Features, class, number (-1: not a frequent word), leaf and keys of steps of each token, the end included."""
-        numbers = np.fromiter(map(self.words.get, words, repeat(-1)), np.int32, len(words))
+    def read(self, texts: pa.Array) -> Tokens:
+        """The tokens of texts one after the other, each with its end."""
+        words, starts = words_of(texts)
+        is_word = np.ones(len(words) + len(texts), bool)
+        is_word[starts[1:] - 1] = False
+        numbers = np.full(len(is_word), self.words[END], np.int32)
+        found = pc.index_in(words, value_set=pa.array(list(self.words), pa.binary()))
+        numbers[is_word] = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
         hashes, classes = self.hashes[numbers], self.classes[numbers]
         rare = np.flatnonzero(numbers < 0)
-        unseen = [words[i] for i in rare.tolist()]
+        unseen = words.filter(pc.is_null(found)).to_pylist()
         hashes[rare] = np.fromiter(map(crc32, unseen), np.uint32, len(rare))
         classes[rare] = np.fromiter(map(shared_class, unseen), np.int32, len(rare))
         leaves = numbers.copy()
         if self.trees:
             leaves[rare] = len(self.words) + cells_of(classes[rare], hashes[rare], self.trees.cells)
-        end = np.int32(self.words[END])
-        features, classes = features_of(hashes).astype(np.int32), np.append(classes, np.int32(END_CLASS))
-        return features, classes, np.append(numbers, end), np.append(leaves, end), step_keys(hashes)
+        own = [features_of(hashes, starts[:-1]).astype(np.int32), classes, numbers, leaves, step_keys(hashes, starts[:-1])]
+        return Tokens(*own, starts, unseen)
+
+
+@dataclass
+class Tokens:
+    """Features, class, number (-1: not a frequent word), leaf and keys of steps of each token of some texts.
+
+    Text ``i`` has the tokens ``starts[i]`` to ``starts[i + 1]``; ``unseen`` are the words without a number.
+    """
+
+    features: np.ndarray
+    classes: np.ndarray
+    numbers: np.ndarray
+    leaves: np.ndarray
+    keys: np.ndarray
+    starts: np.ndarray
+    unseen: list[bytes]
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of :func:`word_list` of all texts, and where each text starts if it has one end more.
+
+    The last of the starts is where the next text would.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    pieces, owner = split.flatten(), pc.list_parent_indices(split).to_numpy()
+    is_word = pc.greater(pc.binary_length(pieces), 0)
+    words = pieces.filter(is_word).cast(pa.binary())
+    sizes = np.bincount(owner[is_word.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    return words, np.concatenate([[0], np.cumsum(sizes + 1)])
+
+
+def chunks_of(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about ``READ_BYTES``."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts.cast(pa.string())), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    borders = np.flatnonzero(np.diff(ends // READ_BYTES)) + 1
+    for start, end in zip([0, *borders.tolist()], [*borders.tolist(), len(texts)]):
+        if end > start:
+            yield texts[start:end]
 
 
 def shared_class(word: bytes) -> int:
@@ -187,10 +244,9 @@ def cells_of(classes: np.ndarray, hashes: np.ndarray, cells: int) -> np.ndarray:
     return (classes - SINGLES - 1) * cells + (hashes.astype(np.int64) >> 16) % cells
 
 
-def step_keys(hashes: np.ndarray) -> np.ndarray:
+def step_keys(hashes: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
     """For every token and the end, what the rows of its steps start from: the word before, and the two before."""
-    padded = np.concatenate([np.zeros(2, np.uint32), hashes.astype(np.uint32)])
-    first, second = padded[1:], padded[:-1]
+    first, second = before(hashes, starts)
     return np.column_stack([first * np.uint32(0x85EBCA77), (first * np.uint32(31) + second + np.uint32(1)) * np.uint32(0xC2B2AE3D)])
 
 
@@ -200,29 +256,33 @@ def _rows(features: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nda
     return base, base + 1 + (classes // GROUP)[:, None]
 
 
-def _softmax(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+def _chances(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chances that are not yet divided by their sums, and the sums."""
     logits = bias + weights.take(rows[:, 0], 0)
     for i in range(1, rows.shape[1]):
         logits += weights.take(rows[:, i], 0)
     chance = np.exp(np.clip(logits, -LARGEST, LARGEST, out=logits), out=logits)
-    chance /= (chance @ np.ones(GROUP, np.float32))[:, None]
-    return chance
+    return chance, chance @ np.ones(GROUP, np.float32)
+
+
+def _log_chance(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the wanted branch's chance in each softmax."""
+    chance, total = _chances(rows, weights, bias)
+    return np.log((chance[np.arange(len(rows)), wanted] / total).astype(np.float64))
 
 
 def _log_probability(features: np.ndarray, classes: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Natural logarithm of P(group | context) * P(class | group, context) of each token."""
     of_group, of_class = _rows(features, classes)
-    group, place = classes // GROUP, np.arange(len(classes))
-    outer = _softmax(of_group, weights, bias[0])[place, group]
-    inner = _softmax(of_class, weights, bias.take(1 + group, 0))[place, classes % GROUP]
-    return np.log(outer.astype(np.float64)) + np.log(inner.astype(np.float64))
+    group = classes // GROUP
+    outer = _log_chance(of_group, weights, bias[0], group)
+    return outer + _log_chance(of_class, weights, bias.take(1 + group, 0), classes % GROUP)
 
 
 def _log_steps(trees: Trees, leaves: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Natural logarithm of P(leaf | class, context) of each token; 0 where the class is one word."""
     token, rows, nodes, branches = trees.steps(leaves, keys)
-    chance = _softmax(rows, trees.weights, trees.bias.take(nodes, 0))[np.arange(len(rows)), branches]
-    return np.bincount(token, np.log(chance.astype(np.float64)), len(leaves))
+    return np.bincount(token, _log_chance(rows, trees.weights, trees.bias.take(nodes, 0), branches), len(leaves))
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -346,25 +406,31 @@ def _averaged(texts: DataFrame, model: Model, rate: float) -> np.ndarray:
         weights, trees, classes_end = _table(start), start.trees, len(start.weights)
         squares = np.full(len(weights), 1e-2, np.float32)
         seen = np.zeros(len(weights), np.float32)
-        sums, touched = np.zeros_like(weights), np.zeros(len(weights), bool)
+        touched, place_of = np.zeros(len(weights), bool), np.zeros(len(weights), np.intp)
         branch = np.arange(GROUP)
 
         def update(rows: np.ndarray, wanted: np.ndarray, own_bias: np.ndarray) -> None:
-            gradient = _softmax(rows, weights, own_bias)
-            gradient[np.arange(len(rows)), wanted] -= 1
-            every = rows.astype(np.int64).ravel(order="F")
-            for column in rows.T:
-                place = column.astype(np.int64)[:, None] * GROUP + branch
-                np.add.at(sums.reshape(-1), place.ravel(), gradient.ravel())
+            # Only the rows of the table that occur are worked on, as a small table of their own.
+            every = rows.ravel(order="F")
             touched[every] = True
             at = np.flatnonzero(touched)
-            total = sums.take(at, 0)
-            sums[at], touched[at] = 0, False
-            spread = squares.take(at) + np.einsum("ij,ij->i", total, total) / GROUP
+            touched[at] = False
+            place_of[at] = np.arange(len(at))
+            places = place_of.take(every)
+            own, columns = weights.take(at, 0), places.reshape(rows.shape[1], len(rows))
+            gradient, total = _chances(columns.T, own, own_bias)
+            gradient /= total[:, None]
+            gradient[np.arange(len(rows)), wanted] -= 1
+            sums, flat = np.zeros(own.size, np.float32), gradient.ravel()
+            for column in columns:
+                np.add.at(sums, (column[:, None] * GROUP + branch).ravel(), flat)
+            change = sums.reshape(-1, GROUP)
+            spread = squares.take(at) + np.einsum("ij,ij->i", change, change) / GROUP
             squares[at] = spread
-            total *= (rate / np.sqrt(spread))[:, None]
-            weights[at] = weights.take(at, 0) - total
-            np.add.at(seen, every, np.float32(1))
+            change *= (rate / np.sqrt(spread))[:, None]
+            own -= change
+            weights[at] = own
+            seen[at] += np.bincount(places, minlength=len(at)).astype(np.float32)
 
         for features, classes, leaves, keys in _batches(batches, start):
             of_group, of_class = _rows(features, classes)
@@ -411,18 +477,28 @@ def _table(model: Model) -> np.ndarray:
 
 def _batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[list[np.ndarray]]:
     """Features, classes, leaves and keys of some thousand tokens at a time."""
-    parts, held = [], 0
+    rest: list[list[np.ndarray]] = []
+    held = 0
     for batch in batches:
-        for text in batch.column(0):
-            features, classes, _, leaves, keys = model.read(word_list(text.as_py()))
-            for part in slices(len(classes), BATCH):
-                parts.append([x[part] for x in (features, classes, leaves, keys)])
-                held += part.stop - part.start
-                if held >= BATCH:
-                    yield [np.concatenate(x) for x in zip(*parts)]
-                    parts, held = [], 0
+        for texts in chunks_of(batch.column(0)):
+            tokens = model.read(texts)
+            cuts = [0]
+            for start, end in zip(tokens.starts.tolist(), tokens.starts[1:].tolist()):
+                for part in slices(end - start, BATCH):
+                    held += part.stop - part.start
+                    if held >= BATCH:
+                        cuts.append(start + part.stop)
+                        held = 0
+            own = (tokens.features, tokens.classes, tokens.leaves, tokens.keys)
+            for start, end in zip(cuts, cuts[1:]):
+                rest.append([x[start:end] for x in own])
+                yield [np.concatenate(x) for x in zip(*rest)]
+                rest = []
+            if held:
+                # A copy, so that the other tokens need not be kept.
+                rest.append([x[cuts[-1] :].copy() for x in own])
     if held:
-        yield [np.concatenate(x) for x in zip(*parts)]
+        yield [np.concatenate(x) for x in zip(*rest)]
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, text_column: str = "text") -> DataFrame:
@@ -447,10 +523,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text_column: str = "
         for batch in batches:
             sizes, known, logs, scores = [], [], [], np.zeros(batch.num_rows)
             tokens, times, ends = [], [], [0]
-            pending, held = [], 0
 
-            def close() -> None:
-                features, classes, numbers, leaves, keys, owners = (np.concatenate(x) for x in zip(*pending))
+            def add(own: Tokens, part: slice, owners: np.ndarray) -> None:
+                features, classes, numbers, leaves, keys = (
+                    x[part] for x in (own.features, own.classes, own.numbers, own.leaves, own.keys)
+                )
                 found = _log_probability(features, classes, model.weights, bias)
                 if trees:
                     found += _log_steps(trees, leaves, keys)
@@ -465,26 +542,22 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text_column: str = "
                     found -= log_totals[classes]
                 scores[:] += np.bincount(owners, found, len(scores))
 
-            for at, value in enumerate(batch.column("_read")):
-                words = word_list(value.as_py())
-                features, classes, numbers, leaves, keys = model.read(words)
-                frequent = numbers[numbers >= 0]
-                rare = Counter(words[i] for i in np.flatnonzero(numbers < 0).tolist())
-                sizes.append(len(numbers))
-                known.append(int((model.counts[frequent] > 0).sum()))
-                logs.append(float(log_counts[frequent].sum()))
-                tokens += rare.keys()
-                times += rare.values()
-                ends.append(len(tokens))
+            for texts in chunks_of(batch.column("_read")):
+                own = model.read(texts)
+                numbers, first = own.numbers, own.starts[:-1]
+                owners = np.repeat(np.arange(len(texts)) + len(sizes), np.diff(own.starts))
                 for part in slices(len(numbers), BATCH):
-                    own = [x[part] for x in (features, classes, numbers, leaves, keys)]
-                    pending.append((*own, np.full(part.stop - part.start, at)))
-                    held += part.stop - part.start
-                    if held >= BATCH:
-                        close()
-                        pending, held = [], 0
-            if pending:
-                close()
+                    add(own, part, owners[part])
+                frequent = numbers >= 0
+                sizes += np.diff(own.starts).tolist()
+                known += np.add.reduceat(frequent & (model.counts[numbers] > 0), first, dtype=np.int64).tolist()
+                logs += np.add.reduceat(np.where(frequent, log_counts[numbers], 0.0), first).tolist()
+                borders = np.concatenate([[0], np.cumsum(~frequent)])[own.starts].tolist()
+                for start, end in zip(borders, borders[1:]):
+                    rare = Counter(own.unseen[start:end])
+                    tokens += rare.keys()
+                    times += rare.values()
+                    ends.append(len(tokens))
             pairs = pa.StructArray.from_arrays([pa.array(tokens, pa.binary()), pa.array(times, pa.int64())], ["token", "times"])
             yield with_columns_of(
                 batch,

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import DOCS, clashing, documents
 
@@ -150,3 +151,25 @@ def test_two_words_of_one_class_are_told_apart_by_the_word_before(spark):
         gaps[word_context] = found[1000] - found[1001]
     # What comes after the word is as likely in both.
     assert gaps[True] > gaps[False] + 0.3
+
+
+def test_texts_are_read_together_as_they_would_be_alone(spark, monkeypatch):
+    """Words are those of word_list, no context crosses from text to text, and batches end where they are full."""
+    texts = [r[1] for r in documents()] + ["\x1c a\x00b\x1f", " A\x0bb\x0cÉ c\t\n", "nb\u00a0sp   q", "Ä ö"]
+    model, _ = lm.fit(spark.createDataFrame(documents()[:40], DOCS), word_context=True)
+    words, starts = lm.words_of(pa.array(texts))
+    assert words.to_pylist() == [word for text in texts for word in lm.word_list(text)]
+    assert np.diff(starts).tolist() == [len(words_of(text)) for text in texts]
+    together = model.read(pa.array(texts))
+    assert together.unseen and together.starts.tolist() == starts.tolist()
+    for text, start, end in zip(texts, starts, starts[1:]):
+        alone = model.read(pa.array([text], pa.string()))
+        for name in ("features", "classes", "numbers", "leaves", "keys"):
+            assert np.array_equal(getattr(alone, name), getattr(together, name)[start:end])
+    monkeypatch.setattr(lm, "BATCH", 500)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    whole = [x.tolist() for x in map(np.concatenate, zip(*lm._batches(iter([batch]), model)))]
+    monkeypatch.setattr(lm, "READ_BYTES", 300)
+    parts = list(lm._batches(iter([batch]), model))
+    assert [x.tolist() for x in map(np.concatenate, zip(*parts))] == whole
+    assert all(500 <= len(x[1]) < 1000 for x in parts[:-1]) and sum(len(x[1]) for x in parts) == starts[-1]
