@@ -120,6 +120,31 @@ def test_words_held_are_bounded(tools, monkeypatch):
     assert len(tools.words) < 20 and all(len(w) <= alignment.LONGEST_WORD for w in tools.words)
 
 
+def test_words_that_come_again_stay(tools, monkeypatch):
+    monkeypatch.setattr(alignment, "WORDS_HELD", 100)
+    asked = []
+    words = alignment.WordIds(type("Model", (), {"tokenize": lambda _, word: asked.append(word) or tools.a.model.tokenize(word)})(), len(tools.a_bytes))
+    for i in range(1000):
+        assert words["again"] and words[f"word{i}"]
+        words.age()
+        assert words.held() <= 102
+    assert asked.count("again") == 1 and len(asked) == 1001
+
+
+def test_workers_get_batches_bounded_by_bytes(spark, monkeypatch):
+    """However many rows and pairs a task has, no block has more than a batch, nor does the session keep the bound."""
+    blocks = []
+    monkeypatch.setattr(alignment, "stored", lambda df, purpose, store=alignment.stored: blocks.append(store(df, purpose)) or blocks[-1])
+    ids = F.sequence(F.lit(1), F.lit(400)).cast("array<int>")
+    rows = spark.range(0, 6000, 1, 1).select("id", ids.alias("pair_a"), ids.alias("pair_b"), ids.alias("pair_links"))
+    before = spark.conf.get(alignment.BATCH_SETTING)
+    scored = alignment.link_scores(rows)
+    assert spark.conf.get(alignment.BATCH_SETTING) == before
+    pairs = [sum(r["sizes"]) for r in blocks[0].select("sizes").collect()]
+    assert sum(pairs) == 6000 * 400 and max(pairs) * 12 <= alignment.BATCH_BYTES
+    assert scored.agg(F.count("*"), F.min("count_sum"), F.max("count_sum")).first()[:] == (6000, 6000 * 80200, 6000 * 80200)
+
+
 def test_coalescing_joins_chains_of_overlaps():
     starts, ends = np.array([0, 4, 6, 0, 2, 6]), np.array([4, 6, 9, 2, 6, 9])
     order, group = alignment.coalesce(starts, ends, np.array([0, 0, 0, 1, 1, 1]))
