@@ -662,7 +662,7 @@ def training_data(spark, d) -> tuple[DataFrame, learning.TrainingSpec]:
     ready = typed.withColumns(calendar.shift_columns(F.col("timestamp")))
     shared = {"machine_id", "reading_id", "timestamp", "event_type", "will_fail_in_4hrs", "machine_type", "location"}
     numeric = [name for name in ready.columns if name not in shared]
-    return ready, learning.TrainingSpec(numeric, ("machine_type", "location"), trees=5, depth=4)
+    return ready, learning.TrainingSpec(numeric, ("machine_type", "location"))
 
 
 def trained(spark, d):

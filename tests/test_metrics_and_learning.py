@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltery.operators import evaluation, learning, quantiles, reports
+from smeltery.plans import catalogue
 
 
 def test_medians(spark):
@@ -217,3 +218,35 @@ def test_held_out_rows_are_scored_once(spark, monkeypatch):
     for df in read:
         assert df.columns == ["y", "__score", "prediction"]
         assert all("held-out-scores" in file for file in df.inputFiles()) and df.inputFiles()
+
+
+class Asked(Exception):
+    """Ends a query where it would train."""
+
+
+@pytest.mark.parametrize("name", ["feature_importance_top10", "gbt_train_score", "stream_scoring"])
+def test_queries_train_the_whole_model(spark, monkeypatch, tmp_path, name):
+    """All trees in their whole depth, on every reading."""
+
+    def asked(df, spec, training=None):
+        raise Asked(spec, df.count())
+
+    monkeypatch.setattr(learning, "train", asked)
+    events = spark.range(30).select(
+        F.col("id").alias("event_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"),
+        (F.col("id") % 3).alias("user_id"),
+        F.when(F.col("id") % 5 == 0, "error").otherwise("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+        F.format_string('{"k": %d}', "id").alias("props"),
+    )
+    customers = spark.range(3).selectExpr(
+        "id AS c_custkey", "'' AS c_name", "CAST(id AS INT) AS c_nationkey", "0D AS c_acctbal", "'BUILDING' AS c_mktsegment"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    with pytest.raises(Asked) as found:
+        catalogue.QUERIES[name](spark, str(tmp_path))
+    spec, rows = found.value.args
+    assert (spec.trees, spec.depth, rows) == (200, 6, 30)
+    assert spec == learning.TrainingSpec(spec.numeric, spec.categorical)
